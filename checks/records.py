@@ -355,7 +355,7 @@ def _term_counts(df, tokens):
     f"SELECT term, count(*) AS n FROM (SELECT unnest({sql_analysed('text', 1)}) AS term FROM documents) GROUP BY term",
 )
 def tokenize_keep_numbers(spark, sf):
-    return _term_counts(table(spark, sf, "documents"), keep_numbers(F.col("text")))
+    return _term_counts(table(spark, sf, "documents"), keep_numbers("text"))
 
 
 @query(
@@ -363,7 +363,7 @@ def tokenize_keep_numbers(spark, sf):
     f"SELECT term, count(*) AS n FROM (SELECT unnest({sql_analysed('html', 2)}) AS term FROM pages) GROUP BY term",
 )
 def tokenize_standard(spark, sf):
-    return _term_counts(table(spark, sf, "pages"), standard(F.col("html")))
+    return _term_counts(table(spark, sf, "pages"), standard("html"))
 
 
 @query(

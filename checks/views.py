@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _first_words(text) -> F.Column:
+def _first_words(text: str):
     return F.array_join(F.slice(raw_tokens(text), 1, 6), " ")
 
 
@@ -32,7 +32,7 @@ def src_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("docs").alias("source"),
         F.col("doc_id").cast("string").alias("id"),
         F.concat(F.lit("e"), F.col("doc_id").cast("string")).alias("entity_id"),
-        _first_words(F.col("text")).alias("name"),
+        _first_words("text").alias("name"),
         _none("string").alias("storyline"),
         F.col("text").alias("summary"),
         F.array("lang").alias("genres"),
@@ -62,7 +62,7 @@ def src_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per turn; the first turn stands for the entity shared with the other sources."""
     key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    name = _first_words(F.col("text"))
+    name = _first_words("text")
     return table(spark, sf_dir, "conversations").select(
         F.lit("conv").alias("source"),
         key.alias("id"),

@@ -18,35 +18,36 @@ STOP_WORDS = (
 )
 
 
-def raw_tokens(text: Column) -> Column:
-    """Lower-cased tokens in text order, nothing dropped; null text has none."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), F.lit(0))
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def analyse(text: Column, min_length: int = 1, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    def kept(token: Column) -> Column:
-        tests = []
-        if min_length > 1:
-            tests.append(F.length(token) >= min_length)
-        if stop_words:
-            tests.append(~token.isin(*stop_words))
-        result = F.lit(True)
-        for test in tests:
-            result = result & test
-        return result
+def _tokens_sql(column: str) -> str:
+    return f"regexp_extract_all(lower(coalesce({column}, '')), {_literal(TOKEN_PATTERN)}, 0)"
 
-    tokens = raw_tokens(text)
-    return F.filter(tokens, kept) if stop_words or min_length > 1 else tokens
 
+def raw_tokens(column: str) -> Column:
+    """Lower-cased tokens of a text column in text order, nothing dropped; null text has none."""
+    return F.expr(_tokens_sql(column))
 
-def keep_numbers(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+
+def analyse(column: str, min_length: int = 1, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+    """Tokens of at least ``min_length`` characters that are no stop words. One expression, parsed once."""
+    tests = [f"length(t) >= {min_length}"] if min_length > 1 else []
+    if stop_words:
+        tests.append(f"t NOT IN ({', '.join(_literal(w) for w in stop_words)})")
+    tokens = _tokens_sql(column)
+    return F.expr(f"filter({tokens}, t -> {' AND '.join(tests)})" if tests else tokens)
+
+
+def keep_numbers(column: str, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """Analyser of names: single characters survive, so the "2" of a sequel can be searched."""
-    return analyse(text, 1, stop_words)
+    return analyse(column, 1, stop_words)
 
 
-def standard(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+def standard(column: str, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """Analyser of long texts: tokens of one character are dropped."""
-    return analyse(text, 2, stop_words)
+    return analyse(column, 2, stop_words)
 
 
 # Shortest token each text field keeps.

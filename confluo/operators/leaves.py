@@ -157,7 +157,7 @@ def expand_fields(leaves: DataFrame, weights: Mapping[str, float] = FIELD_WEIGHT
     )
 
 
-def _analysed(value: Column, field: Column, stop_words: Sequence[str]) -> Column:
+def _analysed(value: str, field: Column, stop_words: Sequence[str]) -> Column:
     lengths = sorted(set(MIN_LENGTH.values()))
     result = analyse(value, lengths[-1], stop_words)
     for length in lengths[:-1]:
@@ -217,13 +217,13 @@ def atoms(
     if "words" in table.ops:
         # Clauses are numbered before fields are expanded: a word is one clause in all its fields.
         tokens = leaves_of("words").select(
-            "*", F.posexplode(keep_numbers(F.col("value"), stop_words)).alias("word", "term")
+            "*", F.posexplode(keep_numbers("value", stop_words)).alias("word", "term")
         )
         rows = expand_fields(tokens, weights).where(F.length("term") >= _lookup(MIN_LENGTH, F.col("field"), 2.0))
         result["words"] = _atom_columns(rows, sub=F.when(F.col("grouped"), F.lit(0)).otherwise(F.col("word")))
     if "phrase" in table.ops:
         rows = expand_fields(leaves_of("phrase"), weights)
-        rows = rows.withColumn("tokens", _analysed(F.col("value"), F.col("field"), stop_words))
+        rows = rows.withColumn("tokens", _analysed("value", F.col("field"), stop_words))
         rows = rows.select("*", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "term"))
         result["phrase"] = _atom_columns(rows, idx=F.col("at"), n_terms=F.col("size"))
     if "wildcard" in table.ops:

@@ -51,7 +51,7 @@ def _clean_devs(devs: Column) -> Column:
 
 def left_records(records: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """Records to link, with the keys their scores depend on. Names without terms have no candidates."""
-    terms = F.array_sort(F.array_distinct(keep_numbers(F.col("name"), stop_words)))
+    terms = F.array_sort(F.array_distinct(keep_numbers("name", stop_words)))
     devs = _clean_devs(F.col("devs"))
     return (
         records.select(F.col("id").alias("left_id"), terms.alias("terms"), devs.alias("devs"), F.col("date"))
@@ -63,7 +63,7 @@ def left_records(records: DataFrame, stop_words: Sequence[str] = STOP_WORDS) ->
 
 def right_documents(earlier: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """Documents of the earlier sources; a name is the sorted bag of its terms."""
-    bag = F.array_sort(keep_numbers(F.col("name"), stop_words))
+    bag = F.array_sort(keep_numbers("name", stop_words))
     return earlier.select(
         "source", "id", "entity_id", bag.alias("bag"), _clean_devs(F.col("devs")).alias("devs"), F.col("date")
     ).withColumn("rkey", F.array_join("bag", " "))
@@ -368,3 +368,24 @@ def resolve_sources(spark: SparkSession, catalogues: Sequence[tuple[str, DataFra
         with_entity_ids(catalogue, matches).write.parquet(f"{base}/{i}")
         done.append(name)
     return spark.read.parquet(*[f"{base}/{j}" for j in range(len(done))])
+
+
+def explain_edges(edges: DataFrame, records: DataFrame, earlier: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+    """What an edge earns in each document of its entity: ``(left_id, entity_id, source, name_met, date_bonus, dev_bonus)``."""
+    left = left_records(records, stop_words).select(
+        "left_id", "terms", F.col("devs").alias("l_devs"), F.col("date").alias("l_date")
+    )
+    documents = right_documents(earlier, stop_words).select(
+        "entity_id", "source", "bag", F.struct("devs", "date").alias("d")
+    )
+    rows = edges.select("left_id", "entity_id").join(left, "left_id").join(documents, "entity_id")
+    name_met = F.size(F.array_except("terms", "bag")) == 0
+    dev_met = name_met & (F.size("l_devs") > 0) & _devs_met(F.col("d"))
+    return rows.select(
+        "left_id",
+        "entity_id",
+        "source",
+        name_met.alias("name_met"),
+        F.when(name_met & _date_met(F.col("d")), DATE_BONUS).otherwise(0.0).alias("date_bonus"),
+        F.when(dev_met, DEV_BONUS).otherwise(0.0).alias("dev_bonus"),
+    )

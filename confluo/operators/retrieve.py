@@ -26,7 +26,7 @@ def _small_side(df: DataFrame, small: bool) -> DataFrame:
 
 def _weighted_terms(rows: DataFrame, tables, fields: Sequence[str], small: bool) -> DataFrame:
     """Query terms with their per-source statistics; at most one row per atom and source."""
-    terms = rows.select("field", "term").distinct()
+    terms = rows.select("field", "term")
     stats = tables.stats(fields, terms)
     # Field statistics hold one row per registered source and text field, whatever the size of the data.
     per_field = F.broadcast(tb.field_stats(stats).drop("total_len"))
@@ -40,7 +40,7 @@ def _bm25(weight: Column) -> Column:
 
 def _term_hits(rows: DataFrame, tables, fields: Sequence[str], small: bool) -> DataFrame:
     weighted = _small_side(_weighted_terms(rows, tables, fields, small), small)
-    terms = rows.select("field", "term").distinct()
+    terms = rows.select("field", "term")
     postings = tables.postings(fields, terms).select("source", "field", "term", "id", "entity_id", "len", "tf")
     return postings.join(weighted, ["source", "field", "term"]).withColumn("score", _bm25(F.col("weight")))
 
@@ -53,7 +53,7 @@ def _follows(acc: Column, part: Column, slop: Column) -> Column:
 
 def _phrase_hits(rows: DataFrame, tables, fields: Sequence[str], small: bool) -> DataFrame:
     weighted = _small_side(_weighted_terms(rows, tables, fields, small), small)
-    terms = rows.select("field", "term").distinct()
+    terms = rows.select("field", "term")
     found = tables.postings(fields, terms).join(weighted, ["source", "field", "term"])
     # A group is one phrase in one field of one document: as many rows as the phrase has words.
     grouped = found.groupBy(*_LEAF_KEY, "source", "id", "entity_id", "field", "n_terms", "slop", "weight").agg(
@@ -94,7 +94,7 @@ def expand_wildcards(rows: DataFrame, dictionary: DataFrame, small: bool) -> Dat
 
 def _wildcard_hits(rows: DataFrame, tables, fields: Sequence[str], small: bool) -> DataFrame:
     expanded = expand_wildcards(rows, tb.term_stats(tables.stats(fields)), small)
-    postings = tables.postings(fields, expanded.select("field", "term").distinct())
+    postings = tables.postings(fields, expanded.select("field", "term"))
     # All expansions are one leaf: a document counts once per field.
     return (
         postings.select("source", "id", "entity_id", "field", "term")

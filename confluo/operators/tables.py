@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from confluo.functions.text import STOP_WORDS, analyser_of
@@ -20,7 +20,7 @@ ANY_TERM = ""
 
 def token_rows(catalogue: DataFrame, fields: Sequence[str] = TEXT_FIELDS, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """One row per document and text field that has at least one token."""
-    analysed = [F.struct(F.lit(f).alias("field"), analyser_of(f)(F.col(f), stop_words).alias("tokens")) for f in fields]
+    analysed = [F.struct(F.lit(f).alias("field"), analyser_of(f)(f, stop_words).alias("tokens")) for f in fields]
     return (
         catalogue.select("source", "id", "entity_id", F.explode(F.array(*analysed)).alias("t"))
         .select("source", "id", "entity_id", "t.field", "t.tokens", F.size("t.tokens").alias("len"))
@@ -117,9 +117,13 @@ class CatalogueTables:
         self.catalogue = catalogue
         self.sources = list(sources)
         self.stop_words = tuple(stop_words)
+        self._token_rows: dict[tuple[str, ...], DataFrame] = {}
 
     def _tokens(self, fields: Sequence[str]) -> DataFrame:
-        return token_rows(self.catalogue, fields, self.stop_words)
+        key = tuple(fields)
+        if key not in self._token_rows:
+            self._token_rows[key] = token_rows(self.catalogue, fields, self.stop_words)
+        return self._token_rows[key]
 
     def postings(self, fields: Sequence[str] = TEXT_FIELDS, terms: DataFrame | None = None) -> DataFrame:
         return build_postings(self._tokens(fields), terms)
@@ -136,6 +140,3 @@ class CatalogueTables:
     def entities(self) -> DataFrame:
         return entity_directory(self.catalogue, self.sources)
 
-
-def in_fields(fields: Sequence[str]) -> Column:
-    return F.col("field").isin(*fields)

@@ -23,11 +23,11 @@ def conform(df: DataFrame, source: str) -> DataFrame:
     """Exactly the catalogue columns, with their types; columns a source does not have are null."""
     present = set(df.columns)
     columns = [
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+        f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in CATALOGUE.fields
         if f.name != "source"
     ]
-    return df.select(F.lit(source).alias("source"), *columns)
+    return df.selectExpr(*columns).withColumn("source", F.lit(source)).select(*CATALOGUE.names)
 
 
 class Registry:
