@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from confluo.functions.text import TOKEN_PATTERN, raw_tokens, strip_tags
 from confluo.schemas import CATALOGUE
+from confluo.session import spread
 
 COLUMNS = CATALOGUE.names
 
@@ -28,7 +29,7 @@ def _no_list():
 
 
 def src_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         F.lit("docs").alias("source"),
         F.col("doc_id").cast("string").alias("id"),
         F.concat(F.lit("e"), F.col("doc_id").cast("string")).alias("entity_id"),
@@ -44,7 +45,7 @@ def src_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages"), "page_id").select(
         F.lit("pages").alias("source"),
         F.col("page_id").cast("string").alias("id"),
         F.concat(F.lit("e"), F.col("page_id").cast("string")).alias("entity_id"),

@@ -19,7 +19,10 @@ def fuse_sources(hits: DataFrame, sources: Sequence[str]) -> DataFrame:
     scores = [
         F.max(F.when(F.col("source") == s, F.col("score"))).alias(_score_column(i)) for i, s in enumerate(sources)
     ]
-    return hits.where(F.col("source").isin(*sources)).groupBy("query_id", "entity_id").agg(*scores)
+    # Rows of unregistered sources go after grouping, so that the hits are read the same way here and in ``with_hits``
+    # and their shuffle is shared.
+    matched = F.coalesce(*[F.col(_score_column(i)) for i, _ in enumerate(sources)]).isNotNull()
+    return hits.groupBy("query_id", "entity_id").agg(*scores).where(matched)
 
 
 def _total(sources: Sequence[str]):

@@ -24,10 +24,8 @@ def _small_side(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def _weighted_terms(rows: DataFrame, tables, fields: Sequence[str], small: bool) -> DataFrame:
+def _weighted_terms(rows: DataFrame, stats: DataFrame) -> DataFrame:
     """Query terms with their per-source statistics; at most one row per atom and source."""
-    terms = rows.select("field", "term")
-    stats = tables.stats(fields, terms)
     # Field statistics hold one row per registered source and text field, whatever the size of the data.
     per_field = F.broadcast(tb.field_stats(stats).drop("total_len"))
     counted = rows.join(tb.term_stats(stats), ["field", "term"]).join(per_field, ["source", "field"])
@@ -38,11 +36,10 @@ def _bm25(weight: Column) -> Column:
     return weight * F.col("idf") * tf_part(F.col("tf"), F.col("len"), F.col("avg_len"))
 
 
-def _term_hits(rows: DataFrame, tables, fields: Sequence[str], small: bool) -> DataFrame:
-    weighted = _small_side(_weighted_terms(rows, tables, fields, small), small)
-    terms = rows.select("field", "term")
-    postings = tables.postings(fields, terms).select("source", "field", "term", "id", "entity_id", "len", "tf")
-    return postings.join(weighted, ["source", "field", "term"]).withColumn("score", _bm25(F.col("weight")))
+def _term_hits(rows: DataFrame, postings: DataFrame, stats: DataFrame, small: bool) -> DataFrame:
+    weighted = _small_side(_weighted_terms(rows, stats), small)
+    found = postings.select("source", "field", "term", "id", "entity_id", "len", "tf")
+    return found.join(weighted, ["source", "field", "term"]).withColumn("score", _bm25(F.col("weight")))
 
 
 def _follows(acc: Column, part: Column, slop: Column) -> Column:
@@ -51,10 +48,8 @@ def _follows(acc: Column, part: Column, slop: Column) -> Column:
     return F.array_intersect(part, reach)
 
 
-def _phrase_hits(rows: DataFrame, tables, fields: Sequence[str], small: bool) -> DataFrame:
-    weighted = _small_side(_weighted_terms(rows, tables, fields, small), small)
-    terms = rows.select("field", "term")
-    found = tables.postings(fields, terms).join(weighted, ["source", "field", "term"])
+def _phrase_hits(rows: DataFrame, postings: DataFrame, stats: DataFrame, small: bool) -> DataFrame:
+    found = postings.join(_small_side(_weighted_terms(rows, stats), small), ["source", "field", "term"])
     # A group is one phrase in one field of one document: as many rows as the phrase has words.
     grouped = found.groupBy(*_LEAF_KEY, "source", "id", "entity_id", "field", "n_terms", "slop", "weight").agg(
         F.array_sort(F.collect_list(F.struct("idx", "positions"))).alias("parts"),
@@ -122,15 +117,26 @@ def _date_hits(rows: DataFrame, tables, small: bool) -> DataFrame:
 
 def leaf_hits(rows: Mapping[str, DataFrame], tables, fields: Sequence[str], small: bool) -> DataFrame:
     """Score of every (leaf, field, document) that matches."""
-    finders = {
-        "words": lambda r: _term_hits(r, tables, fields, small),
-        "phrase": lambda r: _phrase_hits(r, tables, fields, small),
-        "wildcard": lambda r: _wildcard_hits(r, tables, fields, small),
-        "keyword": lambda r: _keyword_hits(r, tables, small),
-        "date": lambda r: _date_hits(r, tables, small),
-    }
     keep = [*_LEAF_KEY, "source", "id", "entity_id", "score"]
-    parts = [finders[op](r).select(*keep) for op, r in rows.items()]
+    parts = []
+    texts = [rows[op] for op in ("words", "phrase") if op in rows]
+    if texts:
+        terms = texts[0].select("field", "term")
+        for more in texts[1:]:
+            terms = terms.union(more.select("field", "term"))
+        postings, stats = tables.lookup(fields, terms, positions="phrase" in rows)
+        if "words" in rows:
+            parts.append(_term_hits(rows["words"], postings, stats, small))
+        if "phrase" in rows:
+            parts.append(_phrase_hits(rows["phrase"], postings, stats, small))
+    if "wildcard" in rows:
+        parts.append(_wildcard_hits(rows["wildcard"], tables, fields, small))
+    if "keyword" in rows:
+        parts.append(_keyword_hits(rows["keyword"], tables, small))
+    if "date" in rows:
+        parts.append(_date_hits(rows["date"], tables, small))
+    # The filter is stated here so that every reader of the hits shares one plan.
+    parts = [p.where(F.col("entity_id").isNotNull()).select(*keep) for p in parts]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

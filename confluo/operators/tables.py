@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from confluo.functions.text import STOP_WORDS, analyser_of
 from confluo.schemas import KEYWORD_FIELDS, TEXT_FIELDS
+from confluo.session import store_step
 
 ANY_TERM = ""
 
@@ -54,6 +55,41 @@ def build_stats(tokens: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     )
 
 
+def select_terms(tokens: DataFrame, terms: DataFrame, positions: bool = True) -> DataFrame:
+    """Postings of the asked terms together with the field totals, in one pass over the texts and one shuffle.
+
+    Each document adds one ``ANY_TERM`` row; those carry no document key, so a task merges them to one row per field before
+    anything is shuffled.
+    """
+    wanted = terms.select("field", "term").union(terms.select("field", F.lit(ANY_TERM)))
+    rows = tokens.select(
+        "source", "id", "entity_id", "field", "len", F.posexplode(F.array_append("tokens", F.lit(ANY_TERM))).alias("pos", "term")
+    ).join(wanted, ["field", "term"], "left_semi")
+    real = F.col("term") != ANY_TERM
+    keys = ["source", "field", "term", *[F.when(real, F.col(c)).alias(c) for c in ("id", "entity_id", "len")]]
+    sums = [F.count(F.lit(1)).alias("n"), F.sum(F.when(~real, F.col("len")).cast("long")).alias("total_len")]
+    if positions:
+        sums.append(F.array_sort(F.collect_list(F.when(real, F.col("pos")))).alias("positions"))
+    return rows.groupBy(*keys).agg(*sums)
+
+
+def selected_postings(selected: DataFrame) -> DataFrame:
+    extra = ["positions"] if "positions" in selected.columns else []
+    return selected.where(F.col("term") != ANY_TERM).select(
+        "source", "field", "term", "id", "entity_id", "len", F.col("n").cast("int").alias("tf"), *extra
+    )
+
+
+def selected_stats(selected: DataFrame) -> DataFrame:
+    per_term = (
+        selected.where(F.col("term") != ANY_TERM)
+        .groupBy("source", "field", "term")
+        .agg(F.count(F.lit(1)).alias("df"), F.sum(F.col("len").cast("long")).alias("total_len"))
+    )
+    totals = selected.where(F.col("term") == ANY_TERM).select("source", "field", "term", F.col("n").alias("df"), "total_len")
+    return per_term.unionByName(totals)
+
+
 def field_stats(stats: DataFrame) -> DataFrame:
     return stats.where(F.col("term") == ANY_TERM).select(
         "source",
@@ -131,6 +167,11 @@ class CatalogueTables:
     def stats(self, fields: Sequence[str] = TEXT_FIELDS, terms: DataFrame | None = None) -> DataFrame:
         return build_stats(self._tokens(fields), terms)
 
+    def lookup(self, fields: Sequence[str], terms: DataFrame, positions: bool) -> tuple[DataFrame, DataFrame]:
+        """Postings and statistics of some terms. Texts are read once; the rows they yield are stored for the steps after."""
+        selected = store_step(select_terms(self._tokens(fields), terms, positions), "terms")
+        return selected_postings(selected), selected_stats(selected)
+
     def keywords(self, fields: Sequence[str] = KEYWORD_FIELDS) -> DataFrame:
         return keyword_rows(self.catalogue, fields)
 

@@ -16,6 +16,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call sites are captured by several gateway calls per column; plans here have many columns.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Position lists are built by an object aggregate; let it stay hash-based for normal document sizes.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
@@ -33,7 +35,8 @@ def build_session(master: str | None = None, app_name: str = "confluo", **conf:
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
     for key, value in SESSION_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 
@@ -84,3 +87,14 @@ def plan_size(df: DataFrame) -> int:
 def is_small(df: DataFrame, limit: int = 4 << 20) -> bool:
     """True when Catalyst can bound the frame below ``limit`` bytes before running anything."""
     return plan_size(df) <= limit
+
+
+def spread(df: DataFrame, *keys: str, above: int = 4 << 20) -> DataFrame:
+    """Use all cores for a table that arrives in fewer splits than there are cores, as one gzip or one row group does.
+
+    Many-split tables pass unchanged: at scale this adds no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if plan_size(df) <= above or df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
