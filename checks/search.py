@@ -87,9 +87,9 @@ def fetch_stored(spark, sf):
     f"WITH {sql_search(['docs'])} SELECT source, id, field FROM post WHERE term = 'thanedble'",
 )
 def term_match(spark, sf):
-    tables = tables_of(spark, sf, "docs")
     terms = spark.sql("SELECT f AS field, 'thanedble' AS term FROM VALUES ('name'), ('storyline'), ('summary') AS v(f)")
-    return tables.postings(terms=terms).select("source", "id", "field")
+    postings, _ = tables_of(spark, sf, "docs").lookup(["name", "storyline", "summary"], terms, positions=False)
+    return postings.select("source", "id", "field")
 
 
 _BM25 = [("q", i, "should", "summary", 1, t) for i, t in enumerate("thble erin thnt der thanedble 2".split())]

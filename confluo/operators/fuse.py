@@ -72,12 +72,13 @@ def top_k_one_query(hits: DataFrame, directory: DataFrame, sources: Sequence[str
 
 
 def _places(top: DataFrame, hits: DataFrame, sources: Sequence[str]) -> DataFrame:
-    """Rank of every fused document in the complete ranking of its own source.
+    """Rank of fused documents in the complete ranking of their own source, where several sources matched the entity.
 
     Per (query, source) the fused documents are at most k thresholds. Each hit finds by itself how many thresholds come
     before it, so ranking takes one count per interval and never a sort of all hits.
     """
-    entries = top.select(
+    n_matched = F.size(F.array_compact(F.array(*[F.col(_score_column(i)) for i, _ in enumerate(sources)])))
+    entries = top.where(n_matched > 1).select(
         "query_id",
         "rank",
         F.posexplode(F.array(*[F.col(_score_column(i)) for i, _ in enumerate(sources)])).alias("order", "score"),
@@ -112,7 +113,8 @@ def with_hits(top: DataFrame, hits: DataFrame, sources: Sequence[str]) -> DataFr
     scores = F.array(*[F.coalesce(F.col(_score_column(i)), F.lit(0.0)) for i, _ in enumerate(sources)])
     docs = (
         top.withColumn("scores", scores)
-        .select("query_id", "rank", "entity_id", "total_score", "n_sources", "scores", F.explode("docs").alias("doc"))
+        .withColumn("met", F.array(*[F.col(_score_column(i)).isNotNull() for i, _ in enumerate(sources)]))
+        .select("query_id", "rank", "entity_id", "total_score", "n_sources", "scores", "met", F.explode("docs").alias("doc"))
         .withColumn("order", F.get(F.filter(orders, lambda o: o["source"] == F.col("doc.source")), F.lit(0))["order"])
         .select(
             "query_id",
@@ -124,11 +126,15 @@ def with_hits(top: DataFrame, hits: DataFrame, sources: Sequence[str]) -> DataFr
             F.col("doc.id").alias("id"),
             "order",
             F.get("scores", F.col("order")).alias("score"),
+            F.get("met", F.col("order")).alias("met"),
         )
     )
     placed = docs.join(_places(top, hits, sources), ["query_id", "source", "id"], "left")
     by_entity = placed.groupBy("query_id", "rank", "entity_id", "total_score", "n_sources").agg(
-        F.min(F.when(F.col("place").isNotNull(), F.struct("place", "order")))["order"].alias("lead"),
+        # An entity only one source matched has no place to compare: that source leads.
+        F.coalesce(
+            F.min(F.when(F.col("place").isNotNull(), F.struct("place", "order")))["order"], F.min(F.when(F.col("met"), F.col("order")))
+        ).alias("lead"),
         F.collect_list(F.struct("order", "source", "id", "score")).alias("docs"),
     )
     lead_first = F.transform(

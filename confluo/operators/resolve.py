@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from confluo.functions.scoring import idf, rounded, tf_part
 from confluo.functions.text import STOP_WORDS, keep_numbers
 from confluo.session import step_path, store_step
+from confluo.sources.files import exists
 
 # Candidates per record, date window and bonuses.
 CANDIDATES = 5
@@ -303,28 +304,32 @@ def assign_one_to_one(edges: DataFrame) -> DataFrame:
 
     With edges ordered by score, record id and entity id there is one stable outcome. It is reached by rounds: edges that
     are best for both their ends are final, and their ends leave. Best edges are plain minima, merged on the map side, so an
-    entity wanted by very many records is no hot spot. Each round stores what is left in the shared folder.
+    entity wanted by very many records is no hot spot. A round is one job: it stores its matches and the edges left over in
+    the shared folder, and the next round reads those. Every round settles at least one edge.
     """
-    left = edges.select("left_id", "entity_id", "score", (-rounded(F.col("score"))).alias("neg"))
-    left = store_step(left, "edges")
-    matched = []
-    while not left.isEmpty():
-        best_of_record = left.groupBy("left_id").agg(F.min(F.struct("neg", "entity_id", "score")).alias("b"))
-        best_of_entity = left.groupBy("entity_id").agg(F.min(F.struct("neg", "left_id")).alias("b"))
-        chosen = (
-            best_of_record.select("left_id", "b.entity_id", "b.score")
-            .join(best_of_entity.select("entity_id", F.col("b.left_id").alias("left_id")), ["left_id", "entity_id"])
+    spark = edges.sparkSession
+    base = step_path(spark, "assign")
+    schema = "left_id string, entity_id string, score double, neg double"
+    ranked = edges.select("left_id", "entity_id", "score", (-rounded(F.col("score"))).alias("neg"))
+    ranked.withColumn("kind", F.lit("edge")).write.partitionBy("kind").parquet(f"{base}/0")
+    rounds = 0
+    while exists(spark, f"{base}/{rounds}/kind=edge"):
+        open_edges = spark.read.schema(schema).parquet(f"{base}/{rounds}/kind=edge")
+        best_of_record = open_edges.groupBy("left_id").agg(F.min(F.struct("neg", "entity_id", "score")).alias("b"))
+        best_of_entity = open_edges.groupBy("entity_id").agg(F.min(F.struct("neg", "left_id")).alias("b"))
+        chosen = best_of_record.select("left_id", "b.entity_id", "b.score", "b.neg").join(
+            best_of_entity.select("entity_id", F.col("b.left_id").alias("left_id")), ["left_id", "entity_id"]
         )
-        chosen = store_step(chosen, "matches")
-        matched.append(chosen)
-        rest = left.join(chosen.select("left_id"), "left_id", "left_anti")
-        left = store_step(rest.join(chosen.select("entity_id"), "entity_id", "left_anti"), "edges")
-    if not matched:
-        return left.select("left_id", "entity_id", "score")
-    result = matched[0].select("left_id", "entity_id", "score")
-    for more in matched[1:]:
-        result = result.unionByName(more.select("left_id", "entity_id", "score"))
-    return result
+        rest = open_edges.join(chosen.select("left_id"), "left_id", "left_anti").join(
+            chosen.select("entity_id"), "entity_id", "left_anti"
+        )
+        both = chosen.withColumn("kind", F.lit("match")).unionByName(rest.withColumn("kind", F.lit("edge")))
+        rounds += 1
+        both.write.partitionBy("kind").parquet(f"{base}/{rounds}")
+    paths = [f"{base}/{n}/kind=match" for n in range(1, rounds + 1)]
+    if not paths:
+        return edges.select("left_id", "entity_id", "score").limit(0)
+    return spark.read.schema(schema).parquet(*paths).select("left_id", "entity_id", "score")
 
 
 def new_entity_id(source: Column, record_id: Column) -> Column:

@@ -89,10 +89,9 @@ def expand_wildcards(rows: DataFrame, dictionary: DataFrame, small: bool) -> Dat
 
 def _wildcard_hits(rows: DataFrame, tables, fields: Sequence[str], small: bool) -> DataFrame:
     expanded = expand_wildcards(rows, tb.term_stats(tables.stats(fields)), small)
-    postings = tables.postings(fields, expanded.select("field", "term"))
     # All expansions are one leaf: a document counts once per field.
     return (
-        postings.select("source", "id", "entity_id", "field", "term")
+        tables.presence(fields)
         .join(expanded, ["field", "term"])
         .select(*_LEAF_KEY, "source", "id", "entity_id", "field", "weight")
         .distinct()
@@ -135,8 +134,9 @@ def leaf_hits(rows: Mapping[str, DataFrame], tables, fields: Sequence[str], smal
         parts.append(_keyword_hits(rows["keyword"], tables, small))
     if "date" in rows:
         parts.append(_date_hits(rows["date"], tables, small))
-    # The filter is stated here so that every reader of the hits shares one plan.
-    parts = [p.where(F.col("entity_id").isNotNull()).select(*keep) for p in parts]
+    # Joins on these keys would add the same filters one by one; stated here, every reader of the hits shares one plan.
+    known = F.col("query_id").isNotNull() & F.col("source").isNotNull() & F.col("id").isNotNull() & F.col("entity_id").isNotNull()
+    parts = [p.where(known).select(*keep) for p in parts]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

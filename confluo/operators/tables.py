@@ -29,27 +29,53 @@ def token_rows(catalogue: DataFrame, fields: Sequence[str] = TEXT_FIELDS, stop_w
     )
 
 
-def build_postings(tokens: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """Term frequency and positions per document; ``terms(field, term)`` restricts the work to what a query needs."""
-    occurrences = tokens.select("source", "id", "entity_id", "field", "len", F.posexplode("tokens").alias("pos", "term"))
-    if terms is not None:
-        occurrences = occurrences.join(terms, ["field", "term"], "left_semi")
-    return occurrences.groupBy("source", "field", "term", "id", "entity_id", "len").agg(
-        F.count(F.lit(1)).cast("int").alias("tf"),
-        F.array_sort(F.collect_list("pos")).alias("positions"),
+def build_postings(tokens: DataFrame) -> DataFrame:
+    """Term frequency and positions per document, without a shuffle.
+
+    A document's tokens lie in one row, so they are grouped there: sorted by (term, position) and cut where the term
+    changes. Only the finished postings are exploded.
+    """
+    ordered = tokens.select(
+        "source",
+        "id",
+        "entity_id",
+        "field",
+        "len",
+        F.expr("sort_array(transform(tokens, (t, i) -> struct(t AS term, i AS pos)))").alias("o"),
+    )
+    cut = ordered.withColumn("starts", F.expr("filter(sequence(0, len - 1), k -> k = 0 OR o[k].term <> o[k - 1].term)"))
+    runs = cut.select(
+        "source",
+        "id",
+        "entity_id",
+        "field",
+        "len",
+        F.expr("o.pos").alias("places"),
+        F.expr(
+            "transform(starts, (s, j) -> struct(o[s].term AS term, s AS at, coalesce(get(starts, j + 1), len) - s AS tf))"
+        ).alias("runs"),
     )
+    postings = runs.select(
+        "source",
+        "field",
+        "id",
+        "entity_id",
+        "len",
+        F.explode(F.expr("transform(runs, r -> struct(r.term, r.tf, slice(places, r.at + 1, r.tf) AS positions))")).alias("p"),
+    )
+    return postings.select("source", "field", "p.term", "id", "entity_id", "len", "p.tf", "p.positions")
 
 
-def build_stats(tokens: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+def build_presence(tokens: DataFrame) -> DataFrame:
+    """Which document holds which term; in-row as well."""
+    return tokens.select("source", "field", "id", "entity_id", F.explode(F.array_distinct("tokens")).alias("term"))
+
+
+def build_stats(tokens: DataFrame) -> DataFrame:
     """Document frequency per term, and per field the document count and total length (the ``ANY_TERM`` rows)."""
     seen = tokens.select(
         "source", "field", "len", F.explode(F.array_append(F.array_distinct("tokens"), F.lit(ANY_TERM))).alias("term")
     )
-    if terms is not None:
-        wanted = terms.select("field", "term").union(
-            terms.select("field", F.lit(ANY_TERM).alias("term"))
-        )
-        seen = seen.join(wanted, ["field", "term"], "left_semi")
     return seen.groupBy("source", "field", "term").agg(
         F.count(F.lit(1)).alias("df"), F.sum(F.col("len").cast("long")).alias("total_len")
     )
@@ -69,7 +95,7 @@ def select_terms(tokens: DataFrame, terms: DataFrame, positions: bool = True) ->
     keys = ["source", "field", "term", *[F.when(real, F.col(c)).alias(c) for c in ("id", "entity_id", "len")]]
     sums = [F.count(F.lit(1)).alias("n"), F.sum(F.when(~real, F.col("len")).cast("long")).alias("total_len")]
     if positions:
-        sums.append(F.array_sort(F.collect_list(F.when(real, F.col("pos")))).alias("positions"))
+        sums.append(F.sort_array(F.collect_list(F.when(real, F.col("pos")))).alias("positions"))
     return rows.groupBy(*keys).agg(*sums)
 
 
@@ -161,11 +187,14 @@ class CatalogueTables:
             self._token_rows[key] = token_rows(self.catalogue, fields, self.stop_words)
         return self._token_rows[key]
 
-    def postings(self, fields: Sequence[str] = TEXT_FIELDS, terms: DataFrame | None = None) -> DataFrame:
-        return build_postings(self._tokens(fields), terms)
+    def postings(self, fields: Sequence[str] = TEXT_FIELDS) -> DataFrame:
+        return build_postings(self._tokens(fields))
+
+    def presence(self, fields: Sequence[str] = TEXT_FIELDS) -> DataFrame:
+        return build_presence(self._tokens(fields))
 
-    def stats(self, fields: Sequence[str] = TEXT_FIELDS, terms: DataFrame | None = None) -> DataFrame:
-        return build_stats(self._tokens(fields), terms)
+    def stats(self, fields: Sequence[str] = TEXT_FIELDS) -> DataFrame:
+        return build_stats(self._tokens(fields))
 
     def lookup(self, fields: Sequence[str], terms: DataFrame, positions: bool) -> tuple[DataFrame, DataFrame]:
         """Postings and statistics of some terms. Texts are read once; the rows they yield are stored for the steps after."""
