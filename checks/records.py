@@ -73,11 +73,11 @@ def classify_records(spark, sf):
 SELECT o_orderkey AS steam_appid, o_orderpriority AS name, CAST(NULL AS BOOLEAN) AS failed, CAST(NULL AS BIGINT) AS redirect
   FROM c WHERE outcome = 'ok'
 UNION ALL SELECT o_custkey, o_orderpriority, NULL, NULL FROM c
-  WHERE outcome = 'redirect' AND o_custkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0)
+  WHERE outcome = 'redirect' AND o_custkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')
 UNION ALL SELECT o_orderkey, NULL, true, CASE WHEN outcome = 'redirect' THEN o_custkey END FROM c WHERE outcome <> 'ok'""",
 )
 def fetched_rows(spark, sf):
-    listing = table(spark, sf, "orders").where("o_orderkey % 2 = 0").select("o_orderkey")
+    listing = table(spark, sf, "orders").where("o_orderstatus = 'O'").select("o_orderkey")
     rows = dumps.fetched_rows(dumps.classify_fetch(_replies(spark, sf)), listing, "o_orderkey")
     return rows.select("steam_appid", "name", "failed", "redirect")
 

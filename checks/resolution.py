@@ -1,29 +1,48 @@
-"""Entity resolution between parts of the documents table, whose copies share their names."""
+"""Entity resolution between parts of the documents table, whose copies share their names.
+
+Each document belongs to one part: labelled as good, labelled otherwise, or not labelled.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from checks.registry import query, sql_analysed
-from checks.views import SQL, src_docs
+from checks.views import SQL, src_docs, table
 from confluo.functions.scoring import rounded
 from confluo.operators import resolve as R
 
 
-def part(spark, sf, name: str, modulus: int, rest: int):
-    rows = src_docs(spark, sf).withColumn("source", F.lit(name))
-    return rows.where(F.col("id").cast("long") % modulus == rest)
+def _labelled(spark, sf, condition: str = "true"):
+    return table(spark, sf, "labels").where(condition).select(F.col("doc_id").cast("string").alias("id"))
+
+
+def _docs(spark, sf, name: str):
+    return src_docs(spark, sf).withColumn("source", F.lit(name))
 
 
 def sides(spark, sf):
-    return part(spark, sf, "left", 2, 1), part(spark, sf, "right", 2, 0)
+    """Unlabelled documents look for labelled ones."""
+    labelled = _labelled(spark, sf)
+    return _docs(spark, sf, "left").join(labelled, "id", "left_anti"), _docs(spark, sf, "right").join(labelled, "id", "left_semi")
+
+
+def three_sources(spark, sf):
+    good, other = _labelled(spark, sf, "quality = 1"), _labelled(spark, sf, "quality = 0")
+    return [
+        ("s0", _docs(spark, sf, "s0").join(good, "id", "left_semi")),
+        ("s1", _docs(spark, sf, "s1").join(other, "id", "left_semi")),
+        ("s2", _docs(spark, sf, "s2").join(_labelled(spark, sf), "id", "left_anti")),
+    ]
 
 
 # SQL twins work pair by pair: every record against every document whose name holds all its terms.
 
 
-def _sql_part(name: str, modulus: int, rest: int) -> str:
-    return f"SELECT * REPLACE ('{name}' AS source) FROM ({SQL['docs']}) WHERE CAST(id AS BIGINT) % {modulus} = {rest}"
+def _sql_part(name: str, labelled: bool, condition: str = "true") -> str:
+    test = "IN" if labelled else "NOT IN"
+    return f"""SELECT * REPLACE ('{name}' AS source) FROM ({SQL['docs']})
+WHERE CAST(id AS BIGINT) {test} (SELECT doc_id FROM labels WHERE {condition})"""
 
 
 def _sql_edges(p: str, left: str, earlier: str) -> str:
@@ -65,7 +84,7 @@ def _sql_ids(p: str, left: str) -> str:
   FROM ({left}) r LEFT JOIN {p}match m ON m.left_id = r.id"""
 
 
-_LEFT, _RIGHT = _sql_part("left", 2, 1), _sql_part("right", 2, 0)
+_LEFT, _RIGHT = _sql_part("left", False), _sql_part("right", True)
 _EDGES = _sql_edges("", _LEFT, _RIGHT)
 
 
@@ -135,7 +154,7 @@ def er_stats(spark, sf):
     return R.resolution_stats(R.with_entity_ids(*matched(spark, sf)))
 
 
-_S = [_sql_part(f"s{i}", 3, i) for i in range(3)]
+_S = [_sql_part("s0", True, "quality = 1"), _sql_part("s1", True, "quality = 0"), _sql_part("s2", False)]
 _FIRST = f"SELECT * REPLACE (sha256(source || ':' || id) AS entity_id), false AS reused FROM ({_S[0]})"
 
 
@@ -147,5 +166,4 @@ r1 AS MATERIALIZED ({_sql_ids("a_", _S[1])}),
 SELECT source, id, entity_id, reused FROM (SELECT * FROM r0 UNION ALL BY NAME SELECT * FROM r1 UNION ALL BY NAME SELECT * FROM r2)""",
 )
 def er_three_sources(spark, sf):
-    parts = [(f"s{i}", part(spark, sf, f"s{i}", 3, i)) for i in range(3)]
-    return R.resolve_sources(spark, parts).select("source", "id", "entity_id", "reused")
+    return R.resolve_sources(spark, three_sources(spark, sf)).select("source", "id", "entity_id", "reused")

@@ -84,8 +84,11 @@ def plan_size(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def is_small(df: DataFrame, limit: int = 4 << 20) -> bool:
-    """True when Catalyst can bound the frame below ``limit`` bytes before running anything."""
+def is_small(df: DataFrame, limit: int = 256 << 10) -> bool:
+    """True when Catalyst puts the frame below ``limit`` bytes before running anything.
+
+    The default leaves room for what a query table grows into: a row per word, text field and source.
+    """
     return plan_size(df) <= limit
 
 
