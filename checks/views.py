@@ -16,8 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The stretch of text that holds the first six tokens, so that a name does not cost the analysis of a whole text.
+_HEAD = "^(?:[^\\\\p{L}\\\\p{N}_]*" + TOKEN_PATTERN.replace("\\", "\\\\") + "){0,6}"
+
+
 def _first_words(text: str):
-    return F.array_join(F.slice(raw_tokens(text), 1, 6), " ")
+    return F.array_join(F.slice(raw_tokens(f"regexp_extract({text}, '{_HEAD}', 0)"), 1, 6), " ")
 
 
 def _none(kind: str):
@@ -118,7 +122,7 @@ READERS = {"docs": src_docs, "pages": src_pages, "conv": src_conv, "parts": src_
 
 # SQL twins ------------------------------------------------------------------------------------------------------------
 
-TOK = f"'{TOKEN_PATTERN}'"
+TOK = r"'[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*'"
 
 
 def sql_tokens(text: str) -> str:

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Words joined by inner dots ("v1.2"); linear time in both Java and RE2.
-TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)*"
+# Words joined by inner dots ("v1.2"). Possessive, so that a token of very many dotted parts needs no deep recursion.
+TOKEN_PATTERN = r"[\p{L}\p{N}_]++(?:\.[\p{L}\p{N}_]++)*+"
 
 # A short English stop list, alphabetical.
 STOP_WORDS = (

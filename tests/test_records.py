@@ -97,6 +97,11 @@ def test_text_functions(spark):
     assert row.h == "x" and row.s == "y" * 150 + "..." and row.s0 == "y" * 150 and row.n is None
 
 
+def test_very_long_dotted_token(spark):
+    rows = spark.range(1).selectExpr("repeat('a.', 100000) || ' b' AS t").select(keep_numbers("t", ()).alias("k"))
+    assert [len(t) for t in rows.first().k] == [199999, 1]
+
+
 def test_query_clean_up(spark):
     rows = spark.createDataFrame([("portal 1",), ("Portal I",), ("portal 2",), ("  x \n",), ("1",), ("a1",)], "t string")
     assert [r[0] for r in rows.select(clean_query(F.col("t"))).collect()] == ["portal", "Portal", "portal 2", "x", "1", "a1"]
