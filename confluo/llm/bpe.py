@@ -35,13 +35,15 @@ class Vocabulary:
             spec = json.load(file)
         self.path = path
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        names = sorted(self.special, key=len, reverse=True)
+        self._cutter = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         symbols = byte_symbols()
         self.ids = {bytes(symbols[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
         self.merges = [tuple(bytes(symbols[c] for c in side) for side in (m.split(" ") if isinstance(m, str) else m)) for m in spec["model"]["merges"]]
 
-    def specials(self) -> re.Pattern | None:
-        names = sorted(self.special, key=len, reverse=True)
-        return re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+    def cut(self, text: str) -> list[str]:
+        """The text cut at special tokens: plain parts at even places, special tokens between them."""
+        return self._cutter.split(text) if self._cutter and any(s in text for s in self.special) else [text]
 
 
 class PieceEncoder:

@@ -50,7 +50,6 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=self.vocabulary.ids, special_tokens={})
-        self.special = self.vocabulary.specials()
         self.codes = [i.to_bytes(4, "little") for i in range(max(self.vocabulary.ids.values()) + 1)]
         self.lengths = np.zeros(len(self.codes), np.int64)
         for token, i in self.vocabulary.ids.items():
@@ -74,9 +73,8 @@ class Encoder:
         return b"".join(map(self.codes.__getitem__, ids))
 
     def encode(self, text: str) -> bytes:
-        parts = self.special.split(text) if self.special and any(s in text for s in self.vocabulary.special) else [text]
         out = []
-        for i, part in enumerate(parts):
+        for i, part in enumerate(self.vocabulary.cut(text)):
             out += [np.array([self.vocabulary.special[part]], "<u4").tobytes()] if i % 2 else self.pieces.parts(part)
         return b"".join(out)
 
@@ -93,7 +91,7 @@ def _encode(path: str, separator: int):
         own, part, place = encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = str_texts(batch.column(1))
-            own.pieces.warm(texts)
+            own.pieces.warm([p for t in texts for p in own.vocabulary.cut(t)[::2]])
             ids = [own.encode(t) + end for t in texts]
             sizes = np.array([len(x) // 4 for x in ids], np.int64)
             places = place + np.cumsum(sizes) - sizes

@@ -40,7 +40,6 @@ class PrefixCounter:
         self.vocabulary = Vocabulary(path)
         self.room = room
         self.library = Tokenizer.from_file(path)
-        self.special = self.vocabulary.specials()
         # Tokens by age: single bytes, then the results of the merge rules in their order.
         self.ages = {bytes([b]): b for b in range(256)}
         self.halves = [(b, b) for b in range(256)]
@@ -138,12 +137,12 @@ class PrefixCounter:
 
     def count(self, text: str) -> int:
         """Tokens of a whole text."""
-        parts = self.special.split(text) if self.special and any(s in text for s in self.vocabulary.special) else [text]
+        parts = self.vocabulary.cut(text)
         return sum(1 if i % 2 else sum(self.pieces.parts(part)) for i, part in enumerate(parts))
 
     def prefix_counts(self, text: str) -> list[int]:
         """Counts of the prefixes that end before code point 0, 1, ..., len(text)."""
-        parts = self.special.split(text) if self.special and any(s in text for s in self.vocabulary.special) else [text]
+        parts = self.vocabulary.cut(text)
         out = [0]
         for i, part in enumerate(parts):
             base = out[-1]
@@ -204,7 +203,7 @@ def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pa
         own = counter(path)
         for batch in batches:
             texts = str_texts(batch.column(1))
-            own.pieces.warm(texts)
+            own.pieces.warm([p for t in texts for p in own.vocabulary.cut(t)[::2]])
             counts = [own.count(t) for t in texts]
             columns = [
                 batch.column(0),
