@@ -74,14 +74,12 @@ def fuse_average(spark, sf):
 
 @query(
     "fuse_fill_missing",
-    f"""{_BASE}, {_ranked(50)} SELECT t.query_id, t.entity_id, c.source, c.id, round(coalesce(d.score, 0), 6) AS score
-FROM top t JOIN cat c USING (entity_id) LEFT JOIN doc d ON d.query_id = t.query_id AND d.source = c.source AND d.id = c.id""",
+    f"""{_BASE} SELECT t.query_id, t.entity_id, c.source, c.id, round(coalesce(d.score, 0), 6) AS score
+FROM fused t JOIN cat c USING (entity_id) LEFT JOIN doc d ON d.query_id = t.query_id AND d.source = c.source AND d.id = c.id""",
 )
 def fuse_fill_missing(spark, sf):
-    found = _found(spark, sf)
-    top = fuse.fused_top_k(found, _directory(spark, sf), TEXTS, 50)
-    rows = fuse.with_hits(top, found, TEXTS).select("query_id", "entity_id", F.explode("hits").alias("h"))
-    return rows.select("query_id", "entity_id", "h.source", "h.id", rounded(F.col("h.score")).alias("score"))
+    rows = fuse.fill_missing(fuse.fuse_sources(_found(spark, sf), TEXTS), _directory(spark, sf), TEXTS)
+    return rows.withColumn("score", rounded(F.col("score")))
 
 
 @query("fused_top_k", f"{_BASE}, {_ranked(5)} SELECT query_id, rank, entity_id, n_sources, round(total, 6) AS total_score FROM top")
@@ -136,11 +134,10 @@ SELECT query_id, rank, entity_id, round(total, 6) AS total_score FROM top""",
 def fused_batch(spark, sf):
     tables = tables_of(spark, sf, *TEXTS)
     found = retrieve(tables, bag_of_words(passages(spark, sf)))
-    kept = fuse.prune(fuse.fuse_sources(found, TEXTS), TEXTS, 5)
-    scored = fuse.average(kept, tables.entities(), TEXTS)
-    order = Window.partitionBy("query_id").orderBy(rounded(F.col("total_score")).desc(), "entity_id")
-    top = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= 5)
-    return top.select("query_id", "rank", "entity_id", rounded(F.col("total_score")).alias("total_score"))
+    top = fuse.fused_top_k(found, tables.entities(), TEXTS, 5)
+    return top.select(
+        "query_id", F.col("rank").cast("long").alias("rank"), "entity_id", rounded(F.col("total_score")).alias("total_score")
+    )
 
 
 @query(

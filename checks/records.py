@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query, sql_analysed
-from checks.views import READERS, sql_catalogue, table
+from checks.views import READERS, first_sentence, sql_catalogue, sql_sentence, table
 from confluo.functions import values as V
 from confluo.functions.text import clean_query, keep_numbers, snippet, standard, strip_tags
 from confluo.operators import normalise as N
@@ -214,7 +214,7 @@ def _store_records(spark, sf):
     record = {
         "steam_appid": F.floor(key / 2),
         "type": F.when(key % 11 == 0, F.lit(None)).when(key % 7 == 0, "demo").when(key % 3 == 0, "dlc").otherwise("game"),
-        "name": F.when(key % 13 == 0, "").otherwise(F.substring("text", 1, 20)),
+        "name": F.when(key % 13 == 0, "").otherwise(first_sentence("text")),
         "about_the_game": F.concat(F.lit("<p class=x>"), F.col("text"), F.lit("</p>")),
         "detailed_description": F.concat(F.lit("<b>"), F.col("lang"), F.lit("</b>")),
         "developers": F.when(key % 4 > 0, F.array("source")),
@@ -228,9 +228,9 @@ def _store_records(spark, sf):
     return table(spark, sf, "documents").select(key.alias("line"), *columns)
 
 
-_STORE = """SELECT doc_id AS line, doc_id // 2 AS appid,
+_STORE = f"""SELECT doc_id AS line, doc_id // 2 AS appid,
   CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'demo' WHEN doc_id % 3 = 0 THEN 'dlc' ELSE 'game' END AS type,
-  CASE WHEN doc_id % 13 = 0 THEN '' ELSE substring(text, 1, 20) END AS name, doc_id % 19 = 0 AS failed,
+  CASE WHEN doc_id % 13 = 0 THEN '' ELSE {sql_sentence("text")} END AS name, doc_id % 19 = 0 AS failed,
   CASE WHEN doc_id % 9 > 0 THEN n_chars ELSE 0 END AS total, text, lang, source,
   CASE WHEN doc_id % 17 = 0 OR doc_id % 5 > 2 THEN NULL ELSE CAST(DATE '2010-01-01' + CAST(doc_id * 37 % 3650 AS INTEGER) AS DATE) END AS day,
   doc_id FROM documents"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.functions.text import TOKEN_PATTERN, raw_tokens, strip_tags
+from confluo.functions.text import strip_tags
 from confluo.schemas import CATALOGUE
 from confluo.session import spread
 
@@ -16,12 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# The stretch of text that holds the first six tokens, so that a name does not cost the analysis of a whole text.
-_HEAD = "^(?:[^\\\\p{L}\\\\p{N}_]*" + TOKEN_PATTERN.replace("\\", "\\\\") + "){0,6}"
+# A name is the whole first sentence: what stands before the first stop or line break.
+_SENTENCE = r"^[^.!?\n]*"
 
 
-def _first_words(text: str):
-    return F.array_join(F.slice(raw_tokens(f"regexp_extract({text}, '{_HEAD}', 0)"), 1, 6), " ")
+def first_sentence(text: str):
+    return F.trim(F.regexp_extract(text, _SENTENCE, 0))
 
 
 def _none(kind: str):
@@ -37,7 +37,7 @@ def src_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("docs").alias("source"),
         F.col("doc_id").cast("string").alias("id"),
         F.concat(F.lit("e"), F.col("doc_id").cast("string")).alias("entity_id"),
-        _first_words("text").alias("name"),
+        first_sentence("text").alias("name"),
         _none("string").alias("storyline"),
         F.col("text").alias("summary"),
         F.array("lang").alias("genres"),
@@ -67,7 +67,7 @@ def src_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per turn; the first turn stands for the entity shared with the other sources."""
     key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    name = _first_words("text")
+    name = first_sentence("text")
     return table(spark, sf_dir, "conversations").select(
         F.lit("conv").alias("source"),
         key.alias("id"),
@@ -129,13 +129,13 @@ def sql_tokens(text: str) -> str:
     return f"regexp_extract_all(lower({text}), {TOK})"
 
 
-def _sql_words(text: str) -> str:
-    return f"array_to_string({sql_tokens(text)}[1:6], ' ')"
+def sql_sentence(text: str) -> str:
+    return f"trim(regexp_extract({text}, '^[^.!?\\n]*'))"
 
 
 SQL = {
     "docs": f"""SELECT 'docs' AS source, CAST(doc_id AS VARCHAR) AS id, 'e' || doc_id AS entity_id,
-        {_sql_words("text")} AS name, CAST(NULL AS VARCHAR) AS storyline, text AS summary, [lang] AS genres, [source] AS platforms,
+        {sql_sentence("text")} AS name, CAST(NULL AS VARCHAR) AS storyline, text AS summary, [lang] AS genres, [source] AS platforms,
         [source] AS devs, CAST(DATE '2010-01-01' + CAST(doc_id * 37 % 3650 AS INTEGER) AS TIMESTAMP) AS date, n_chars AS popularity
         FROM documents""",
     "pages": """SELECT 'pages' AS source, CAST(page_id AS VARCHAR) AS id, 'e' || page_id AS entity_id,
@@ -145,7 +145,7 @@ SQL = {
         CAST(NULL AS TIMESTAMP) AS date, CAST(length(html) AS BIGINT) AS popularity FROM pages""",
     "conv": f"""SELECT 'conv' AS source, conv_id || '-' || turn AS id,
         CASE WHEN turn = 0 THEN 'e' || conv_id ELSE 'c' || conv_id || '-' || turn END AS entity_id,
-        {_sql_words("text")} AS name, role || ' ' || {_sql_words("text")} AS storyline, text AS summary, [role] AS genres,
+        {sql_sentence("text")} AS name, role || ' ' || {sql_sentence("text")} AS storyline, text AS summary, [role] AS genres,
         CAST([] AS VARCHAR[]) AS platforms, CAST([] AS VARCHAR[]) AS devs, CAST(NULL AS TIMESTAMP) AS date,
         turn + 1 AS popularity FROM conversations""",
     "parts": """SELECT 'parts' AS source, CAST(p_partkey AS VARCHAR) AS id, 'p' || p_partkey AS entity_id, p_name AS name,

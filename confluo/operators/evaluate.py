@@ -16,10 +16,18 @@ BLOCK = 10_000
 
 
 def last_judgement(qrels: DataFrame, order: str | None = "line_no") -> DataFrame:
-    """One grade per (query, source, id): the last one given."""
-    order = order if order in qrels.columns else None
-    grade = F.max_by("relevance", order) if order else F.max("relevance")
-    return qrels.groupBy("query_id", "source", "id").agg(grade.alias("relevance"))
+    """One grade per (query, source, id): the last one given by ``order``.
+
+    Judgements without an order must be free of contradictions: several grades for one document fail.
+    """
+    keys = ["query_id", "source", "id"]
+    if order in qrels.columns:
+        return qrels.groupBy(*keys).agg(F.max_by("relevance", order).alias("relevance"))
+    clash = F.raise_error(F.concat(F.lit("several grades and no order for document "), F.coalesce("id", F.lit("")))).cast("int")
+    low, high = F.min("relevance"), F.max("relevance")
+    return qrels.groupBy(*keys).agg(low.alias("low"), high.alias("high")).select(
+        *keys, F.when(F.col("low") < F.col("high"), clash).otherwise(F.col("high")).alias("relevance")
+    )
 
 
 def grade_fused(fused: DataFrame, qrels: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from confluo.functions.scoring import rounded
+from confluo.operators.tables import own_entity
 
 
 def _score_column(i: int) -> str:
@@ -22,7 +23,7 @@ def fuse_sources(hits: DataFrame, sources: Sequence[str]) -> DataFrame:
     # Rows of unregistered sources go after grouping, so that the hits are read the same way here and in ``with_hits``
     # and their shuffle is shared.
     matched = F.coalesce(*[F.col(_score_column(i)) for i, _ in enumerate(sources)]).isNotNull()
-    return hits.groupBy("query_id", "entity_id").agg(*scores).where(matched)
+    return hits.groupBy("query_id", own_entity().alias("entity_id")).agg(*scores).where(matched)
 
 
 def _total(sources: Sequence[str]):
@@ -37,6 +38,14 @@ def average(fused: DataFrame, directory: DataFrame, sources: Sequence[str]) -> D
     return fused.join(directory, "entity_id").withColumn("total_score", _total(sources) / F.col("n_sources"))
 
 
+def fill_missing(fused: DataFrame, directory: DataFrame, sources: Sequence[str]) -> DataFrame:
+    """Every matched entity with all its documents: ``query_id, entity_id, source, id, score``, 0 where a document did not match."""
+    order = F.create_map(*[F.lit(x) for i, s in enumerate(sources) for x in (s, i)])
+    scores = F.array(*[F.coalesce(F.col(_score_column(i)), F.lit(0.0)) for i, _ in enumerate(sources)])
+    rows = fused.withColumn("scores", scores).join(directory, "entity_id").select("query_id", "entity_id", "scores", F.explode("docs").alias("d"))
+    return rows.select("query_id", "entity_id", "d.source", "d.id", F.get("scores", F.element_at(order, F.col("d.source"))).alias("score"))
+
+
 def prune(fused: DataFrame, sources: Sequence[str], k: int) -> DataFrame:
     """Drop entities that cannot reach the top ``k``, before their source counts are looked up.
 
@@ -58,9 +67,15 @@ def prune(fused: DataFrame, sources: Sequence[str], k: int) -> DataFrame:
     return kept.drop("low", "high", "floor")
 
 
+def only_entities(directory: DataFrame, fused: DataFrame) -> DataFrame:
+    """The directory of the entities in question: the semi-join moves below the directory's grouping, to the catalogue's rows."""
+    return directory.join(fused.select("entity_id").distinct(), "entity_id", "left_semi")
+
+
 def fused_top_k(hits: DataFrame, directory: DataFrame, sources: Sequence[str], k: int) -> DataFrame:
     """Best ``k`` entities per query with the average score; ties go to the smaller entity id."""
-    scored = average(fuse_sources(hits, sources), directory, sources)
+    kept = prune(fuse_sources(hits, sources), sources, k)
+    scored = average(kept, only_entities(directory, kept), sources)
     order = Window.partitionBy("query_id").orderBy(rounded(F.col("total_score")).desc(), F.col("entity_id").asc())
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

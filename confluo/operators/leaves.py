@@ -11,21 +11,27 @@ A query is a set of clauses; a clause is an OR of leaves and has a role:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from confluo.functions.text import MIN_LENGTH, STOP_WORDS, analyse, clean_query, keep_numbers
-from confluo.schemas import TEXT_FIELDS
+from confluo.schemas import KEYWORD_FIELDS, TEXT_FIELDS
 
 # Weights of unscoped words per field, and the extra weight of fields the user names.
 FIELD_WEIGHTS = {"name": 6.0, "storyline": 1.0, "summary": 1.0}
 SCOPE_BOOSTS = {"name": 40.0, "devs": 40.0, "date": 40.0, "genres": 40.0, "platforms": 40.0}
 
+LEAF_CHARS = 64
+
 ROLES = ("should", "must", "filter", "must_not", "maybe")
+OPS = ("words", "phrase", "wildcard", "keyword", "date")
 
 _ARROW = pa.schema(
     [
@@ -50,6 +56,16 @@ class QueryTable:
     ops: frozenset[str]
     boolean: bool
     scopes: frozenset[str | None]
+    # Characters of all leaves where they are known without a job.
+    known_chars: int | None = None
+
+    @cached_property
+    def chars(self) -> int:
+        """Characters of all leaves, a fixed share per leaf included: a count of the rows themselves, not an estimate."""
+        if self.known_chars is not None:
+            return self.known_chars
+        row = self.leaves.agg(F.sum(F.length(F.coalesce("value", F.lit(""))) + LEAF_CHARS)).first()
+        return int(row[0] or 0)
 
     def text_fields(self, weights: Mapping[str, float]) -> list[str]:
         """Text fields any leaf can look into; the others are not read."""
@@ -60,6 +76,13 @@ class QueryTable:
 def _leaf(op: str, value: str | None, field: str | None, boost: float, role: str, **more) -> dict:
     if role not in ROLES:
         raise ValueError(f"unknown role {role!r}")
+    known = {"keyword": KEYWORD_FIELDS, "date": ("date",)}.get(op, (None, *TEXT_FIELDS))
+    if field not in known:
+        raise ValueError(f"{op} cannot look into {field!r}; fields are {', '.join(str(f) for f in known if f)}")
+    if boost < 0:
+        raise ValueError("a boost must not be negative")
+    if more.get("slop", 1) < 1:
+        raise ValueError("slop counts positions to the next word and is 1 at least")
     base = {"op": op, "value": value, "field": field, "boost": float(boost), "role": role, "lo": None, "hi": None, "slop": 1}
     return {**base, **more}
 
@@ -84,11 +107,15 @@ def keyword(value: str, field: str, boost: float = 1.0, role: str = "should") ->
 
 
 def date_range(lo: str | None, hi: str | None, field: str = "date", boost: float = 1.0, role: str = "should") -> dict:
-    """Inclusive; a bound is a year, a month or a day (``2016``, ``201605``, ``2016-05-10``), ``None`` is open."""
+    """Inclusive; a bound is a year, a month or a day (``2016``, ``201605``, ``2016-5``, ``2016-05-10``), ``None`` is open."""
+    for bound in (lo, hi):
+        if bound is not None:
+            check_period(bound)
     return _leaf("date", None, field, boost, role, lo=lo, hi=hi)
 
 
 def date_in(period: str, field: str = "date", boost: float = 1.0, role: str = "should") -> dict:
+    """The whole period."""
     return date_range(period, period, field, boost, role)
 
 
@@ -99,6 +126,8 @@ def any_of(*leaves: dict, role: str = "must") -> list[dict]:
 
 def query_table(spark: SparkSession, queries: Mapping[str, Sequence[dict | list[dict]]]) -> QueryTable:
     """Literal queries as a local relation, whose exact size lets Catalyst choose the join."""
+    if not queries:
+        raise ValueError("there is no query")
     rows = []
     for query_id, clauses in queries.items():
         for number, clause in enumerate(clauses):
@@ -111,6 +140,34 @@ def query_table(spark: SparkSession, queries: Mapping[str, Sequence[dict | list[
         frozenset(r["op"] for r in rows),
         any(r["role"] != "should" for r in rows),
         frozenset(r["field"] for r in rows),
+        sum(len(r["value"] or "") + LEAF_CHARS for r in rows),
+    )
+
+
+def leaf_table(leaves: DataFrame) -> QueryTable:
+    """Batch form for leaves of every kind: a table of any size with the columns of a leaf.
+
+    Needed are ``query_id, clause, op, value``; missing columns take the defaults of the leaf functions. Operators, roles
+    and fields are looked up in one job; wrong ones fail.
+    """
+    defaults = {"clause": "0", "grouped": "false", "role": "'should'", "field": "NULL", "lo": "NULL", "hi": "NULL", "slop": "1", "boost": "1.0"}
+    kinds = {"clause": "int", "grouped": "boolean", "slop": "int", "boost": "double"}
+    known = set(leaves.columns)
+    columns = [(f"`{c}`" if c in known else defaults.get(c, "NULL"), kinds.get(c, "string"), c) for c in _ARROW.names]
+    rows = leaves.selectExpr(*[f"coalesce(cast({x} AS {kind}), cast({defaults.get(c, 'NULL')} AS {kind})) AS {c}" for x, kind, c in columns])
+    # One row per kind of leaf, whatever the number of leaves.
+    seen = rows.groupBy("op", "role", "field").agg(F.min("boost").alias("boost"), F.min("slop").alias("slop")).collect()
+    if not seen:
+        raise ValueError("there is no query")
+    for r in seen:
+        if r["op"] not in OPS:
+            raise ValueError(f"unknown operator {r['op']!r}")
+        _leaf(r["op"], None, r["field"], r["boost"], r["role"], slop=r["slop"])
+    return QueryTable(
+        rows,
+        frozenset(r["op"] for r in seen),
+        any(r["role"] != "should" for r in seen),
+        frozenset(r["field"] for r in seen),
     )
 
 
@@ -171,19 +228,41 @@ def _like_pattern(pattern: Column) -> Column:
     return F.replace(F.replace(escaped, F.lit("*"), F.lit("%")), F.lit("?"), F.lit("_"))
 
 
+# A period by its parts: year, year and month, or a day; with dashes, months and days may have one digit.
+_PERIOD = r"^\s*(\d{4})(?:(\d\d)(\d\d)?|-(\d{1,2})(?:-(\d{1,2}))?)?\s*$"
+
+
+def check_period(text: str) -> str:
+    """The text itself if it names a year, a month or a day that exists; an error otherwise."""
+    found = re.match(_PERIOD, text)
+    try:
+        year, month, day = (int(found[1]), int(found[2] or found[4] or 1), int(found[3] or found[5] or 1)) if found else (0, 0, 0)
+        date(year, month, day)
+    except ValueError:
+        raise ValueError(f"no year, month or day: {text!r}") from None
+    return text
+
+
+def _period_part(text: Column, *groups: int) -> Column:
+    parts = [F.nullif(F.regexp_extract(text, _PERIOD, g), F.lit("")) for g in groups]
+    return F.coalesce(*parts) if len(parts) > 1 else parts[0]
+
+
 def period_start(text: Column) -> Column:
-    digits = F.regexp_replace(text, "[^0-9]", "")
-    return F.try_to_timestamp(F.concat(digits, F.substring(F.lit("00000101"), F.length(digits) + 1, F.lit(8))), F.lit("yyyyMMdd"))
+    """First instant of the period; NULL only for NULL. Anything that is no period fails."""
+    month, day = (F.lpad(F.coalesce(_period_part(text, *g), F.lit("01")), 2, "0") for g in ((2, 4), (3, 5)))
+    start = F.try_to_timestamp(F.concat_ws("-", _period_part(text, 1), month, day), F.lit("yyyy-MM-dd"))
+    bad = F.raise_error(F.concat(F.lit("no year, month or day: "), text)).cast("timestamp")
+    return F.when(text.isNull(), F.lit(None).cast("timestamp")).when(start.isNull(), bad).otherwise(start)
 
 
 def period_end(text: Column) -> Column:
     """First instant after the period."""
-    digits = F.regexp_replace(text, "[^0-9]", "")
     start = period_start(text)
     return (
-        F.when(F.length(digits) <= 4, start + F.expr("INTERVAL 1 YEAR"))
-        .when(F.length(digits) <= 6, start + F.expr("INTERVAL 1 MONTH"))
-        .otherwise(start + F.expr("INTERVAL 1 DAY"))
+        F.when(_period_part(text, 3, 5).isNotNull(), start + F.expr("INTERVAL 1 DAY"))
+        .when(_period_part(text, 2, 4).isNotNull(), start + F.expr("INTERVAL 1 MONTH"))
+        .otherwise(start + F.expr("INTERVAL 1 YEAR"))
     )
 
 

@@ -11,7 +11,8 @@ from confluo.functions.scoring import idf, rounded, tf_part
 from confluo.functions.text import STOP_WORDS
 from confluo.operators import tables as tb
 from confluo.operators.leaves import FIELD_WEIGHTS, SCOPE_BOOSTS, QueryTable, atoms, required_clauses
-from confluo.session import cut_lineage, is_small
+from confluo.schemas import TEXT_FIELDS
+from confluo.session import cut_lineage
 
 # Literal prefix lengths wildcard patterns and dictionary terms are matched on.
 PREFIX_LENGTHS = (0, 1, 2, 3)
@@ -19,6 +20,17 @@ PREFIX_LENGTHS = (0, 1, 2, 3)
 _LEAF_KEY = ["query_id", "clause", "sub", "role"]
 
 
+# What query rows may take in an executor, and what one character of query text can grow into: a word needs two characters, and
+# a word becomes a row of so many bytes per text field and source.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 160
+
+
+def fits(table: QueryTable, sources: int) -> bool:
+    """True if all rows derived from the query table are surely small: a bound from the count of its characters."""
+    return table.chars * len(TEXT_FIELDS) * max(sources, 1) * ROW_BYTES // 2 <= BROADCAST_BYTES
+
+
 def _small_side(df: DataFrame, small: bool) -> DataFrame:
     """Broadcast only where the caller has checked the size of the query table the rows derive from."""
     return F.broadcast(df) if small else df
@@ -43,9 +55,8 @@ def _term_hits(rows: DataFrame, postings: DataFrame, stats: DataFrame, small: bo
 
 
 def _follows(acc: Column, part: Column, slop: Column) -> Column:
-    """Positions of ``part`` within ``slop`` after one of ``acc``; work is linear in both lists."""
-    reach = F.flatten(F.transform(acc, lambda y: F.sequence(y + 1, y + slop)))
-    return F.array_intersect(part, reach)
+    """Positions of ``part`` within ``slop`` after one of ``acc``, however long the reach is."""
+    return F.filter(part, lambda p: F.exists(acc, lambda y: (p > y) & (p <= y + slop)))
 
 
 def _phrase_hits(rows: DataFrame, postings: DataFrame, stats: DataFrame, small: bool) -> DataFrame:
@@ -123,7 +134,7 @@ def leaf_hits(rows: Mapping[str, DataFrame], tables, fields: Sequence[str], smal
         terms = texts[0].select("field", "term")
         for more in texts[1:]:
             terms = terms.union(more.select("field", "term"))
-        postings, stats = tables.lookup(fields, terms, positions="phrase" in rows)
+        postings, stats = tables.lookup(fields, terms, positions="phrase" in rows, small=small)
         if "words" in rows:
             parts.append(_term_hits(rows["words"], postings, stats, small))
         if "phrase" in rows:
@@ -135,7 +146,8 @@ def leaf_hits(rows: Mapping[str, DataFrame], tables, fields: Sequence[str], smal
     if "date" in rows:
         parts.append(_date_hits(rows["date"], tables, small))
     # Joins on these keys would add the same filters one by one; stated here, every reader of the hits shares one plan.
-    known = F.col("query_id").isNotNull() & F.col("source").isNotNull() & F.col("id").isNotNull() & F.col("entity_id").isNotNull()
+    # Documents without an entity are found as well.
+    known = F.col("query_id").isNotNull() & F.col("source").isNotNull() & F.col("id").isNotNull()
     parts = [p.where(known).select(*keep) for p in parts]
     result = parts[0]
     for part in parts[1:]:
@@ -151,7 +163,7 @@ def retrieve(
     stop_words: Sequence[str] = STOP_WORDS,
 ) -> DataFrame:
     """Hits ``(query_id, source, id, entity_id, score)`` of every query, unranked and complete."""
-    small = is_small(table.leaves)
+    small = fits(table, len(tables.sources))
     rows = atoms(table, weights, boosts, stop_words)
     found = leaf_hits(rows, tables, table.text_fields(weights), small)
     doc = ["query_id", "source", "id", "entity_id"]

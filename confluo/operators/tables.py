@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from confluo.functions.text import STOP_WORDS, analyser_of
@@ -81,16 +81,24 @@ def build_stats(tokens: DataFrame) -> DataFrame:
     )
 
 
-def select_terms(tokens: DataFrame, terms: DataFrame, positions: bool = True) -> DataFrame:
-    """Postings of the asked terms together with the field totals, in one pass over the texts and one shuffle.
+def select_terms(tokens: DataFrame, terms: DataFrame, positions: bool = True, small: bool = False) -> DataFrame:
+    """Postings of the asked terms together with the field totals.
 
-    Each document adds one ``ANY_TERM`` row; those carry no document key, so a task merges them to one row per field before
-    anything is shuffled.
+    Each document adds one ``ANY_TERM`` row without a document key, so a task merges those to one row per source and field before
+    anything is shuffled. ``small`` says that the asked terms are few enough to be sent to every task: texts are then read in one
+    pass. Otherwise occurrences and terms meet by term, frequent terms are split by adaptive execution, and the totals
+    come from a pass of their own, as they would all meet under one key.
     """
-    wanted = terms.select("field", "term").union(terms.select("field", F.lit(ANY_TERM)))
-    rows = tokens.select(
-        "source", "id", "entity_id", "field", "len", F.posexplode(F.array_append("tokens", F.lit(ANY_TERM))).alias("pos", "term")
-    ).join(wanted, ["field", "term"], "left_semi")
+    wanted = terms.select("field", "term").distinct()
+    document = ["source", "id", "entity_id", "field", "len"]
+    if small:
+        every = F.broadcast(wanted.union(wanted.select("field", F.lit(ANY_TERM))))
+        rows = tokens.select(*document, F.posexplode(F.array_append("tokens", F.lit(ANY_TERM))).alias("pos", "term"))
+        rows = rows.join(every, ["field", "term"], "left_semi")
+    else:
+        totals = tokens.select(*document, F.lit(0).alias("pos"), F.lit(ANY_TERM).alias("term"))
+        rows = tokens.select(*document, F.posexplode("tokens").alias("pos", "term")).join(wanted, ["field", "term"], "left_semi")
+        rows = rows.unionByName(totals)
     real = F.col("term") != ANY_TERM
     keys = ["source", "field", "term", *[F.when(real, F.col(c)).alias(c) for c in ("id", "entity_id", "len")]]
     sums = [F.count(F.lit(1)).alias("n"), F.sum(F.when(~real, F.col("len")).cast("long")).alias("total_len")]
@@ -147,6 +155,11 @@ def date_rows(catalogue: DataFrame) -> DataFrame:
     return catalogue.where(F.col("date").isNotNull()).select("source", "id", "entity_id", "date")
 
 
+def own_entity() -> Column:
+    """The entity of a document; one that has none yet stands for itself under the id a new entity would get."""
+    return F.coalesce(F.col("entity_id"), F.sha2(F.concat_ws(":", "source", "id"), 256))
+
+
 def entity_directory(catalogue: DataFrame, sources: Sequence[str]) -> DataFrame:
     """Per entity its documents in registration order and the number of sources holding it.
 
@@ -160,7 +173,7 @@ def entity_directory(catalogue: DataFrame, sources: Sequence[str]) -> DataFrame:
     )
     return (
         catalogue.where(F.col("source").isin(*sources))
-        .groupBy("entity_id")
+        .groupBy(own_entity().alias("entity_id"))
         .agg(*per_source)
         .select("entity_id", F.filter(docs, lambda d: d["id"].isNotNull()).alias("docs"))
         .withColumn("n_sources", F.size("docs"))
@@ -196,9 +209,9 @@ class CatalogueTables:
     def stats(self, fields: Sequence[str] = TEXT_FIELDS) -> DataFrame:
         return build_stats(self._tokens(fields))
 
-    def lookup(self, fields: Sequence[str], terms: DataFrame, positions: bool) -> tuple[DataFrame, DataFrame]:
-        """Postings and statistics of some terms. Texts are read once; the rows they yield are stored for the steps after."""
-        selected = store_step(select_terms(self._tokens(fields), terms, positions), "terms")
+    def lookup(self, fields: Sequence[str], terms: DataFrame, positions: bool, small: bool = False) -> tuple[DataFrame, DataFrame]:
+        """Postings and statistics of some terms; the rows that texts yield are stored for the steps after."""
+        selected = store_step(select_terms(self._tokens(fields), terms, positions, small), "terms")
         return selected_postings(selected), selected_stats(selected)
 
     def keywords(self, fields: Sequence[str] = KEYWORD_FIELDS) -> DataFrame:

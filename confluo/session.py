@@ -80,18 +80,10 @@ def store_step(df: DataFrame, name: str) -> DataFrame:
 
 
 def plan_size(df: DataFrame) -> int:
-    """Catalyst's size estimate in bytes; exact for local relations, an upper guess elsewhere."""
+    """Catalyst's size estimate in bytes. It says how files are laid out, not what texts weigh, so no broadcast rests on it."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def is_small(df: DataFrame, limit: int = 256 << 10) -> bool:
-    """True when Catalyst puts the frame below ``limit`` bytes before running anything.
-
-    The default leaves room for what a query table grows into: a row per word, text field and source.
-    """
-    return plan_size(df) <= limit
-
-
 def spread(df: DataFrame, *keys: str, above: int = 4 << 20) -> DataFrame:
     """Use all cores for a table that arrives in fewer splits than there are cores, as one gzip or one row group does.
 

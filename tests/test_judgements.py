@@ -28,7 +28,7 @@ def test_suite(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize(("text", "message"), [("3 store 1\nquery x\n", "line 1"), ("query x\n\n3 store\n", "line 3"), ("query x\nhello\n", "line 2")])
+@pytest.mark.parametrize(("text", "message"), [("3 store 1\nquery x\n", "line 1"), ("query x\n\n3 store\n", "line 3"), ("query x\nhello\n", "line 2"), ("query x\nquery # y\n", "line 2"), ("query x\n-1 s a\n", "line 2")])
 def test_bad_lines(spark, tmp_path, text, message):
     path = tmp_path / "suite"
     path.write_text(text)
