@@ -161,12 +161,7 @@ def result_rows(spark, sf):
 
 # Evaluation -----------------------------------------------------------------------------------------------------------
 
-_QRELS = """qrels AS (SELECT d.lang AS query_id, 'docs' AS source, CAST(doc_id AS VARCHAR) AS id, 2 * quality + 1 - toxic AS relevance
-  FROM labels JOIN documents d USING (doc_id))"""
-_GRADED = f"""{_QRELS}, run AS (SELECT * FROM (SELECT lang AS query_id, CAST(doc_id AS VARCHAR) AS id,
-  row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rank FROM documents) WHERE rank <= 10),
-graded AS (SELECT query_id, rank, coalesce(relevance, 0) AS grade FROM run LEFT JOIN qrels USING (query_id, id)),
-ideal AS (SELECT query_id, relevance AS grade, row_number() OVER (PARTITION BY query_id ORDER BY relevance DESC) AS rank FROM qrels),
+METRICS = """ideal AS (SELECT query_id, relevance AS grade, row_number() OVER (PARTITION BY query_id ORDER BY relevance DESC) AS rank FROM qrels),
 tot AS (SELECT query_id, count(*) FILTER (relevance >= 2) AS total FROM qrels GROUP BY query_id),
 nat AS (SELECT query_id, rank, ordinal, total, ordinal / rank AS precision, ordinal / nullif(total, 0) AS recall FROM
   (SELECT *, count(*) FILTER (grade >= 2) OVER (PARTITION BY query_id ORDER BY rank) AS ordinal FROM graded) JOIN tot USING (query_id)
@@ -176,6 +171,12 @@ interp AS (SELECT t.query_id, level, CASE WHEN total > 0 THEN coalesce((SELECT m
   FROM tot t, (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8, 9, 10]) AS level)),
 ap AS (SELECT t.query_id, coalesce((SELECT sum(precision) FROM nat n WHERE n.query_id = t.query_id), 0) / nullif(total, 0) AS ap_raw,
   (SELECT avg(precision) FROM interp i WHERE i.query_id = t.query_id) AS ap_interpolated FROM tot t)"""
+_QRELS = """qrels AS (SELECT d.lang AS query_id, 'docs' AS source, CAST(doc_id AS VARCHAR) AS id, 2 * quality + 1 - toxic AS relevance
+  FROM labels JOIN documents d USING (doc_id))"""
+_GRADED = f"""{_QRELS}, run AS (SELECT * FROM (SELECT lang AS query_id, CAST(doc_id AS VARCHAR) AS id,
+  row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rank FROM documents) WHERE rank <= 10),
+graded AS (SELECT query_id, rank, coalesce(relevance, 0) AS grade FROM run LEFT JOIN qrels USING (query_id, id)),
+{METRICS}"""
 _GAIN = "CASE WHEN rank = 1 THEN grade ELSE grade / log2(rank) END"
 
 

@@ -1,0 +1,63 @@
+"""Stored tables that cannot pass for complete when they are not."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from confluo.plans.search import build
+from confluo.sources import store as S
+from confluo.sources.registry import Registry, SourceSpec
+from confluo.sources.store import StoredTables, is_stored, materialise
+from tests.helpers import catalogue
+from tests.test_search import DOCS
+
+
+def broken(rows):
+    return rows.withColumn("name", F.when(F.col("id") == "2", F.raise_error(F.lit("no such record")).cast("string")).otherwise(F.col("name")))
+
+
+def test_a_failed_catalogue_is_not_stored(spark, tmp_path):
+    root, rows = str(tmp_path), catalogue(spark, DOCS)
+    with pytest.raises(Exception, match="no such record"):
+        materialise(broken(rows), root, "s")
+    assert not is_stored(spark, root, "s")
+    assert materialise(rows, root, "s") and StoredTables(spark, root, ["s"]).catalogue.count() == 5
+
+
+def test_a_failed_rebuild_takes_the_marker_down(spark, tmp_path):
+    root, rows = str(tmp_path), catalogue(spark, DOCS)
+    materialise(rows, root, "s")
+    with pytest.raises(Exception, match="no such record"):
+        materialise(broken(rows), root, "s", force=True)
+    assert not is_stored(spark, root, "s")
+
+
+def test_a_table_that_fails_late_is_not_stored(spark, tmp_path, monkeypatch):
+    def fail(_):
+        raise RuntimeError("disk full")
+
+    monkeypatch.setattr(S.tb, "date_rows", fail)
+    with pytest.raises(RuntimeError):
+        materialise(catalogue(spark, DOCS), str(tmp_path), "s")
+    assert not is_stored(spark, str(tmp_path), "s")
+
+
+def test_build_reads_raw_records_once_to_store_them(spark, tmp_path):
+    """Rows read are counted where they are read."""
+    reads = spark.sparkContext.accumulator(0)
+    path = str(tmp_path / "raw")
+    catalogue(spark, DOCS).where("source = 's'").write.parquet(path)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    def read(session, _):
+        rows = session.read.parquet(path)
+        return rows.mapInArrow(count, rows.schema)
+
+    registry = Registry([SourceSpec("s", read)])
+    assert build(spark, registry, "", str(tmp_path / "root")) == {"s": {"reused": 0, "generated": 5}}
+    assert reads.value == 5
