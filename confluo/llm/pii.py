@@ -7,7 +7,7 @@ surroundings are). One boosted-tree model per kind scores the spans.
 
 The base spans are those of fixed patterns with fixed checks; they always stay. The models learn from them: a bounded sample of texts gives base spans,
 disguised copies of them as further positives, and proposals that fail the checks as negatives. The threshold of a kind is the lowest
-score at which the share of positives on a held-out half of the sample reaches ``PRECISION``. Selected spans do not overlap each other or base
+score (0.5 at least) down to which the share of positives on a held-out half of the sample reaches ``PRECISION``. Selected spans do not overlap each other or base
 spans: base first, then higher scores, then earlier and longer ones.
 
 Texts without a digit, an at sign or a bracketed "at" are passed over at once, as no generator can propose anything there.
@@ -47,8 +47,8 @@ _DOT = r"(?:\s?[\[({]\s?(?:dot|DOT|\.)\s?[\])}]\s?|\.)"
 PROPOSE = {
     "email": re.compile(rf"[\w.%+-]+{_AT}[\w-]+(?:{_DOT}[\w-]+)+"),
     "ip": re.compile(r"(?<![\d.])\d{1,3}(?:\s?[\[(]?\.[\])]?\s?\d{1,3}){3}(?![\d.])"),
-    "card": re.compile(r"(?<!\d)\d(?:[\x20./_-]?\d){12,18}(?!\d)"),
-    "phone": re.compile(r"(?<![\d.])(?:\+|00)?[(\d][\d\x20()./-]{5,20}\d(?!\d)"),
+    "card": re.compile(r"(?<!\w)\d(?:[\x20./_-]?\d){12,18}(?!\w)"),
+    "phone": re.compile(r"(?<![\w.])(?:\+|00)?[(\d][\d\x20()./-]{5,20}\d(?!\w)"),
 }
 _BRACKETED = re.compile(r"[\[({]\s?(?:at|AT)\s?[\])}]")
 _DIGIT = re.compile(r"[0-9]")
@@ -76,7 +76,8 @@ def _only_digits(text: str) -> str:
 def passes(kind: str, found: str) -> bool:
     """The fixed check of a base match."""
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in found.split(".") if p) if len(found) < 4000 else all(int(p.lstrip("0")[:4] or 0) <= 255 for p in found.split("."))
+        parts = [p.lstrip("0") for p in found.split(".")]
+        return all(len(p) <= 3 and int(p or 0) <= 255 for p in parts)
     if kind == "card":
         digits = _only_digits(found)
         return 14 <= len(digits) <= 19 and luhn(digits)
@@ -138,14 +139,21 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
     ]
 
 
-def disguises(found: str, kind: str) -> list[str]:
-    """Other ways to write a base span."""
+def _word(rng: random.Random) -> str:
+    return "".join(rng.choice("aeinorstlmd") for _ in range(rng.randint(2, 8)))
+
+
+def disguises(found: str, kind: str, rng: random.Random) -> list[str]:
+    """Other ways to write a base span, some with other names and numbers."""
     digits = _only_digits(found)
     if kind == "email":
         name, _, host = found.partition("@")
-        return [f"{name} [at] {host}", f"{name}(at){host.replace('.', '(dot)')}", f"{name} [at] {host.replace('.', ' [dot] ')}", f"{name}[@]{host}"]
+        name = rng.choice([name, re.sub("[0-9]", "", name).strip(".") or _word(rng), _word(rng), f"{_word(rng)}.{_word(rng)}"])
+        host = rng.choice([host, re.sub("[0-9]", "", host), f"{_word(rng)}.{rng.choice(['com', 'org', 'net', 'de'])}"])
+        return [f"{name} [at] {host}", f"{name}(at){host.replace('.', '(dot)')}", f"{name} [at] {host.replace('.', ' [dot] ')}", f"{name}[@]{host}", f"{name} (at) {host}"]
     if kind == "ip":
-        return [found.replace(".", "[.]"), found.replace(".", "(.)")]
+        parts = [p if rng.random() < 0.5 else str(rng.randint(0, rng.choice([9, 99, 255]))) for p in found.split(".")]
+        return [s.join(parts) for s in ("[.]", "(.)", "[.]", " . ")]
     if kind == "card":
         fours = [digits[i : i + 4] for i in range(0, len(digits), 4)]
         return [".".join(fours), "/".join(fours), "_".join(fours)]
@@ -158,7 +166,7 @@ def examples(text: str, seed: int) -> dict[str, list[tuple[list[float], int]]]:
     taken = [(a, b) for a, b, _ in base]
     for start, end, kind in base:
         out[kind].append((features(text, start, end, kind), 1))
-        for other in rng.sample(disguises(text[start:end], kind), 2):
+        for other in rng.sample(disguises(text[start:end], kind, rng), 2):
             changed = text[:start][-200:] + other + text[end : end + 200]
             at = len(text[:start][-200:])
             for a, b in proposals(changed, kind):
@@ -184,14 +192,22 @@ def _decoys(found: str, kind: str, rng: random.Random) -> list[str]:
         wrong = digits[:-1] + str((int(digits[-1]) + rng.randint(1, 9)) % 10)
         return [wrong, ".".join(wrong[i : i + 4] for i in range(0, len(wrong), 4))]
     if kind == "ip":
-        return [f"{rng.randint(256, 999)}.{rng.randint(0, 999)}.{rng.randint(256, 999)}.{rng.randint(0, 9)}", f"1.{rng.randint(0, 9)}.{rng.randint(0, 9)}.{rng.randint(300, 999)}"]
+        out = []
+        for joint in (".", "[.]"):
+            parts = [str(rng.randint(0, rng.choice([9, 99, 255]))) for _ in range(4)]
+            parts[rng.randrange(4)] = str(rng.randint(256, 999))
+            out.append(joint.join(parts))
+        return out
     if kind == "phone":
         return [
             f"{rng.randint(1900, 2099)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}", f"{rng.randint(1, 999)} {rng.randint(1, 999)} {rng.randint(1, 999)}",
             str(rng.randint(10**6, 10**9)), f"{rng.randint(1, 12)}/{rng.randint(1, 28)}/{rng.randint(1900, 2099)}", f"({rng.randint(1, 99)}) {rng.randint(1000, 99999)}",
             str(rng.randint(10**14, 10**16)), f"{rng.randint(1000, 9999)}.{rng.randint(1000, 9999)}", str(rng.randint(10**9, 10**10)),
         ]
-    return [found.replace("@", " at "), "@" + found.partition("@")[0]]
+    return [
+        f"{_word(rng)} (at) {_word(rng)}.{_word(rng).capitalize()}", f"{_word(rng).capitalize()} [at] {_word(rng)}.{_word(rng).capitalize()}", f"{rng.randint(1, 99)} (at) {rng.randint(1, 99)}.{rng.randint(10, 99)}",
+        f"{rng.randint(1, 9)}[@]{rng.randint(1, 99)}.{rng.randint(0, 99)}",
+    ]
 
 
 @dataclass(frozen=True)
@@ -237,7 +253,10 @@ def fit(texts: list[str]) -> SpanModel:
         last = np.append(scores[order][1:] < scores[order][:-1], True)
         good = np.flatnonzero((right >= PRECISION) & last)
         if len(good):
-            models[kind], thresholds[kind] = model, max(float(scores[order][good[-1]]), 0.5)
+            # Halfway to the next lower score, so that spans like the lowest accepted ones are accepted too.
+            low = scores[order][good[-1]]
+            below = scores[order][good[-1] + 1] if good[-1] + 1 < len(order) else 0.0
+            models[kind], thresholds[kind] = model, max(float(low + below) / 2, 0.5)
     return SpanModel(models, thresholds)
 
 

@@ -76,7 +76,7 @@ def test_base_spans_equal_brute_force(spark, model):
 
 def test_disguised_data_is_found_and_plain_numbers_are_not(model):
     hidden = ["write joe.b [at] mail.example.com now", "from 10[.]2[.]3[.]4 today", "card 4111.1111.1111.1111 ok", "call 555-321-4567 now"]
-    assert sum(bool(model.spans(t)[1]) for t in hidden) >= 3
+    assert [t for t in hidden if not model.spans(t)[1]] == []
     for text in ["on 2020-10-11 we met", "it is 4111111111111112", "version 1.2.3", "costs 120.000 in 1999", "no digits (at) all", "12 34"]:
         assert model.spans(text)[1] == [], text
 
