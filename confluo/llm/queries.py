@@ -75,6 +75,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = {
+    "op1_sharding": sharding.sql_shards(),
     "op3_decontamination": decontaminate.sql_contamination(),
     "op6_top_k": topk.sql_top_k(),
     "op7_licenses": licenses.sql_licenses(),

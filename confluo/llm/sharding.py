@@ -141,6 +141,18 @@ def shard_documents(docs: DataFrame, topology: Topology | None = None, key: str
     )
 
 
+def sql_crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes in DuckDB SQL, byte by byte over the usual table."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(str(value))
+    data = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    step = f"lambda c, b: xor(c >> 8, [{', '.join(table)}][xor(c & 255, b) + 1])"
+    return f"xor(list_reduce(list_concat([{0xFFFFFFFF}::BIGINT], {data}), {step}), {0xFFFFFFFF})"
+
+
 def sql_shards(topology: Topology | None = None) -> str:
     """The same in DuckDB SQL: the tree as tables, a draw per level as a minimum over joined children."""
     topology = layout() if topology is None else topology
@@ -171,8 +183,8 @@ def sql_shards(topology: Topology | None = None) -> str:
     return f"""WITH {tree(topology, "now")},
 {tree(grow(topology), "later")},
 crc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-rows AS (SELECT c.doc_id, CAST(strlen(text) + {ROW_OVERHEAD} AS BIGINT) AS size, n.shard AS shard, l.shard AS grown_shard,
+rows AS (SELECT c.doc_id, CAST(strlen(text) + {ROW_OVERHEAD} AS BIGINT) AS size, {sql_crc32("text")} AS text_crc32, n.shard AS shard, l.shard AS grown_shard,
   CAST('0x' || substr(md5('slot:' || c.doc_id), 1, {HASH_DIGITS}) AS BIGINT) AS h
   FROM crc c JOIN now_s n USING (doc_id) JOIN later_s l USING (doc_id))
-SELECT doc_id, size, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
   row_number() OVER (PARTITION BY shard ORDER BY h, doc_id) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard FROM rows"""
