@@ -219,9 +219,10 @@ def profile_edges(left: DataFrame, documents: DataFrame, sources: Sequence[str],
     plain = _best(plain, ["lkey"], k)
 
     dev_keys = F.explode(F.array_distinct(F.flatten(F.transform("docs", lambda d: d["devs"])))).alias("dev")
+    # The record's side of a bonus is attached first, so that entity lists are met by signature and developer (or time slot) at once.
     devs_only = (
-        met.join(by_devs.select("sig", "entity_id", "docs", dev_keys), "sig")
-        .join(with_devs.select("lkey", "dkey", "dev", "l_devs").distinct(), ["lkey", "dev"])
+        met.join(with_devs.select("lkey", "dkey", "dev", "l_devs").distinct(), "lkey")
+        .join(by_devs.select("sig", "entity_id", "docs", dev_keys), ["sig", "dev"])
         .withColumn("n_devs", _count(_devs_met))
         .where(F.col("n_devs") > 0)
         .select("lkey", "dkey", "entity_id", score(F.col("n_devs") * DEV_BONUS).alias("score"))
@@ -230,8 +231,8 @@ def profile_edges(left: DataFrame, documents: DataFrame, sources: Sequence[str],
 
     slots = F.filter(F.array_distinct(F.transform("docs", lambda d: _date_slot(d["date"]))), lambda s: s.isNotNull())
     date_only = (
-        met.join(by_date.select("sig", "entity_id", "docs", F.explode(slots).alias("slot")), "sig")
-        .join(with_date.select("lkey", "l_date").distinct().withColumn("slot", _near_slots(F.col("l_date"))), ["lkey", "slot"])
+        met.join(with_date.select("lkey", "l_date").distinct().withColumn("slot", _near_slots(F.col("l_date"))), "lkey")
+        .join(by_date.select("sig", "entity_id", "docs", F.explode(slots).alias("slot")), ["sig", "slot"])
         .withColumn("n_dates", _count(_date_met))
         .where(F.col("n_dates") > 0)
         .select("lkey", F.col("l_date").alias("date"), "entity_id", score(F.col("n_dates") * DATE_BONUS).alias("score"))
@@ -245,8 +246,8 @@ def profile_edges(left: DataFrame, documents: DataFrame, sources: Sequence[str],
         .withColumn("slot", _near_slots(F.col("l_date")))
     )
     dev_and_date = (
-        met.join(both.select("sig", "entity_id", "docs", dev_keys).withColumn("slot", F.explode(slots)), "sig")
-        .join(full, ["lkey", "dev", "slot"])
+        met.join(full, "lkey")
+        .join(both.select("sig", "entity_id", "docs", dev_keys).withColumn("slot", F.explode(slots)), ["sig", "dev", "slot"])
         .withColumn("n_devs", _count(_devs_met))
         .withColumn("n_dates", _count(_date_met))
         .where((F.col("n_devs") > 0) & (F.col("n_dates") > 0))

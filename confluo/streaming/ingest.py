@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from confluo.operators.normalise import first_wins
+from confluo.session import store_step
 from confluo.sources.files import child_names, exists, make_dir
 
 _RUN = "confluo-run-"
+BUCKETS = 16
 
 
 def _run_token(spark: SparkSession, checkpoint: str) -> str:
@@ -26,7 +28,8 @@ def _run_token(spark: SparkSession, checkpoint: str) -> str:
 
 
 def read_ingested(spark: SparkSession, stored: str, schema: T.StructType) -> DataFrame:
-    layout = T.StructType([*schema.fields, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
+    places = [T.StructField("run", T.StringType()), T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())]
+    layout = T.StructType([*schema.fields, *places])
     return spark.read.schema(layout).parquet(stored)
 
 
@@ -42,7 +45,8 @@ def ingest(
     """Take in what has arrived in ``incoming`` since the last call, then stop.
 
     Within a batch the first record of a key wins (older file, then order in the file); keys stored by other batches are
-    skipped. A batch owns one folder and overwrites it, so a batch that is retried after a failure does not double its rows.
+    skipped. Rows are stored in buckets by the hash of their key, and only the buckets a batch touches are looked through.
+    A batch owns one folder and overwrites it, so a batch that is retried after a failure does not double its rows.
     """
     reader = spark.readStream.schema(schema)
     if max_files:
@@ -59,12 +63,15 @@ def ingest(
     def append(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         fresh = batch.where(F.col(key).isNotNull()).withColumn("_row", F.monotonically_increasing_id())
-        fresh = first_wins(fresh, [key], order).select(*schema.names)
+        bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+        fresh = store_step(first_wins(fresh, [key], order).select(*schema.names, bucket.alias("bucket")), "arrived")
         if exists(session, stored):
+            # At most BUCKETS numbers; they prune folders of the stored rows.
+            touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]
             mine = (F.col("run") == run) & (F.col("batch") == batch_id)
-            others = read_ingested(session, stored, schema).where(~mine).select(key)
+            others = read_ingested(session, stored, schema).where(F.col("bucket").isin(touched)).where(~mine).select(key)
             fresh = fresh.join(others, key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{stored}/run={run}/batch={batch_id}")
+        fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{stored}/run={run}/batch={batch_id}")
 
     return (
         arriving.writeStream.foreachBatch(append)
