@@ -35,6 +35,7 @@ BLOCK = 4096
 SEEDS = 1024
 HEAD_SHARE = 4  # the rotated head is a quarter of the dimensions
 CHUNK = 256
+DENSE = 0.05  # share of open pairs from which a block is multiplied whole
 
 
 def quantise(vector: Column, scale: int = SCALE) -> Column:
@@ -129,11 +130,21 @@ def search_block(block: QueryBlock, ids: np.ndarray, vectors: np.ndarray, best:
         own = slice(at, at + CHUNK)
         bound = block.head[live] @ head[own].T + np.outer(block.rest[live], rest[own])
         slack = 1e-9 * np.outer(block.length[live], length[own]) + 1e-6
-        row, column = np.nonzero((bound + slack >= need[live, None]) & (ids[own] != block.ids[live, None]))
-        if len(row):
-            row, column = live[row], column + at
+        open_ = (bound + slack >= need[live, None]) & (ids[own] != block.ids[live, None])
+        if np.count_nonzero(open_) > open_.size * DENSE:
+            # Most pairs are open, so one product of the whole block is cheaper than picking them out.
+            scores = block.vectors[live] @ vectors[own].T
+            scored += scores.size
+            row, column = np.nonzero(open_ & (scores >= need[live, None]))
+            scores = scores[row, column]
+        else:
+            row, column = np.nonzero(open_)
+            scores = np.einsum("ij,ij->i", block.vectors[live[row]], vectors[column + at])
             scored += len(row)
-            best.add(row, ids[column], np.einsum("ij,ij->i", block.vectors[row], vectors[column]))
+            good = scores >= need[live[row]]
+            row, column, scores = row[good], column[good], scores[good]
+        if len(row):
+            best.add(live[row], ids[column + at], scores)
     return scored
 
 
