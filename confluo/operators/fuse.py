@@ -16,7 +16,11 @@ def _score_column(i: int) -> str:
 
 
 def fuse_sources(hits: DataFrame, sources: Sequence[str]) -> DataFrame:
-    """One row per (query, entity) with its score in every registered source, null where it did not match."""
+    """One row per (query, entity) with its score in every registered source, null where it did not match.
+
+    Resolution is one to one, so a source holds an entity in one document. Should a catalogue break that, its best score counts
+    here, and the directory shows its smallest id.
+    """
     scores = [
         F.max(F.when(F.col("source") == s, F.col("score"))).alias(_score_column(i)) for i, s in enumerate(sources)
     ]

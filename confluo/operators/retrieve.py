@@ -116,11 +116,12 @@ def _keyword_hits(rows: DataFrame, tables, small: bool) -> DataFrame:
 
 
 def _date_hits(rows: DataFrame, tables, small: bool) -> DataFrame:
-    """Inclusive ranges through an equi-join on the year; open ranges meet every document under one extra key."""
-    bounded = F.col("lo").isNotNull() & F.col("hi").isNotNull()
-    years = F.transform(F.sequence(F.year("lo"), F.year("hi")), lambda y: y.cast("string"))
-    keyed = rows.withColumn("year", F.explode(F.when(bounded, years).otherwise(F.array(F.lit("*")))))
-    dated = tables.dates().withColumn("year", F.explode(F.array(F.year("date").cast("string"), F.lit("*"))))
+    """Inclusive ranges through an equi-join on the year; ranges are cut to the years that occur, open ends among them."""
+    dated = tables.dates().withColumn("year", F.year("date"))
+    first, last = dated.agg(F.min("year"), F.max("year")).first()
+    start = F.greatest(F.coalesce(F.year("lo"), F.lit(first).cast("int")), F.lit(first).cast("int"))
+    end = F.least(F.coalesce(F.year("hi"), F.lit(last).cast("int")), F.lit(last).cast("int"))
+    keyed = rows.withColumn("year", F.explode(F.when(start <= end, F.sequence(start, end))))
     inside = (F.col("lo").isNull() | (F.col("date") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("date") < F.col("hi")))
     return dated.join(_small_side(keyed, small), "year").where(inside).withColumn("score", F.col("weight"))
 

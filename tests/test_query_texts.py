@@ -150,3 +150,8 @@ def test_several_suites_are_judged_apart(spark, tmp_path):
     assert set(ndcg) == {"1", "2", "3"} and ndcg["3"] == 1 and ndcg["2"] == 0
     # The last grade of a document counts: both judged documents are relevant and on top.
     assert {r.query_id: r.ap_raw for r in figures["average"].collect()}["1"] == pytest.approx(1.0)
+
+
+def test_dates_of_a_catalogue_without_any(spark):
+    tables = CatalogueTables(catalogue(spark, [doc("s", 1, "x")]), ["s"])
+    assert retrieve(tables, query_table(spark, {"q": [date_range(None, None)], "r": [date_in("2016")]})).count() == 0
