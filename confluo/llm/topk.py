@@ -64,7 +64,10 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def rotation(vectors: DataFrame, width: int) -> np.ndarray:
-    """Right singular vectors of all vectors, strongest first: from a width x width matrix summed up over tasks."""
+    """Right singular vectors of all vectors, strongest first: from a width x width matrix summed up over tasks.
+
+    The driver holds that matrix, whatever the number of vectors: width squared doubles.
+    """
 
     def run(batches: Batches) -> Batches:
         total = np.zeros((width, width))
