@@ -10,6 +10,10 @@ languages would spoil a dictionary, so each half of the sample is first judged w
 whose label is not confirmed are left out. What remains is laid end to end and the last ``DICTIONARY`` bytes are kept. Language, source
 and id are no inputs of a prediction.
 
+Every label gets a dictionary. ``LANGUAGES`` of them are made ready at a time: with more, each group of texts meets one block of dictionaries after
+the other and keeps its two smallest totals, which is what one pass would find. The driver and a Python worker hold the raw content of all.
+Confirming the sample on the driver takes time with the square of the number of labels.
+
 Defined results: NULL texts and texts without a letter are ``und`` with score 0; ties go to the language that sorts first; rows with equal
 ids are judged one by one; without any labelled text every document is ``und``; other columns are ignored.
 """
@@ -41,11 +45,11 @@ _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> dict[str, bytes]:
-    """Raw dictionary content of every language, of the ``LANGUAGES`` most frequent ones if there are more."""
+    """Raw dictionary content of every language."""
     rows = pick(docs, doc_id, text, lang).toDF("doc_id", "text", "lang")
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~in_fold(F.col("doc_id"), FOLDS, HELD_OUT))
-    # Counts of the languages, the most frequent first; a share by hash bounds what is ranked, whatever the size of the input.
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    # Counts of the languages; a share by hash bounds what is ranked, whatever the size of the input.
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return {}
     steps = 1 << 30
@@ -61,8 +65,12 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 def build(sample: list[tuple[str, str]]) -> dict[str, bytes]:
     """Dictionaries from the sample's texts whose label the other half of the sample confirms."""
     halves = [_join(sample[0::2]), _join(sample[1::2])]
-    judges = [Compressors(tuple(half.items())) for half in halves]
-    confirmed = [(language, text) for i, (language, text) in enumerate(sample) if judges[1 - i % 2].classify(text)[0] == language]
+    confirmed = []
+    for k, half in enumerate(halves):
+        other = sample[1 - k :: 2]
+        found = classify_all(_blocks(half), [text for _, text in other])
+        confirmed += [(2 * i + 1 - k, x) for i, (x, f) in enumerate(zip(other, found, strict=True)) if x[0] == f[0]]
+    confirmed = [x for _, x in sorted(confirmed)]
     # A language of which nothing is confirmed keeps what it has.
     return {**_join(sample), **_join(confirmed)}
 
@@ -94,18 +102,42 @@ class Compressors:
             words.precompute_compress(level=level)
             self.coders.append((language, zstandard.ZstdCompressor(dict_data=words, level=level, write_checksum=False, write_content_size=False)))
 
-    def classify(self, text: str | None) -> tuple[str, float, bool]:
-        """Language, score and whether the margin is too narrow."""
+    def smallest(self, text: str | None) -> list[tuple[int, str]]:
+        """The two smallest totals and their languages."""
         folded = _fold(text) if text else ""
-        if not folded or not self.coders:
-            return NONE, 0.0, True
+        if not folded:
+            return []
         data = (" " + folded + " ").encode()
         stretches = [data[i : i + STRETCH] for i in range(0, len(data), STRETCH)]
-        sizes = sorted((sum(map(len, map(coder.compress, stretches))), language) for language, coder in self.coders)
-        if len(sizes) == 1:
-            return sizes[0][1], 1.0, False
-        margin = 1 - sizes[0][0] / sizes[1][0]
-        return sizes[0][1], 1 - math.exp(-10 * margin), margin < MARGIN
+        return sorted((sum(map(len, map(coder.compress, stretches))), language) for language, coder in self.coders)[:2]
+
+
+def verdict(sizes: list[tuple[int, str]]) -> tuple[str, float, bool]:
+    """Language, score and whether the margin is too narrow."""
+    if not sizes:
+        return NONE, 0.0, True
+    if len(sizes) == 1:
+        return sizes[0][1], 1.0, False
+    margin = 1 - sizes[0][0] / sizes[1][0]
+    return sizes[0][1], 1 - math.exp(-10 * margin), margin < MARGIN
+
+
+Content = tuple[tuple[str, bytes], ...]
+
+
+def _blocks(dictionaries: dict[str, bytes]) -> list[Content]:
+    """At most ``LANGUAGES`` dictionaries each."""
+    items = list(dictionaries.items())
+    return [tuple(items[i : i + LANGUAGES]) for i in range(0, len(items), LANGUAGES)]
+
+
+def classify_all(blocks: list[Content], texts: list[str | None]) -> list[tuple[str, float, bool]]:
+    """The verdict on every text, one block of dictionaries after the other."""
+    best: list[list[tuple[int, str]]] = [[] for _ in texts]
+    for block in blocks:
+        own = _compressors(block)
+        best = [sorted(old + own.smallest(text))[:2] for old, text in zip(best, texts, strict=True)]
+    return list(map(verdict, best))
 
 
 @lru_cache(maxsize=1)
@@ -113,17 +145,29 @@ def _compressors(content: tuple[tuple[str, bytes], ...]) -> Compressors:
     return Compressors(content)
 
 
+def _groups(batches: Batches, size: int = 16 << 20) -> Batches:
+    """Join small batches up to a bound, so that a block is made ready for many texts."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, lang_pred, score, rejected`` for every document."""
     small_batches(docs.sparkSession)
-    # At most DICTIONARY bytes per language.
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(dictionaries.items()))
+    # At most DICTIONARY bytes per language and LANGUAGES of them in one broadcast.
+    shared = [docs.sparkSession.sparkContext.broadcast(block) for block in _blocks(dictionaries)]
     rows = pick(docs, doc_id, text).toDF("doc_id", "text")
 
     def run(batches: Batches) -> Batches:
-        own = _compressors(shared.value)
-        for batch in batches:
-            found = [own.classify(t) for t in batch.column(1).to_pylist()]
+        blocks = [handle.value for handle in shared]
+        for batch in batches if len(blocks) < 2 else _groups(batches):
+            found = classify_all(blocks, batch.column(1).to_pylist())
             columns = [
                 batch.column(0),
                 pa.array([x[0] for x in found], pa.string()),

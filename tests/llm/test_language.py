@@ -65,3 +65,13 @@ def test_mixed_up_labels_are_left_out():
     mixed = [("de", text("en")) for _ in range(4)]
     assert language.build(sample + mixed)["de"].decode().split().count("the") <= language._join(sample + mixed)["de"].decode().split().count("the")
     assert not any(t.encode() in language.build(sample + mixed)["de"] for _, t in mixed)
+
+
+def test_blocks_of_languages_equal_one_pass(spark, monkeypatch):
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string, lang string, source string, n_chars long")
+    whole = language.train(docs)
+    expected = sorted(map(tuple, language.identify(docs, whole).collect()))
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    learned = language.train(docs)
+    assert learned == whole and set(learned) == set(PARTS)
+    assert sorted(map(tuple, language.identify(docs, learned).collect())) == expected
