@@ -12,6 +12,9 @@ is contaminated if at least one in ``SHARE`` of its words is hit.
 
 The benchmark is a stated query set: it is read in blocks of bounded size, each block meets all shards in one pass.
 
+Items without an id are left out unless ``unnamed`` is set, as the registered query and the pipeline do: then their windows hit like any other;
+all of them count as one item (NULL), which the digest of ids does not show.
+
 Defined results: a NULL text has no words; an item without words has no window; rows with equal ids are judged on their own; a text
 longer than a shard is a shard of its own; an empty benchmark hits nothing; an empty table gives an empty table.
 """
@@ -52,17 +55,17 @@ class Block:
     vocabulary: dict[bytes, int]
     windows: np.ndarray  # word numbers from 1, padded with 0
     lengths: np.ndarray
-    sources: tuple[tuple[tuple[int, int], ...], ...]  # (item id, word place) of every window
+    sources: tuple[tuple[tuple[int | None, int, int], ...], ...]  # (item id, word place, item row) of every window
 
 
-def build_block(items: list[tuple[int, bytes]]) -> Block | None:
+def build_block(items: list[tuple[int | None, bytes]]) -> Block | None:
     vocabulary: dict[bytes, int] = {}
-    found: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-    for item, text in items:
+    found: dict[tuple[int, ...], list[tuple[int | None, int, int]]] = {}
+    for row, (item, text) in enumerate(items):
         ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
         if ids:
             for i in range(max(1, len(ids) - WINDOW + 1)):
-                found.setdefault(tuple(ids[i : i + WINDOW]), []).append((item, i))
+                found.setdefault(tuple(ids[i : i + WINDOW]), []).append((item, i, row))
     if not found:
         return None
     windows = np.zeros((len(found), WINDOW), np.uint32)
@@ -71,11 +74,11 @@ def build_block(items: list[tuple[int, bytes]]) -> Block | None:
     return Block(vocabulary, windows, np.array([len(w) for w in found]), tuple(map(tuple, found.values())))
 
 
-def blocks_of(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
+def blocks_of(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES, unnamed: bool = False) -> Iterator[Block]:
     """The benchmark in blocks; the driver holds one block of items at a time."""
     rows, size = [], 0
     for item, body in pick(benchmark, item_id, text).toLocalIterator():
-        if item is None or not body:
+        if (item is None and not unnamed) or not body:
             continue
         rows.append((item, body.encode()))
         size += len(rows[-1][1])
@@ -177,6 +180,11 @@ def _grouped(batches: Batches, text: str, rows: int = 8 * 512, size: int = 16 <<
 MARKS = "n_words bigint, hits array<int>, items array<bigint>"
 
 
+def _ids(items: set[int | None]) -> list[int | None]:
+    """Sorted, NULL last."""
+    return sorted(items, key=lambda i: (i is None, i or 0))
+
+
 def _marker(handle, text: str, before: tuple[str, str] | None, names: tuple[str, str, str]) -> Callable[[Batches], Batches]:
     """Add word count, hit stretches and item ids; ``before`` names the columns an earlier block has left."""
 
@@ -187,11 +195,11 @@ def _marker(handle, text: str, before: tuple[str, str] | None, names: tuple[str,
             for found in scan(byte_texts(batch.column(batch.schema.get_field_index(text))), block):
                 counts.append(found.n_words)
                 hits.append(found.hits)
-                items.append(sorted({i for w in set(found.windows.tolist()) for i, _ in block.sources[w]}))
+                items.append(_ids({i for w in set(found.windows.tolist()) for i, _, _ in block.sources[w]}))
             if before:
                 old = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in before]
                 hits = [_union(a, b) for a, b in zip(old[0], hits, strict=True)]
-                items = [sorted({*a, *b}) for a, b in zip(old[1], items, strict=True)]
+                items = [_ids({*a, *b}) for a, b in zip(old[1], items, strict=True)]
             columns = (pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.int64())))
             yield with_columns(batch, list(names), **dict(zip(names, columns, strict=True)))
 
@@ -216,6 +224,7 @@ def mark(
     item_id: str = "item_id",
     item_text: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    unnamed: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """All columns of ``docs`` and three more: words, hit stretches as [start, end, start, end, ...], ids of items with hits.
 
@@ -228,7 +237,7 @@ def mark(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{n}` {m.split()[1]}" for n, m in zip(names, MARKS.split(", "), strict=True)]
     )
     out, done = docs, 0
-    for block in blocks_of(benchmark, item_id, item_text, block_bytes):
+    for block in blocks_of(benchmark, item_id, item_text, block_bytes, unnamed):
         if done:
             out = store_step(out, "decontaminate")
         before = (names[1], names[2]) if done else None
@@ -301,13 +310,13 @@ def _matcher(handle) -> Callable[[Batches], Batches]:
             out = []
             for key, found in zip(batch.column(0).to_pylist(), scan(byte_texts(batch.column(1)), block), strict=True):
                 hits = [
-                    (item, place - offset, place, int(block.lengths[w]))
+                    (row, place - offset, place, int(block.lengths[w]), item)
                     for place, w in zip(found.places.tolist(), found.windows.tolist(), strict=True)
-                    for item, offset in block.sources[w]
+                    for item, offset, row in block.sources[w]
                 ]
-                for (item, shift), run_ in itertools.groupby(sorted(hits), key=lambda h: h[:2]):
+                for (_, shift), run_ in itertools.groupby(sorted(hits), key=lambda h: h[:2]):
                     start = end = None
-                    for _, _, place, length in run_:
+                    for _, _, place, length, item in run_:
                         if start is not None and place == last + 1:
                             end, last = place + length, place
                             continue

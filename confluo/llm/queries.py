@@ -34,7 +34,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 @_query

@@ -80,3 +80,26 @@ def test_odd_rows(spark):
     assert D.decontaminate(docs, none).count() == docs.count()
     assert D.contamination(empty_docs(spark), items).count() == 0
     assert D.longest_matches(docs, none).count() == 0
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_items_without_id_hit(spark, block_bytes, tmp_path):
+    import corpus_pipeline
+    from confluo.llm.queries import QUERIES
+
+    docs, items = random_case(block_bytes)
+    items.append((None, "w3 w4"))
+    schema = "doc_id long, text string"
+    d = spark.createDataFrame(docs, schema)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    # The brute force writes a missing id out; the digest leaves it out.
+    named = {r[0]: r[4] for r in brute(docs, [x for x in items if x[0] is not None])}
+    expected = [(*r[:4], named[r[0]], r[5]) for r in brute(docs, items)]
+    assert expected != brute(docs, [x for x in items if x[0] is not None])
+    assert rows_of(D.contamination(d, b, block_bytes=block_bytes, unnamed=True), "*") == sorted(expected, key=repr)
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    b.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert rows_of(QUERIES["op3_decontamination"](spark, str(tmp_path)), "*") == sorted(expected, key=repr)
+    kept = corpus_pipeline.drop_contaminated(spark, d, str(tmp_path))
+    assert rows_of(kept, "doc_id") == sorted([(r[0],) for r in expected if not r[5]], key=repr)
+    assert {r.item_id for r in D.longest_matches(d, b, unnamed=True).collect()} >= {None}
