@@ -1,16 +1,22 @@
 """Licence scan: passages of a text compared to licence templates by the Dice coefficient over word bigrams.
 
 Texts are normalised to words: runs of ASCII letters and digits, lower-cased. Licence text can stand anywhere, so a document is
-compared by lines, by sentences within lines, and by paragraphs of several lines. Dice is ``2 |A and B| / (|A| + |B|)`` over sets of
+compared by lines, by sentences within lines, by paragraphs of several lines, and by word windows across line ends (below). Dice is ``2 |A and B| / (|A| + |B|)`` over sets of
 bigrams, so a passage can reach the threshold ``t`` only where ``t / (2 - t) <= |A| / |B| <= (2 - t) / t``: templates outside these bounds
 are not compared.
 
 Before that, documents and passages without any signal word are passed over. A match shares at least ``s`` of a template's ``b`` bigrams, so it
 contains one of any ``b - s + 1`` of them (prefix filtering); the signal words are the longer words of such bigrams, chosen for length.
 
+Notices that are hard-wrapped inside a longer paragraph or a comment header are no passage of their own. For a licence that no passage
+shows, the words of the whole text are taken as one sequence, line ends and comment marks being no words. At every bigram of a
+template a window of the template's length in words begins (shorter at the end of the text); windows over two or more lines are compared like
+passages. Windows inside one line are not: there lines and sentences are what counts. Templates of which the text holds too few
+words or bigrams for a match have no windows.
+
 Everything is one expression per row, built from SQL functions: no shuffle, no join, no Python. Templates are literals in the plan.
 
-Defined results: a NULL or empty text matches nothing and still has its row; of several passages that match a licence the best counts; ties
+Defined results: a NULL or empty text matches nothing and still has its row; of several passages, or else windows, that match a licence the best counts; ties
 between licences go to the one that sorts first; rows with equal ids are scanned one by one; an empty table gives an empty table;
 other columns are ignored.
 """
@@ -91,14 +97,18 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(size * threshold / (2 - threshold) - 1e-9), math.floor(size * (2 - threshold) / threshold + 1e-9)
 
 
+def least_shared(size: int, threshold: float) -> int:
+    """How many bigrams of a template of ``size`` bigrams every match shares."""
+    return math.ceil(threshold * (size + bounds(size, threshold)[0]) / 2 - 1e-9)
+
+
 def signal_words(templates: dict[str, list[str]], threshold: float) -> list[str]:
     """Words of which every matching passage contains one."""
     out: set[str] = set()
     for text in (t for texts in templates.values() for t in texts):
         grams = template_bigrams(text)
         if grams:
-            low, _ = bounds(len(grams), threshold)
-            shared = math.ceil(threshold * (len(grams) + low) / 2 - 1e-9)
+            shared = least_shared(len(grams), threshold)
             longer = sorted((max(g.split(), key=lambda w: (len(w), w)) for g in grams), key=lambda w: (-len(w), w))
             out.update(longer[: len(grams) - shared + 1])
     return sorted(out)
@@ -108,10 +118,14 @@ def normal_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
 
 
+def word_pairs(words: Column) -> Column:
+    """Pairs of neighbouring words, in order."""
+    return F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+
+
 def bigrams(words: Column) -> Column:
     """Distinct pairs of neighbouring words."""
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(pairs)
+    return F.array_distinct(word_pairs(words))
 
 
 def passages(text: Column) -> Column:
@@ -128,6 +142,31 @@ def _dice(own: list[str], low: int, high: int) -> Callable[[Column], Column]:
     return lambda g: F.when(F.size(g).between(low, high), 2 * F.size(F.array_intersect(g, literal)) / (F.size(g) + len(own)))
 
 
+def _window_dice(template: str, threshold: float) -> Column | None:
+    """Best Dice of the windows of a template across line ends; ``all`` has the text's distinct bigrams, ``pairs`` all in order, ``line`` and
+    ``words`` a line number and a word for every word."""
+    own = template_bigrams(template)
+    if not own:
+        return None
+    length = len(re.findall("[a-z0-9]+", template.lower()))
+    low, high = bounds(len(own), threshold)
+    literal = F.array(*[F.lit(g) for g in own])
+    begins = F.filter(F.transform("pairs", lambda g, i: F.when(F.array_contains(literal, g), i + 1)), lambda i: i.isNotNull())
+    across = F.filter(begins, lambda i: F.element_at("line", i) < F.element_at("line", F.least(i + length - 1, F.size("line"))))
+    windows = F.transform(across, lambda i: F.array_distinct(F.slice("pairs", i, length - 1)))
+    possible = F.size(F.array_intersect("all", literal)) >= least_shared(len(own), threshold)
+    return F.when(possible, F.array_max(F.transform(windows, _dice(own, low, high))))
+
+
+def _has_words(texts: list[str], threshold: float) -> Column:
+    """Whether the words ``held`` by the text suffice for a match: every template word that is missing takes a bigram of its own with it."""
+    out = F.lit(False)
+    for own in filter(None, map(template_bigrams, texts)):
+        words = sorted({w for g in own for w in g.split()})
+        out = out | (F.size(F.array_intersect("held", F.array(*map(F.lit, words)))) >= len(words) - len(own) + least_shared(len(own), threshold))
+    return out
+
+
 def scan_licenses(
     docs: DataFrame, threshold: float = THRESHOLD, templates: dict[str, list[str]] | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -150,9 +189,41 @@ def scan_licenses(
                 best.append(F.array_max(F.transform("grams", _dice(own, low, high))))
         return F.greatest(*best) if len(best) > 1 else best[0] if best else F.lit(None).cast("double")
 
-    scores = [F.struct((-dice(texts)).alias("d"), F.lit(name).alias("licence")) for name, texts in sorted(templates.items())]
-    found = F.filter(F.array(*scores), lambda x: -x["d"] >= threshold)
-    scanned = rows.select("doc_id", grams.alias("grams")).select("doc_id", F.when(F.size("grams") > 0, found).alias("found"))
+    def windows(texts: list[str]) -> Column:
+        best = [x for x in (_window_dice(t, threshold) for t in texts) if x is not None]
+        return F.greatest(*best) if len(best) > 1 else best[0] if best else F.lit(None).cast("double")
+
+    def matches(score: Callable[[list[str]], Column], only: Column | None = None) -> Column:
+        scores = [
+            F.struct((-(score(texts) if only is None else F.when(F.array_contains(only, name), score(texts)))).alias("d"), F.lit(name).alias("licence"))
+            for name, texts in sorted(templates.items())
+        ]
+        return F.filter(F.array(*scores), lambda x: -x["d"] >= threshold)
+
+    scanned = rows.select("doc_id", "text", grams.alias("grams")).select(
+        "doc_id", F.when(F.size("grams") > 0, matches(dice)).alias("found"), F.when(F.col("grams").isNotNull() & F.col("text").contains("\n"), F.col("text")).alias("text")
+    )
+    known = sorted({w for texts in templates.values() for t in texts for g in template_bigrams(t) for w in g.split()})
+    held = F.array_intersect(normal_words(F.col("text")), F.array(*map(F.lit, known)).cast("array<string>"))
+    seen = F.coalesce(F.transform("found", lambda x: x["licence"]), F.array().cast("array<string>"))
+    scanned = scanned.select("*", held.alias("held"), seen.alias("seen"))
+    may = [F.when(~F.array_contains("seen", name) & _has_words(texts, threshold), F.lit(name)) for name, texts in sorted(templates.items())]
+    scanned = scanned.select("doc_id", "found", "text", F.when(F.size("held") > 0, F.array_compact(F.array(*may))).alias("open"))
+    lines = F.when(F.size("open") > 0, F.split("text", "\n"))
+    worded = scanned.select("doc_id", "found", "open", F.transform(lines, normal_words).alias("by_line"))
+    flat = worded.select(
+        "doc_id", "found", "open", F.flatten("by_line").alias("words"), F.flatten(F.transform("by_line", lambda w, i: F.array_repeat(i, F.size(w)))).alias("line")
+    )
+    paired = flat.select("doc_id", "found", "open", "line", word_pairs(F.col("words")).alias("pairs"))
+    distinct = paired.select("*", F.array_distinct("pairs").alias("all"))
+    wrapped = F.when(F.size("all") > 0, matches(windows, F.col("open")))
+    none = F.array().cast("array<struct<d:double,licence:string>>")
+    # Licences in the order of their names, as the list of passages is.
+    both = F.array_sort(
+        F.concat(F.coalesce("found", none), F.coalesce("wrapped", none)),
+        lambda a, b: F.when(a["licence"] < b["licence"], -1).when(a["licence"] > b["licence"], 1).otherwise(0),
+    )
+    scanned = distinct.select("doc_id", "found", wrapped.alias("wrapped")).select("doc_id", both.alias("found"))
     best = F.array_min("found")
     return scanned.select(
         "doc_id",

@@ -71,3 +71,25 @@ def test_odd_rows(spark):
     out = L.scan_licenses(crowded(odd_docs(spark)))
     assert rows_of(out, "*") == sorted([(r[0], *brute(r[1])) for r in odd_rows()], key=repr)
     assert L.scan_licenses(empty_docs(spark)).count() == 0
+
+
+def wrapped(text, width, mark):
+    words, lines = text.split(), []
+    for i in range(0, len(words), width):
+        lines.append(mark + " ".join(words[i : i + width]))
+    return "\n".join(lines)
+
+
+def test_wrapped_notices(spark):
+    name = {"MIT": 2, "GPL-3.0": 1, "BSD-3-Clause": 0, "Apache-2.0": 2}
+    rows = [(licence, f"{mark}Copyright (c) 2020 some authors\n{mark.rstrip()}\n{wrapped(L.TEMPLATES[licence][k], 9, mark)}\n{mark.rstrip()}\n{wrapped(prose(k, 120), 9, mark)}") for licence, k in name.items() for mark in (" * ", "# ", "// ")]
+    rows.append(("MIT", f"{prose(1, 9)}. This is released under the MIT\nLicense. {prose(2, 12)}. {prose(3, 9)}."))
+    rows.append(("MIT", f"{prose(1, 40)}\nmore is released under the\r\n MIT\n\nLicense"))
+    rows += [("", f"{prose(1, 9)} under the\nlicense of {prose(2, 12)}"), ("", "released under the MIT Foundation and much else besides that\nreleased later on under other terms")]
+    assert not any(brute(t)[0] for _, t in rows)
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.scan_licenses(docs).collect()}
+    for i, (licence, text) in enumerate(rows):
+        # The two GPL notices are alike, wrapped or not.
+        alike = "GPL-2.0,GPL-3.0" if licence == "GPL-3.0" else licence
+        assert (got[i].licenses, got[i].best_license, got[i].best_dice) == (alike, licence or None, 1.0 if licence else None), text
