@@ -16,7 +16,7 @@ smallest member. That loses no link and adds none.
 Components come from alternating star contractions (Kiveris et al. 2014) on the links alone; every round is stored in the shared folder.
 
 Defined results: a NULL text has no words; rows with equal ids are one document of several texts, whose id may stand in several components;
-an empty table gives an empty table; other columns are ignored.
+an empty table gives an empty table; other columns are ignored. Deduplication goes by rows: one row of every component stays.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh64_digest
 
-from confluo.llm.common import Batches, byte_texts, pick, small_batches
+from confluo.llm.common import Batches, byte_texts, fresh, pick, small_batches, with_columns
 from confluo.session import store_step
 
 SHINGLE = 3
@@ -147,14 +147,17 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _rooted(prints: DataFrame) -> DataFrame:
+    """``fp, first, root`` for every distinct fingerprint: its smallest id and the smallest fingerprint of its component."""
+    distinct = store_step(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    roots = components(links(distinct.select("fp")))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, fingerprint, component_id``: the component is named by the smallest id reachable, the document's own included."""
     prints = store_step(fingerprints(docs, doc_id, text), "simhash")
-    distinct = store_step(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = components(links(distinct.select("fp")))
-    linked = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    linked = _rooted(prints)
     named = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = linked.join(named, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select(
@@ -162,13 +165,37 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
+def _with_fingerprint(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """All columns of ``docs`` and the fingerprint of the text."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            prints = b"".join(map(fingerprint, byte_texts(batch.column(batch.schema.get_field_index(text)))))
+            yield with_columns(batch, [], **{name: pa.array(np.frombuffer(prints, ">i8").astype(np.int64), pa.int64())})
+
+    return docs.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{name}` bigint"]))
+
+
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of every component, with the columns it came with; rows repeated under one id count as one document.
+    """One row of every component, with the columns it came with.
 
-    The document with the smallest id stays. Rows without an id stay, as nothing names them.
+    The row with the smallest id stays, a row without an id only where no other is in the component. Of several rows with that id the one
+    with the smallest fingerprint stays, then the one with the smallest hash of its columns. Where no id is repeated or missing, the
+    id alone says which row it is, and texts are not read a second time.
     """
-    groups = store_step(near_duplicates(docs, doc_id, text), "groups")
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias(doc_id))
-    repeated = groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").limit(1).count() > 0
-    kept = docs.join(keep.distinct() if repeated else keep, doc_id, "left_semi").unionByName(docs.where(F.col(doc_id).isNull()))
-    return kept.dropDuplicates([doc_id]) if repeated else kept
+    prints = store_step(fingerprints(docs, doc_id, text), "simhash")
+    linked = _rooted(prints)
+    first = F.min(F.struct(F.col("first").isNull().alias("unnamed"), F.col("first").alias("id"), F.col("fp").alias("print"))).alias("w")
+    winners = store_step(linked.groupBy("root").agg(first).select("w.id", "w.print"), "winners")
+    named = prints.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count() == 0
+    if named:
+        return docs.join(winners.select(F.col("id").alias(doc_id)), doc_id, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    fp, tie, row = fresh(docs, "fp", "tie", "row_")
+    printed = _with_fingerprint(docs, text, fp)
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("id")) & (F.col(fp) == F.col("print"))
+    chosen = printed.join(winners, same, "left_semi")
+    # Maps have no hash.
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    chosen = chosen.select(F.col(f"`{doc_id}`").alias(f"{row}id"), F.col(fp).alias(f"{row}fp"), F.xxhash64(*plain).alias(tie), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
+    return chosen.groupBy(f"{row}id", f"{row}fp").agg(F.min_by(row, tie).alias(row)).select(f"{row}.*")

@@ -95,3 +95,19 @@ def test_documents(spark):
 def test_large_group_of_copies_keeps_the_index_small(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(prose(1, 30)).alias("text"))
     assert {r.component_id for r in S.near_duplicates(docs).collect()} == {0}
+
+
+def test_clashing_and_missing_ids(spark):
+    a, b, c, d, e = (prose(50 + i, 40) for i in range(5))
+    rows = [(3, a, "x"), (7, a, "x"), (7, b, "x"), (8, b, "x"), (9, c, "x"), (9, d, "x"), (None, e, "x"), (None, e, "x"), (None, e, "x"), (None, a, "x"), (2, d, "x")]
+    docs = crowded(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4))
+    kept = S.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert rows_of(kept, "doc_id", "text") == sorted([(3, a), (7, b), (9, c), (2, d), (None, e)], key=repr)
+
+
+def test_rows_of_one_id_and_fingerprint(spark):
+    text = prose(60, 40)
+    rows = [(1, text, "x"), (1, text.upper(), "y"), (1, text, "z")]
+    one = [S.deduplicate(spark.createDataFrame(r, "doc_id long, text string, source string").repartition(n)).collect() for n, r in ((1, rows), (3, rows[::-1]))]
+    assert one[0] == one[1] and len(one[0]) == 1
