@@ -163,18 +163,18 @@ def scan(texts: list[bytes], block: Block, shard_words: int = SHARD_WORDS) -> It
         yield from _shard(shard, block)
 
 
-def _grouped(batches: Batches, text: str, rows: int = 8 * 512, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """Join small batches up to a bound, so that a shard spans several."""
+def _grouped(batches: Batches, rows: int = 8 * 512, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Join small batches up to a bound, so that a shard spans several; what does not fit in one batch comes as more."""
     held, held_bytes, held_rows = [], 0, 0
     for batch in batches:
         held.append(batch)
-        held_bytes += batch.column(batch.schema.get_field_index(text)).nbytes
+        held_bytes += batch.nbytes
         held_rows += batch.num_rows
         if held_bytes >= size or held_rows >= rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
             held, held_bytes, held_rows = [], 0, 0
     if held_rows:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 MARKS = "n_words bigint, hits array<int>, items array<bigint>"
@@ -190,7 +190,7 @@ def _marker(handle, text: str, before: tuple[str, str] | None, names: tuple[str,
 
     def run(batches: Batches) -> Batches:
         block = handle.value
-        for batch in _grouped(batches, text):
+        for batch in _grouped(batches):
             counts, hits, items = [], [], []
             for found in scan(byte_texts(batch.column(batch.schema.get_field_index(text))), block):
                 counts.append(found.n_words)
@@ -306,7 +306,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
 def _matcher(handle) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         block = handle.value
-        for batch in _grouped(batches, "text"):
+        for batch in _grouped(batches):
             out = []
             for key, found in zip(batch.column(0).to_pylist(), scan(byte_texts(batch.column(1)), block), strict=True):
                 hits = [

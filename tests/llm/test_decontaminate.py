@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from confluo.llm import decontaminate as D
@@ -103,3 +104,18 @@ def test_items_without_id_hit(spark, block_bytes, tmp_path):
     kept = corpus_pipeline.drop_contaminated(spark, d, str(tmp_path))
     assert rows_of(kept, "doc_id") == sorted([(r[0],) for r in expected if not r[5]], key=repr)
     assert {r.item_id for r in D.longest_matches(d, b, unnamed=True).collect()} >= {None}
+
+
+def test_groups_count_all_columns_and_keep_every_batch(monkeypatch):
+    wide = pa.RecordBatch.from_pydict({"text": ["a"] * 3, "extra": ["x" * (6 << 20)] * 3})
+    assert [b.num_rows for b in D._grouped(iter([wide] * 3))] == [3, 3, 3]
+    # Chunks that stay apart, as beyond 2 GB.
+    small = pa.RecordBatch.from_pydict({"text": ["a", "b"]})
+
+    class Apart:
+        from_batches = staticmethod(lambda held: Apart())
+        combine_chunks = lambda self: self
+        to_batches = lambda self: [small, small]
+
+    monkeypatch.setattr(D.pa, "Table", Apart)
+    assert sum(b.num_rows for b in D._grouped(iter([small, small]))) == 4
