@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Texts travel to Python in batches of so many rows, so that a batch of long texts stays small.
+# Texts travel to Python in batches of so many rows and about so many bytes, so that a batch of long texts stays small.
 BATCH_ROWS = 512
+BATCH_BYTES = 16 << 20
 
 
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
@@ -23,6 +24,7 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     On a cluster whose machines do not share that folder, the package is installed or shipped like any other dependency.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in paths:

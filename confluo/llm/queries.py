@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from confluo.llm import decontaminate, language, licenses, packing, pii, quality, sharding, simhash, tokens, topk
+from confluo.llm import chat, decontaminate, language, lexical, licenses, packing, pii, quality, sharding, simhash, spelling, tokens, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -74,9 +74,27 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), keep_ids=False)
 
 
+@_query
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.format_conversations(chat.with_probe(_table(spark, sf_dir, "conversations"))))
+
+
+@_query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 ORACLE = {
     "op1_sharding": sharding.sql_shards(),
     "op3_decontamination": decontaminate.sql_contamination(),
     "op6_top_k": topk.sql_top_k(),
     "op7_licenses": licenses.sql_licenses(),
+    "op11_chat": chat.sql_chat(),
+    "op12_spelling": spelling.sql_variants(),
+    "op13_lexical": lexical.sql_ranked(),
 }
