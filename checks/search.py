@@ -254,6 +254,21 @@ def wildcard_query(spark, sf):
     return shown(hits_of(spark, sf, ["docs", "parts"], queries))
 
 
+@query(
+    "wildcard_infix",
+    f"""WITH {sql_search(["docs", "parts"])},
+d AS (SELECT DISTINCT 'a' AS query_id, source, id, field FROM post WHERE term LIKE '%ra%e'
+  UNION ALL SELECT DISTINCT 'b', source, id, field FROM post WHERE field = 'name' AND term LIKE '_o%n'
+  UNION ALL SELECT DISTINCT 'c', source, id, field FROM post WHERE field = 'name' AND term LIKE '__'
+  UNION ALL SELECT DISTINCT 'd', source, id, field FROM post WHERE term LIKE '%x%' ),
+wc AS (SELECT query_id, source, id, CASE WHEN query_id IN ('b', 'c') THEN 40 WHEN field = 'name' THEN 6 ELSE 1 END AS score FROM d),
+doc AS (SELECT query_id, source, id, CAST(sum(score) AS DOUBLE) AS score FROM wc GROUP BY ALL) {SHOWN}""",
+)
+def wildcard_infix(spark, sf):
+    queries = {"a": [wildcard("*ra*e")], "b": [wildcard("?o*n", "name")], "c": [wildcard("??", "name")], "d": [wildcard("*X*")]}
+    return shown(hits_of(spark, sf, ["docs", "parts"], queries))
+
+
 @query(
     "wildcard_and_words",
     _boolean(

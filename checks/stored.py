@@ -17,7 +17,8 @@ from confluo.operators import tables as tb
 from confluo.operators.leaves import bag_of_words, date_in, date_range, query_table
 from confluo.operators.retrieve import retrieve
 from confluo.operators.texts import query_texts, text_leaves
-from confluo.plans.search import evaluate_suite, search
+from confluo.operators.trees import query_trees, text_errors
+from confluo.plans.search import evaluate_suite, search, search_ranked
 from confluo.session import step_path
 from confluo.sources.dumps import append_dump, read_dump, write_dump
 from confluo.sources.judgements import parse_suite
@@ -25,10 +26,10 @@ from confluo.sources.store import StoredTables, materialise
 from confluo.streaming.ingest import ingest, read_ingested
 
 
-def stored(spark, sf) -> StoredTables:
+def stored(spark, sf, **layout) -> StoredTables:
     root, rows = step_path(spark, "store"), catalogue(spark, sf, *TEXTS)
     for name in TEXTS:
-        materialise(rows, root, name)
+        materialise(rows, root, name, **layout)
     return StoredTables(spark, root, TEXTS)
 
 
@@ -48,6 +49,31 @@ def store_search(spark, sf):
     return _top(search(stored(spark, sf), query_table(spark, QUERIES)))
 
 
+@query("store_bucketed_search", f"{_BASE}, {_ranked(5)} {_TOP}")
+def store_bucketed_search(spark, sf):
+    """Postings lie in many folders, of which the words of the queries ask for a few."""
+    from checks.fusion import QUERIES
+
+    return _top(search(stored(spark, sf, bucket_postings=4000), query_table(spark, QUERIES)))
+
+
+# A frequent word beside a rare one, and passages: most blocks of the frequent words cannot matter.
+_BOUNDED = {"a": "la thanedble", "b": "the der anea thble", "c": "de", "d": "user user system"}
+_BOUNDED_ROWS = [(q, i, "should", None, 1, t) for q, text in _BOUNDED.items() for i, t in enumerate(text.split()) if t != "the"]
+
+
+@query("store_ranked_search", f"WITH {sql_search(TEXTS)}, {sql_words(_BOUNDED_ROWS)}, {_FUSED}, {_ranked(5)} {_TOP}")
+def store_ranked_search(spark, sf):
+    from confluo.operators.leaves import words
+
+    return _top(search_ranked(stored(spark, sf), query_table(spark, {q: [words(text)] for q, text in _BOUNDED.items()})))
+
+
+@query("store_ranked_batch", f"WITH {sql_search(TEXTS)}, {SQL_BATCH}, {_FUSED}, {_ranked(5)} {_TOP}")
+def store_ranked_batch(spark, sf):
+    return _top(search_ranked(stored(spark, sf), bag_of_words(passages(spark, sf))))
+
+
 @query("store_batch", f"WITH {sql_search(TEXTS)}, {SQL_BATCH}, {_FUSED}, {_ranked(5)} {_TOP}")
 def store_batch(spark, sf):
     tables = stored(spark, sf)
@@ -187,6 +213,57 @@ def search_query_texts(spark, sf):
     return shown(retrieve(tables_of(spark, sf, *TEXTS), query_texts(texts)))
 
 
+# Groups inside groups; the SQL says in full what each of them means.
+_TREES = {
+    "a": "(thble AND erin) OR thanedble",
+    "b": "summary:(thble AND (erin OR (thnt AND (der OR anea)^3)^2)) NOT name:was",
+    "c": "name:(la AND de)^2 OR summary:(la ANDMAYBE name:der)",
+    "d": "summary:(erin REQUIRE thble) ANDNOT (name:la OR name:de)",
+    "e": "(thble AND erin",
+}
+_TREE_WORDS = [("a", 0, None, 1, "thble"), ("a", 1, None, 1, "erin"), ("a", 2, None, 1, "thanedble"), ("b", 0, "summary", 1, "thble"),
+               ("b", 1, "summary", 1, "erin"), ("b", 2, "summary", 2, "thnt"), ("b", 3, "summary", 6, "der"), ("b", 4, "summary", 6, "anea"),
+               ("b", 5, "name", 40, "was"), ("c", 0, "name", 80, "la"), ("c", 1, "name", 80, "de"), ("c", 2, "summary", 1, "la"),
+               ("c", 3, "name", 40, "der"), ("d", 0, "summary", 1, "erin"), ("d", 1, "summary", 1, "thble"), ("d", 2, "name", 40, "la"),
+               ("d", 3, "name", 40, "de")]
+_TREE_ROWS = [(q, c, "should", f, b, t) for q, c, f, b, t in _TREE_WORDS]
+
+
+@query(
+    "nested_groups",
+    f"""WITH {sql_search(TEXTS)}, {sql_words(_TREE_ROWS)}, {TERM_HITS},
+p AS (SELECT query_id, source, id, {", ".join(f"sum(score) FILTER (clause = {i}) AS s{i}" for i in range(6))} FROM hit GROUP BY ALL),
+g3 AS (SELECT *, CASE WHEN s3 IS NOT NULL OR s4 IS NOT NULL THEN coalesce(s3, 0) + coalesce(s4, 0) END AS v3 FROM p),
+g1 AS (SELECT *, CASE WHEN s1 IS NOT NULL OR s2 + v3 IS NOT NULL THEN coalesce(s1, 0) + coalesce(s2 + v3, 0) END AS v1 FROM g3),
+v AS (SELECT query_id, source, id, CASE query_id
+  WHEN 'a' THEN CASE WHEN s0 + s1 IS NOT NULL OR s2 IS NOT NULL THEN coalesce(s0 + s1, 0) + coalesce(s2, 0) END
+  WHEN 'b' THEN CASE WHEN s5 IS NULL THEN s0 + v1 END
+  WHEN 'c' THEN CASE WHEN s0 + s1 IS NOT NULL OR s2 IS NOT NULL THEN coalesce(s0 + s1, 0) + coalesce(s2 + coalesce(s3, 0), 0) END
+  ELSE CASE WHEN s1 IS NOT NULL AND s2 IS NULL AND s3 IS NULL THEN s0 END END AS score FROM g1)
+SELECT query_id, source, id, round(score, 6) AS score FROM v WHERE score IS NOT NULL""",
+)
+def nested_groups(spark, sf):
+    texts = spark.createDataFrame(list(_TREES.items()), "query_id string, text string")
+    return shown(retrieve(tables_of(spark, sf, *TEXTS), query_trees(texts)))
+
+
+_BAD = {1: ('"%s', "a quote has no partner"), 2: ("%s (name:x", "a parenthesis has no partner"), 3: ("date:[2013]", "a range needs two ends"),
+        4: ("%s {2005 TO 2010}", "a range stands in braces"), 5: ("date:2016-13 %s", "no year, month or day"), 6: ("name:[a to b]", "only dates have ranges")}
+
+
+@query(
+    "query_text_errors",
+    f"""SELECT CAST(item_id AS VARCHAR) AS query_id, CASE item_id % 9 {" ".join(f"WHEN {i} THEN '{e}'" for i, (_, e) in _BAD.items())} END AS error
+FROM benchmark WHERE item_id % 9 BETWEEN 1 AND 6""",
+)
+def query_text_errors(spark, sf):
+    items = table(spark, sf, "benchmark").select("item_id", F.regexp_extract("text", "[A-Za-z]+", 0).alias("w"))
+    text = F.concat_ws(": ", F.lit("half-life 2"), "w")
+    for i, (form, _) in _BAD.items():
+        text = F.when(F.col("item_id") % 9 == i, F.replace(F.lit(form), F.lit("%s"), F.col("w"))).otherwise(text)
+    return text_errors(items.select(F.col("item_id").alias("query_id"), text.alias("text"))).select("query_id", "error")
+
+
 # Evaluation from a suite -----------------------------------------------------------------------------------------------
 
 _SUITE_QUERIES = (("de", "der die"), ("en", "attion thanedble anea"), ("es", "el la"), ("fr", "la de"))

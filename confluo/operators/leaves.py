@@ -58,6 +58,9 @@ class QueryTable:
     scopes: frozenset[str | None]
     # Characters of all leaves where they are known without a job.
     known_chars: int | None = None
+    # Levels of groups inside groups; leaves then have a column ``at``: ``<clause>:<role>`` of every group around them, from the outermost
+    # on, with slashes between.
+    depth: int = 0
 
     @cached_property
     def chars(self) -> int:
@@ -150,24 +153,28 @@ def leaf_table(leaves: DataFrame) -> QueryTable:
     Needed are ``query_id, clause, op, value``; missing columns take the defaults of the leaf functions. Operators, roles
     and fields are looked up in one job; wrong ones fail.
     """
-    defaults = {"clause": "0", "grouped": "false", "role": "'should'", "field": "NULL", "lo": "NULL", "hi": "NULL", "slop": "1", "boost": "1.0"}
+    defaults = {"at": "''", "clause": "0", "grouped": "false", "role": "'should'", "field": "NULL", "lo": "NULL", "hi": "NULL", "slop": "1", "boost": "1.0"}
     kinds = {"clause": "int", "grouped": "boolean", "slop": "int", "boost": "double"}
     known = set(leaves.columns)
-    columns = [(f"`{c}`" if c in known else defaults.get(c, "NULL"), kinds.get(c, "string"), c) for c in _ARROW.names]
+    nested = "at" in known
+    columns = [(f"`{c}`" if c in known else defaults.get(c, "NULL"), kinds.get(c, "string"), c) for c in (*_ARROW.names, *(["at"] if nested else []))]
     rows = leaves.selectExpr(*[f"coalesce(cast({x} AS {kind}), cast({defaults.get(c, 'NULL')} AS {kind})) AS {c}" for x, kind, c in columns])
     # One row per kind of leaf, whatever the number of leaves.
-    seen = rows.groupBy("op", "role", "field").agg(F.min("boost").alias("boost"), F.min("slop").alias("slop")).collect()
+    depth = F.max(F.when(F.col("at") == "", 0).otherwise(F.size(F.split("at", "/")))) if nested else F.lit(0)
+    seen = rows.groupBy("op", "role", "field").agg(F.min("boost").alias("boost"), F.min("slop").alias("slop"), depth.alias("depth")).collect()
     if not seen:
         raise ValueError("there is no query")
     for r in seen:
         if r["op"] not in OPS:
             raise ValueError(f"unknown operator {r['op']!r}")
         _leaf(r["op"], None, r["field"], r["boost"], r["role"], slop=r["slop"])
+    deepest = max(r["depth"] for r in seen)
     return QueryTable(
-        rows,
+        rows if deepest else rows.drop("at"),
         frozenset(r["op"] for r in seen),
-        any(r["role"] != "should" for r in seen),
+        deepest > 0 or any(r["role"] != "should" for r in seen),
         frozenset(r["field"] for r in seen),
+        depth=deepest,
     )
 
 
@@ -248,14 +255,24 @@ def _period_part(text: Column, *groups: int) -> Column:
     return F.coalesce(*parts) if len(parts) > 1 else parts[0]
 
 
+def _day_of(text: Column) -> Column:
+    """First day of the period, NULL if it names none that exists."""
+    month, day = (F.lpad(F.coalesce(_period_part(text, *g), F.lit("01")), 2, "0") for g in ((2, 4), (3, 5)))
+    return F.try_to_timestamp(F.concat_ws("-", _period_part(text, 1), month, day), F.lit("yyyy-MM-dd"))
+
+
 def period_start(text: Column) -> Column:
     """First instant of the period; NULL only for NULL. Anything that is no period fails."""
-    month, day = (F.lpad(F.coalesce(_period_part(text, *g), F.lit("01")), 2, "0") for g in ((2, 4), (3, 5)))
-    start = F.try_to_timestamp(F.concat_ws("-", _period_part(text, 1), month, day), F.lit("yyyy-MM-dd"))
+    start = _day_of(text)
     bad = F.raise_error(F.concat(F.lit("no year, month or day: "), text)).cast("timestamp")
     return F.when(text.isNull(), F.lit(None).cast("timestamp")).when(start.isNull(), bad).otherwise(start)
 
 
+def possible_period(text: Column) -> Column:
+    """True for NULL and for a year, month or day that exists."""
+    return text.isNull() | _day_of(text).isNotNull()
+
+
 def period_end(text: Column) -> Column:
     """First instant after the period."""
     start = period_start(text)
@@ -277,7 +294,7 @@ def _atom_columns(rows: DataFrame, **own: Column) -> DataFrame:
         "lo": F.lit(None).cast("timestamp"),
         "hi": F.lit(None).cast("timestamp"),
     }
-    return rows.withColumns({**fixed, **own}).select(*_ATOM)
+    return rows.withColumns({**fixed, **own}).select(*_ATOM, *(["at"] if "at" in rows.columns else []))
 
 
 def atoms(
@@ -303,8 +320,8 @@ def atoms(
     if "phrase" in table.ops:
         rows = expand_fields(leaves_of("phrase"), weights)
         rows = rows.withColumn("tokens", _analysed("value", F.col("field"), stop_words))
-        rows = rows.select("*", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "term"))
-        result["phrase"] = _atom_columns(rows, idx=F.col("at"), n_terms=F.col("size"))
+        rows = rows.select("*", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "term"))
+        result["phrase"] = _atom_columns(rows, idx=F.col("place"), n_terms=F.col("size"))
     if "wildcard" in table.ops:
         rows = expand_fields(leaves_of("wildcard"), weights)
         result["wildcard"] = _atom_columns(rows, term=_like_pattern(F.col("value")))
@@ -320,9 +337,28 @@ def atoms(
 
 
 def required_clauses(rows: Mapping[str, DataFrame]) -> DataFrame:
-    """Per query the number of clauses a hit has to meet, counted after analysis (stop words form no clause)."""
-    keyed = [r.where(F.col("role").isin("must", "filter")).select("query_id", "clause", "sub") for r in rows.values()]
-    every = keyed[0]
-    for more in keyed[1:]:
-        every = every.union(more)
-    return every.distinct().groupBy("query_id").agg(F.count(F.lit(1)).alias("n_required"))
+    """Per query, and per group where groups nest, the number of clauses a hit has to meet, counted after analysis (stop words form no clause)."""
+    nested = "at" in next(iter(rows.values())).columns
+    group = ["query_id", "at"] if nested else ["query_id"]
+    needed = F.col("role").isin("must", "filter")
+    every = None
+    for r in rows.values():
+        keyed = [r.where(needed).select(*group, "clause", "sub")]
+        if nested:
+            keyed.append(_groups_around(r).where(needed).select(*group, "clause", "sub"))
+        for part in keyed:
+            every = part if every is None else every.union(part)
+    return every.distinct().groupBy(*group).agg(F.count(F.lit(1)).alias("n_required"))
+
+
+def _groups_around(rows: DataFrame) -> DataFrame:
+    """Every group around a leaf as a clause of the group around that."""
+    steps = F.split("at", "/")
+    outer = rows.where(F.col("at") != "").select("query_id", steps.alias("steps"), F.posexplode(steps).alias("level", "step"))
+    return outer.select(
+        "query_id",
+        F.array_join(F.slice("steps", F.lit(1), F.col("level")), "/").alias("at"),
+        F.split_part("step", F.lit(":"), F.lit(1)).cast("int").alias("clause"),
+        F.lit(0).alias("sub"),
+        F.split_part("step", F.lit(":"), F.lit(2)).alias("role"),
+    )

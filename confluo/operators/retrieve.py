@@ -12,14 +12,16 @@ from confluo.functions.text import STOP_WORDS
 from confluo.operators import tables as tb
 from confluo.operators.leaves import FIELD_WEIGHTS, SCOPE_BOOSTS, QueryTable, atoms, required_clauses
 from confluo.schemas import TEXT_FIELDS
-from confluo.session import cut_lineage
-
-# Literal prefix lengths wildcard patterns and dictionary terms are matched on.
-PREFIX_LENGTHS = (0, 1, 2, 3)
+from confluo.session import cut_lineage, store_step
 
+# A leaf and its place in the query; ``at`` names the nested groups it stands in, where there are any.
 _LEAF_KEY = ["query_id", "clause", "sub", "role"]
 
 
+def _leaf_key(rows: DataFrame) -> list[str]:
+    return [*_LEAF_KEY, "at"] if "at" in rows.columns else _LEAF_KEY
+
+
 # What query rows may take in an executor, and what one character of query text can grow into: a word needs two characters, and
 # a word becomes a row of so many bytes per text field and source.
 BROADCAST_BYTES = 64 << 20
@@ -31,12 +33,12 @@ def fits(table: QueryTable, sources: int) -> bool:
     return table.chars * len(TEXT_FIELDS) * max(sources, 1) * ROW_BYTES // 2 <= BROADCAST_BYTES
 
 
-def _small_side(df: DataFrame, small: bool) -> DataFrame:
+def small_side(df: DataFrame, small: bool) -> DataFrame:
     """Broadcast only where the caller has checked the size of the query table the rows derive from."""
     return F.broadcast(df) if small else df
 
 
-def _weighted_terms(rows: DataFrame, stats: DataFrame) -> DataFrame:
+def weighted_terms(rows: DataFrame, stats: DataFrame) -> DataFrame:
     """Query terms with their per-source statistics; at most one row per atom and source."""
     # Field statistics hold one row per registered source and text field, whatever the size of the data.
     per_field = F.broadcast(tb.field_stats(stats).drop("total_len"))
@@ -49,7 +51,7 @@ def _bm25(weight: Column) -> Column:
 
 
 def _term_hits(rows: DataFrame, postings: DataFrame, stats: DataFrame, small: bool) -> DataFrame:
-    weighted = _small_side(_weighted_terms(rows, stats), small)
+    weighted = small_side(weighted_terms(rows, stats), small)
     found = postings.select("source", "field", "term", "id", "entity_id", "len", "tf")
     return found.join(weighted, ["source", "field", "term"]).withColumn("score", _bm25(F.col("weight")))
 
@@ -60,9 +62,9 @@ def _follows(acc: Column, part: Column, slop: Column) -> Column:
 
 
 def _phrase_hits(rows: DataFrame, postings: DataFrame, stats: DataFrame, small: bool) -> DataFrame:
-    found = postings.join(_small_side(_weighted_terms(rows, stats), small), ["source", "field", "term"])
+    found = postings.join(small_side(weighted_terms(rows, stats), small), ["source", "field", "term"])
     # A group is one phrase in one field of one document: as many rows as the phrase has words.
-    grouped = found.groupBy(*_LEAF_KEY, "source", "id", "entity_id", "field", "n_terms", "slop", "weight").agg(
+    grouped = found.groupBy(*_leaf_key(rows), "source", "id", "entity_id", "field", "n_terms", "slop", "weight").agg(
         F.array_sort(F.collect_list(F.struct("idx", "positions"))).alias("parts"),
         F.sum(_bm25(F.col("weight"))).alias("score"),
     )
@@ -76,42 +78,39 @@ def _phrase_hits(rows: DataFrame, postings: DataFrame, stats: DataFrame, small:
     return complete.where(F.size(chain) > 0)
 
 
-def _pattern_keys(rows: DataFrame) -> DataFrame:
-    literal = F.regexp_extract("pattern", r"^([^%_\\]*)", 1)
-    return rows.withColumnRenamed("term", "pattern").withColumn("prefix", F.substring(literal, 1, max(PREFIX_LENGTHS)))
-
+def expand_wildcards(rows: DataFrame, grams: DataFrame, small: bool) -> DataFrame:
+    """Terms of the dictionary every pattern stands for.
 
-def expand_wildcards(rows: DataFrame, dictionary: DataFrame, small: bool) -> DataFrame:
-    """Terms of the dictionary every pattern stands for, found by an equi-join on the literal prefix."""
-    patterns = _pattern_keys(rows)
-    lengths = F.array(*[F.lit(n) for n in PREFIX_LENGTHS])
-    known = dictionary.select("field", "term").distinct()
-    keyed = known.select(
-        "field",
-        "term",
-        F.explode(F.array_distinct(F.transform(lengths, lambda n: F.substring(F.col("term"), F.lit(1), n)))).alias("prefix"),
-    )
-    return (
-        keyed.join(_small_side(patterns, small), ["field", "prefix"])
-        .where(F.expr("term LIKE pattern"))
-        .drop("prefix", "pattern")
-    )
+    A pattern is cut into the grams its literal parts hold for sure; a term that has all of them is compared with the pattern itself. Patterns
+    without a literal character have no gram and are compared with all terms of their field; there are only as many different ones of
+    them as lengths.
+    """
+    keyed = rows.withColumnRenamed("term", "pattern").withColumn("grams", tb.pattern_grams("pattern"))
+    needs = keyed.select("field", "pattern", "grams").distinct()
+    asked = needs.select("field", "pattern", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    met = grams.join(small_side(asked, small), ["field", "gram"]).groupBy("field", "pattern", "n", "term").agg(F.count(F.lit(1)).alias("met"))
+    some = met.where(F.col("met") == F.col("n")).select("field", "pattern", "term")
+    bare = needs.where(F.size("grams") == 0).select("field", "pattern")
+    known = grams.where(F.col("gram").startswith(tb.EDGE)).select("field", "term")
+    every = known.join(small_side(bare, small), "field").select("field", "pattern", "term")
+    fitting = some.unionByName(every).where(F.expr("term LIKE pattern"))
+    return fitting.join(small_side(keyed.drop("grams"), small), ["field", "pattern"]).drop("pattern")
 
 
 def _wildcard_hits(rows: DataFrame, tables, fields: Sequence[str], small: bool) -> DataFrame:
-    expanded = expand_wildcards(rows, tb.term_stats(tables.stats(fields)), small)
+    expanded = store_step(expand_wildcards(rows, tables.grams(fields), small), "expanded")
     # All expansions are one leaf: a document counts once per field.
     return (
-        tables.presence(fields)
+        tables.presence(fields, expanded.select("field", "term"))
         .join(expanded, ["field", "term"])
-        .select(*_LEAF_KEY, "source", "id", "entity_id", "field", "weight")
+        .select(*_leaf_key(rows), "source", "id", "entity_id", "field", "weight")
         .distinct()
         .withColumn("score", F.col("weight"))
     )
 
 
 def _keyword_hits(rows: DataFrame, tables, small: bool) -> DataFrame:
-    found = tables.keywords().join(_small_side(rows, small), ["field", "term"])
+    found = tables.keywords().join(small_side(rows, small), ["field", "term"])
     return found.withColumn("score", F.col("weight"))
 
 
@@ -123,12 +122,12 @@ def _date_hits(rows: DataFrame, tables, small: bool) -> DataFrame:
     end = F.least(F.coalesce(F.year("hi"), F.lit(last).cast("int")), F.lit(last).cast("int"))
     keyed = rows.withColumn("year", F.explode(F.when(start <= end, F.sequence(start, end))))
     inside = (F.col("lo").isNull() | (F.col("date") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("date") < F.col("hi")))
-    return dated.join(_small_side(keyed, small), "year").where(inside).withColumn("score", F.col("weight"))
+    return dated.join(small_side(keyed, small), "year").where(inside).withColumn("score", F.col("weight"))
 
 
 def leaf_hits(rows: Mapping[str, DataFrame], tables, fields: Sequence[str], small: bool) -> DataFrame:
     """Score of every (leaf, field, document) that matches."""
-    keep = [*_LEAF_KEY, "source", "id", "entity_id", "score"]
+    keep = [*_leaf_key(next(iter(rows.values()))), "source", "id", "entity_id", "score"]
     parts = []
     texts = [rows[op] for op in ("words", "phrase") if op in rows]
     if texts:
@@ -171,18 +170,39 @@ def retrieve(
     if not table.boolean:
         return found.groupBy(*doc).agg(F.sum("score").alias("score"))
     # One row per clause first, so that clauses are counted and not the fields or terms that met them.
-    clauses = found.groupBy(*doc, "clause", "sub", "role").agg(F.sum("score").alias("score"))
+    key = _leaf_key(found)
+    level = found.groupBy(*doc, *key[1:]).agg(F.sum("score").alias("score"))
+    needed = small_side(required_clauses(rows), small)
+    if not table.depth:
+        return _combine(level, needed, doc).select(*doc, "score")
+    # Groups from the innermost level outwards: what matches a group is one clause of the group around it. Each level reads its own
+    # leaves and the groups of the level below.
+    level, groups = store_step(level, "clauses"), None
+    for depth in range(table.depth, -1, -1):
+        here = level.where((F.col("at") != "") & (F.size(F.split("at", "/")) == depth) if depth else F.col("at") == "")
+        groups = _combine(here if groups is None else here.unionByName(groups), needed, [*doc, "at"])
+        if depth:
+            own, outer = F.element_at(F.split("at", "/"), -1), F.regexp_replace("at", "/?[^/]*$", "")
+            groups = groups.select(
+                *doc, F.split_part(own, F.lit(":"), F.lit(1)).cast("int").alias("clause"), F.lit(0).alias("sub"),
+                F.split_part(own, F.lit(":"), F.lit(2)).alias("role"), outer.alias("at"), "score",
+            )
+    return groups.select(*doc, "score")
+
+
+def _combine(clauses: DataFrame, needed: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Documents that match a group by the roles of its clauses, with the sum of the scoring ones."""
     scoring = F.col("role").isin("should", "must", "maybe")
-    combined = clauses.groupBy(*doc).agg(
+    combined = clauses.groupBy(*group).agg(
         F.sum(F.when(scoring, F.col("score")).otherwise(F.lit(0.0))).alias("score"),
         F.count_if(F.col("role").isin("must", "filter")).alias("n_met"),
         F.max(F.col("role") == "must_not").alias("excluded"),
         F.max(F.col("role") == "should").alias("wanted"),
     )
-    needed = combined.join(_small_side(required_clauses(rows), small), "query_id", "left")
+    joined = combined.join(needed, [c for c in ("query_id", "at") if c in group], "left")
     n_required = F.coalesce(F.col("n_required"), F.lit(0))
     member = (F.col("n_met") == n_required) & ((n_required > 0) | F.col("wanted")) & ~F.col("excluded")
-    return needed.where(member).select(*doc, "score")
+    return joined.where(member)
 
 
 def best_order(tie: str = "id") -> list[Column]:

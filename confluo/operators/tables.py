@@ -81,6 +81,15 @@ def build_stats(tokens: DataFrame) -> DataFrame:
     )
 
 
+def stats_of_postings(postings: DataFrame) -> DataFrame:
+    """The same from postings: the one that holds a document's first position stands for the document in the field totals."""
+    first = F.get("positions", F.lit(0)) == 0
+    length = F.col("len").cast("long")
+    lead = F.when(first, F.lit(ANY_TERM))
+    rows = postings.select("source", "field", length.alias("len"), F.explode(F.array_compact(F.array("term", lead))).alias("term"))
+    return rows.groupBy("source", "field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("len").alias("total_len"))
+
+
 def select_terms(tokens: DataFrame, terms: DataFrame, positions: bool = True, small: bool = False) -> DataFrame:
     """Postings of the asked terms together with the field totals.
 
@@ -138,6 +147,36 @@ def term_stats(stats: DataFrame) -> DataFrame:
     return stats.where(F.col("term") != ANY_TERM).select("source", "field", "term", "df")
 
 
+# Marks the ends of a term in its grams. Terms are letters, digits, underscores and dots, so they cannot hold it.
+EDGE = "^"
+
+
+def term_grams(term: str) -> Column:
+    """Single characters and pairs of neighbours of a term, with its ends."""
+    return F.expr(
+        f"array_distinct(concat(transform(sequence(1, length({term})), i -> substring({term}, i, 1)), "
+        f"transform(sequence(1, length({term}) + 1), i -> substring(concat('{EDGE}', {term}, '{EDGE}'), i, 2))))"
+    )
+
+
+def pattern_grams(pattern: str) -> Column:
+    """Grams that every term a LIKE pattern fits must have: pairs where two literal characters meet, single ones otherwise."""
+    # An escaped underscore is a character like others, and leaves its place to a sign until the pattern is cut; other escaped
+    # characters are in no term, so what is left of them finds none.
+    plain = F.replace(F.col(pattern), F.lit("\\_"), F.lit("\x01"))
+    parts = F.split(F.concat(F.lit(EDGE), plain, F.lit(EDGE)), "[%_]")
+    parts = F.transform(parts, lambda p: F.replace(p, F.lit("\x01"), F.lit("_")))
+    pairs = lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - 1), lambda i: F.substring(p, i, F.lit(2)))
+    literal = F.filter(parts, lambda p: (p != "") & (p != EDGE))
+    return F.array_distinct(F.flatten(F.transform(literal, lambda p: F.when(F.length(p) == 1, F.array(p)).otherwise(pairs(p)))))
+
+
+def gram_rows(stats: DataFrame) -> DataFrame:
+    """``field, gram, term`` of the dictionary, each term once."""
+    terms = term_stats(stats).select("field", "term").distinct()
+    return terms.select("field", F.explode(term_grams("term")).alias("gram"), "term")
+
+
 def keyword_rows(catalogue: DataFrame, fields: Sequence[str] = KEYWORD_FIELDS) -> DataFrame:
     """One row per document, keyword field and distinct element; elements stay whole and case-sensitive."""
     lists = [
@@ -203,8 +242,12 @@ class CatalogueTables:
     def postings(self, fields: Sequence[str] = TEXT_FIELDS) -> DataFrame:
         return build_postings(self._tokens(fields))
 
-    def presence(self, fields: Sequence[str] = TEXT_FIELDS) -> DataFrame:
-        return build_presence(self._tokens(fields))
+    def presence(self, fields: Sequence[str] = TEXT_FIELDS, terms: DataFrame | None = None) -> DataFrame:
+        rows = build_presence(self._tokens(fields))
+        return rows if terms is None else rows.join(terms.distinct(), ["field", "term"], "left_semi")
+
+    def grams(self, fields: Sequence[str] = TEXT_FIELDS) -> DataFrame:
+        return gram_rows(self.stats(fields))
 
     def stats(self, fields: Sequence[str] = TEXT_FIELDS) -> DataFrame:
         return build_stats(self._tokens(fields))

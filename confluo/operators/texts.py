@@ -76,7 +76,7 @@ def text_leaves(queries: DataFrame) -> DataFrame:
         "part", F.when(is_group, F.regexp_extract("part", _INNER, 1)).otherwise(F.col("part"))
     )
     quoted, ranged = F.col("part").startswith('"'), F.col("part").startswith("[")
-    ends = F.split(F.substring("part", F.lit(2), F.length("part") - 2), r"\s+TO\s+")
+    ends = F.split(F.substring("part", F.lit(2), F.length("part") - 2), r"(?i)\s+TO\s+")
     op = (
         F.when(ranged | (F.col("field") == "date"), "date")
         .when(F.col("field").isin(*KEYWORD_FIELDS), "keyword")
