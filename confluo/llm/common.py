@@ -52,14 +52,18 @@ def in_fold(doc_id: Column, folds: int, held: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == held
 
 
-def sample_keys(rows: DataFrame, key: str, bound: int) -> DataFrame:
-    """At most ``bound`` rows, those whose key has the smallest hash.
+def sample_distinct(rows: DataFrame, key: Column, bound: int) -> DataFrame:
+    """At most ``bound`` distinct 64-bit hashes ``h`` of a key, the smallest ones; some wherever there are rows.
 
-    A share by hash is taken first, so that what is sorted does not grow with the input.
+    A share of the hashes is taken first, from the approximate number of different ones, so that what is sorted does not grow with the input.
+    Repeated keys count once.
     """
-    total, steps = rows.count(), 1 << 30
-    share = F.pmod(F.xxhash64(key), F.lit(steps)) <= int(steps * min(1.0, 2 * bound / max(total, 1)))
-    return rows.where(share).orderBy(F.pmod(F.xxhash64(key), F.lit(steps)), *rows.columns).limit(bound)
+    steps = 1 << 30
+    keyed = rows.select(F.xxhash64(key).alias("h"))
+    different = keyed.agg(F.approx_count_distinct("h")).first()[0]
+    share = min(1.0, max(2 * bound, 64) / max(different, 1))
+    taken = keyed.where(F.pmod("h", F.lit(steps)) <= int(steps * share)).distinct()
+    return taken.orderBy(F.pmod("h", F.lit(steps)), "h").limit(bound)
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:

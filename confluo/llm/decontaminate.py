@@ -12,8 +12,8 @@ is contaminated if at least one in ``SHARE`` of its words is hit.
 
 The benchmark is a stated query set: it is read in blocks of bounded size, each block meets all shards in one pass.
 
-Items without an id are left out unless ``unnamed`` is set, as the registered query and the pipeline do: then their windows hit like any other;
-all of them count as one item (NULL), which the digest of ids does not show.
+Items without an id hit like any other; all of them count as one item (NULL), which the digest of ids does not show. Ids are whole numbers or
+texts; any other kind is taken as text.
 
 Defined results: a NULL text has no words; an item without words has no window; rows with equal ids are judged on their own; a text
 longer than a shard is a shard of its own; an empty benchmark hits nothing; an empty table gives an empty table.
@@ -74,11 +74,21 @@ def build_block(items: list[tuple[int | None, bytes]]) -> Block | None:
     return Block(vocabulary, windows, np.array([len(w) for w in found]), tuple(map(tuple, found.values())))
 
 
-def blocks_of(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES, unnamed: bool = False) -> Iterator[Block]:
+def id_kind(benchmark: DataFrame, item_id: str = "item_id") -> str:
+    """What item ids are reported as."""
+    return "bigint" if benchmark.schema[item_id].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint") else "string"
+
+
+def _arrow(kind: str) -> pa.DataType:
+    return pa.int64() if kind == "bigint" else pa.string()
+
+
+def blocks_of(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
     """The benchmark in blocks; the driver holds one block of items at a time."""
     rows, size = [], 0
-    for item, body in pick(benchmark, item_id, text).toLocalIterator():
-        if (item is None and not unnamed) or not body:
+    items = pick(benchmark, item_id, text).toDF("item_id", "text")
+    for item, body in items.select(F.col("item_id").cast(id_kind(benchmark, item_id)), "text").toLocalIterator():
+        if not body:
             continue
         rows.append((item, body.encode()))
         size += len(rows[-1][1])
@@ -177,15 +187,12 @@ def _grouped(batches: Batches, rows: int = 8 * 512, size: int = 16 << 20) -> Ite
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-MARKS = "n_words bigint, hits array<int>, items array<bigint>"
-
-
-def _ids(items: set[int | None]) -> list[int | None]:
+def _ids(items: set[int | str | None]) -> list[int | str | None]:
     """Sorted, NULL last."""
-    return sorted(items, key=lambda i: (i is None, i or 0))
+    return sorted(items - {None}) + [None] * (None in items)
 
 
-def _marker(handle, text: str, before: tuple[str, str] | None, names: tuple[str, str, str]) -> Callable[[Batches], Batches]:
+def _marker(handle, text: str, before: tuple[str, str] | None, names: tuple[str, str, str], id_type: pa.DataType) -> Callable[[Batches], Batches]:
     """Add word count, hit stretches and item ids; ``before`` names the columns an earlier block has left."""
 
     def run(batches: Batches) -> Batches:
@@ -200,7 +207,7 @@ def _marker(handle, text: str, before: tuple[str, str] | None, names: tuple[str,
                 old = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in before]
                 hits = [_union(a, b) for a, b in zip(old[0], hits, strict=True)]
                 items = [_ids({*a, *b}) for a, b in zip(old[1], items, strict=True)]
-            columns = (pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.int64())))
+            columns = (pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(id_type)))
             yield with_columns(batch, list(names), **dict(zip(names, columns, strict=True)))
 
     return run
@@ -224,7 +231,6 @@ def mark(
     item_id: str = "item_id",
     item_text: str = "text",
     block_bytes: int = BLOCK_BYTES,
-    unnamed: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """All columns of ``docs`` and three more: words, hit stretches as [start, end, start, end, ...], ids of items with hits.
 
@@ -233,19 +239,19 @@ def mark(
     spark: SparkSession = docs.sparkSession
     small_batches(spark)
     names = fresh(docs, "n_words", "hits", "items")
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{n}` {m.split()[1]}" for n, m in zip(names, MARKS.split(", "), strict=True)]
-    )
+    kind = id_kind(benchmark, item_id)
+    marks = zip(names, ("bigint", "array<int>", f"array<{kind}>"), strict=True)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{n}` {m}" for n, m in marks])
     out, done = docs, 0
-    for block in blocks_of(benchmark, item_id, item_text, block_bytes, unnamed):
+    for block in blocks_of(benchmark, item_id, item_text, block_bytes):
         if done:
             out = store_step(out, "decontaminate")
         before = (names[1], names[2]) if done else None
-        out = out.mapInArrow(_marker(spark.sparkContext.broadcast(block), text, before, tuple(names)), schema)
+        out = out.mapInArrow(_marker(spark.sparkContext.broadcast(block), text, before, tuple(names), _arrow(kind)), schema)
         done += 1
     if not done:
         empty = Block({}, np.full((1, WINDOW), 0xFFFFFFFE, np.uint32), np.array([WINDOW]), ((),))
-        out = out.mapInArrow(_marker(spark.sparkContext.broadcast(empty), text, None, tuple(names)), schema)
+        out = out.mapInArrow(_marker(spark.sparkContext.broadcast(empty), text, None, tuple(names), _arrow(kind)), schema)
     return out, names
 
 
@@ -293,9 +299,10 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
     rows = pick(docs, doc_id, text).toDF("doc_id", "text")
     spark = docs.sparkSession
     small_batches(spark)
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, start int, item_id bigint, item_start int, length int"
+    kind = id_kind(benchmark, options.get("item_id", "item_id"))
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, start int, item_id {kind}, item_start int, length int"
     parts = [
-        rows.mapInArrow(_matcher(spark.sparkContext.broadcast(block)), schema) for block in blocks_of(benchmark, **options)
+        rows.mapInArrow(_matcher(spark.sparkContext.broadcast(block), _arrow(kind)), schema) for block in blocks_of(benchmark, **options)
     ]
     out = spark.createDataFrame([], schema)
     for part in parts:
@@ -303,7 +310,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
     return out
 
 
-def _matcher(handle) -> Callable[[Batches], Batches]:
+def _matcher(handle, id_type: pa.DataType) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         block = handle.value
         for batch in _grouped(batches):
@@ -326,14 +333,14 @@ def _matcher(handle) -> Callable[[Batches], Batches]:
                     out.append((key, start, item, start - shift, end - start))
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, [batch.schema.types[0], pa.int32(), pa.int64(), pa.int32(), pa.int32()], strict=True)],
+                [pa.array(c, t) for c, t in zip(columns, [batch.schema.types[0], pa.int32(), id_type, pa.int32(), pa.int32()], strict=True)],
                 names=["doc_id", "start", "item_id", "item_start", "length"],
             )
 
     return run
 
 
-def item_digest(items: list[int]) -> str:
+def item_digest(items: list[int | str]) -> str:
     """The digest of item ids that :func:`contamination` reports."""
     return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
 

@@ -5,7 +5,7 @@ end, so that the dictionary and not the text itself is what later parts refer to
 to 1; answers with a narrow margin are marked as rejected.
 
 Dictionaries are learned from a bounded sample: at most ``PER_LANGUAGE`` texts of a language outside the held-out fold, those with the
-smallest hash of their id, of which a stretch of ``EXCERPT`` characters at the end is used. Texts that were labelled wrongly or mix
+smallest hash of id and text, of which a stretch of ``EXCERPT`` characters at the end is used. Texts that were labelled wrongly or mix
 languages would spoil a dictionary, so each half of the sample is first judged with dictionaries made from the other half, and texts
 whose label is not confirmed are left out. What remains is laid end to end and the last ``DICTIONARY`` bytes are kept. Language, source
 and id are no inputs of a prediction.
@@ -21,10 +21,10 @@ ids are judged one by one; without any labelled text every document is ``und``;
 from __future__ import annotations
 
 import math
-import re
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +41,9 @@ LEVEL = 6
 MARGIN = 0.02
 STRETCH = 2048
 NONE = "und"
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+# Marks stay with the letters they belong to; numbers of any kind, signs and blanks do not.
+_NO_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> dict[str, bytes]:
@@ -54,11 +56,20 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         return {}
     steps = 1 << 30
     shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int(steps * min(1.0, 2 * per_language / r["count"])))])
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) <= F.element_at(shares, F.col("lang")))
-    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(steps)), "doc_id", F.xxhash64("text"))
-    chosen = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
     excerpt = F.substring(F.col("text"), -EXCERPT, EXCERPT).alias("excerpt")
-    sample = [(r["lang"], _fold(r["excerpt"])) for r in chosen.select("lang", "place", excerpt).orderBy("lang", "place").collect()]
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(steps)), "h", "doc_id")
+    hashed = rows.withColumn("h", F.xxhash64("doc_id", "text"))
+
+    def taken(some: DataFrame) -> list:
+        chosen = some.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+        return chosen.select("lang", "place", excerpt).orderBy("lang", "place").collect()
+
+    got = taken(hashed.where(F.pmod("h", F.lit(steps)) <= F.element_at(shares, F.col("lang"))))
+    # Languages of very many copies, of which no share holds one.
+    missing = sorted({r["lang"] for r in counts} - {r["lang"] for r in got})
+    if missing:
+        got = sorted(got + taken(hashed.where(F.col("lang").isin(missing))), key=lambda r: (r["lang"], r["place"]))
+    sample = [(r["lang"], _fold(r["excerpt"])) for r in got]
     return build([(language, text) for language, text in sample if text])
 
 
@@ -84,7 +95,7 @@ def _join(sample: list[tuple[str, str]]) -> dict[str, bytes]:
 
 def _fold(text: str) -> str:
     """Words in lower case, one blank between them: case, digits and signs say little about a language."""
-    return _NO_LETTERS.sub(" ", text.lower()).strip()
+    return _NO_LETTERS.sub(" ", text.lower()).strip() if _LETTER.search(text) else ""
 
 
 def _end(data: bytes) -> bytes:

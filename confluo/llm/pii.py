@@ -1,16 +1,20 @@
 """Personal data: generators propose, boosted trees decide, calibrated thresholds select.
 
-High-recall generators propose overlapping spans of four kinds: e-mail addresses, also with spelt-out or bracketed signs; IP addresses,
+High-recall generators propose overlapping spans of four kinds: e-mail addresses, also with bracketed or spelt-out signs ("at ... dot"); IP addresses,
 also with bracketed dots; card numbers, also with dots and slashes; phone numbers, also without a plus sign. Each span gets format
 features (digits, groups, checksum, separators) and context features (neighbouring characters, words before it, how digit-heavy the
 surroundings are). One boosted-tree model per kind scores the spans.
 
-The base spans are those of fixed patterns with fixed checks; they always stay. The models learn from them: a bounded sample of texts gives base spans,
-disguised copies of them as further positives, and proposals that fail the checks as negatives. The threshold of a kind is the lowest
+The base spans are those of fixed patterns with fixed checks; they always stay, and are found in time linear in the text. The models learn from
+them: a bounded sample of texts gives base spans, disguised copies of them as further positives, and as negatives copies with numbers that fail
+the checks and proposals that are no disguise of a valid span; other proposals have no label. The threshold of a kind is the lowest
 score (0.5 at least) down to which the share of positives on a held-out half of the sample reaches ``PRECISION``. Selected spans do not overlap each other or base
 spans: base first, then higher scores, then earlier and longer ones.
 
-Texts without a digit, an at sign or a bracketed "at" are passed over at once, as no generator can propose anything there.
+Texts without a digit, an at sign, a bracketed "at" or a lone "dot" are passed over at once, as no generator can propose anything there.
+
+At most ``sample`` texts are learned from, those with the smallest hash (equal texts count once); tasks reduce them to rows of numbers, of which
+the driver takes at most ``SPANS``.
 
 Defined results: a NULL text is empty and has no spans; offsets are code points, ends exclusive; rows with equal ids are scanned one
 by one; without training spans only base spans are found; an empty table gives an empty table; other columns are ignored.
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from confluo.llm.common import Batches, fresh, pick, sample_keys, small_batches, str_texts, with_columns
+from confluo.llm.common import Batches, fresh, pick, sample_distinct, small_batches, str_texts, with_columns
 from confluo.llm.trees import Boosted, fit_boosted
 
 # Kinds in order, and the base patterns.
@@ -50,11 +54,13 @@ PROPOSE = {
     "card": re.compile(r"(?<!\w)\d(?:[\x20./_-]?\d){12,18}(?!\w)"),
     "phone": re.compile(r"(?<![\w.])(?:\+|00)?[(\d][\d\x20()./-]{5,20}\d(?!\w)"),
 }
+_SPELT = re.compile(r"[\w.%+-]{1,64}\sat\s[\w-]{1,64}(?:\sdot\s[\w-]{1,64}){1,8}", re.I)
+_ARTICLE = re.compile(r"\sat\s(?:the|a|an|this|that|your|our|my)\s", re.I)
 _BRACKETED = re.compile(r"[\[({]\s?(?:at|AT)\s?[\])}]")
 _DIGIT = re.compile(r"[0-9]")
 
 SAMPLE = 20_000
-AROUND = 20_000
+SPANS = 200_000
 PRECISION = 0.98
 WINDOW = 40
 
@@ -84,24 +90,66 @@ def passes(kind: str, found: str) -> bool:
     return kind != "phone" or 10 <= len(_only_digits(found)) <= 15
 
 
+_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# A match of the address pattern starts where a run of digits starts, so no other place is tried.
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the base pattern: from each at sign to both sides, never before the end of the match before."""
+    done, sign = 0, text.find("@")
+    while sign >= 0:
+        start = sign
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        host = _HOST.match(text, sign + 1) if start < sign else None
+        if host:
+            yield start, host.end()
+            done = host.end()
+        else:
+            done = sign + 1
+        sign = text.find("@", done)
+
+
+def base_matches(text: str, kind: str) -> Iterator[tuple[int, int]]:
+    """Leftmost matches of the base pattern, one after the other, in time linear in the text."""
+    if kind == "email":
+        return _emails(text)
+    return (m.span() for m in (_DOTTED if kind == "ip" else BASE[kind]).finditer(text))
+
+
 def base_spans(text: str) -> list[Span]:
     """All base spans by start, then kind."""
     out: list[Span] = []
     digits = _DIGIT.search(text)
     for kind in KINDS:
         if digits if kind != "email" else "@" in text:
-            out += [(m.start(), m.end(), kind) for m in BASE[kind].finditer(text) if passes(kind, m[0])]
+            out += [(a, b, kind) for a, b in base_matches(text, kind) if passes(kind, text[a:b])]
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def _may_hold(text: str) -> bool:
+    """False if no generator can propose anything."""
+    return bool(_DIGIT.search(text)) or "@" in text or _hidden_sign(text)
+
+
+def _hidden_sign(text: str) -> bool:
+    return _BRACKETED.search(text) is not None or (" dot " in text or " DOT " in text or " Dot " in text)
+
+
 def proposals(text: str, kind: str) -> Iterator[tuple[int, int]]:
     if kind == "email":
-        if "@" not in text and not _BRACKETED.search(text):
+        if "@" not in text and not _hidden_sign(text):
             return
         # Only around a sign: a search from every word would be slow on long texts.
-        for sign in re.finditer(r"@|[\[({]\s?(?:at|AT|@)\s?[\])}]", text):
+        for sign in re.finditer(r"@|[\[({]\s?(?:at|AT|@)\s?[\])}]|\s(?:at|AT|At)(?=\s[\w-]{1,64}\s(?i:dot)\s)", text):
+            pattern = _SPELT if sign[0][0].isspace() else PROPOSE[kind]
             low, high = max(0, sign.start() - 80), min(len(text), sign.end() + 120)
-            for m in PROPOSE[kind].finditer(text, low, high):
+            behind = text[sign.end() : high]
+            if "." not in behind and "dot" not in behind.lower():
+                continue
+            for m in pattern.finditer(text, low, high):
                 if m.start() <= sign.start() < m.end():
                     yield m.span()
         return
@@ -110,6 +158,21 @@ def proposals(text: str, kind: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def disguised(kind: str, found: str) -> bool:
+    """True if the span can be another way to write something that passes as a base span."""
+    if kind == "email":
+        plain = re.sub(_AT, "@", re.sub(_DOT, ".", found), count=1)
+        plain = re.sub(r"\s(?i:at)\s", "@", re.sub(r"\s(?i:dot)\s", ".", plain), count=1)
+        return BASE[kind].fullmatch(plain) is not None
+    if kind == "ip":
+        plain = re.sub(r"[\s\[\]()]", "", found)
+        return _DOTTED.fullmatch(plain) is not None and passes(kind, plain)
+    digits = _only_digits(found)
+    if kind == "card":
+        return passes(kind, digits)
+    return passes(kind, digits.removeprefix("00"))
+
+
 WORDS_OF = {
     "email": ("mail", "contact", "write", "address"),
     "ip": ("ip", "host", "server", "address", "from"),
@@ -118,7 +181,7 @@ WORDS_OF = {
 }
 FEATURES = (
     "length", "digits", "groups", "longest group", "shortest group", "first group", "luhn", "all at most 255", "plus", "brackets", "dots", "dashes",
-    "blanks", "slashes", "at", "letters", "lower", "hyphenated date", "letter before", "letter after", "digits around", "hint before",
+    "blanks", "slashes", "at", "spelt dots", "article", "last part", "letters", "lower", "hyphenated date", "letter before", "letter after", "digits around", "hint before",
     "line start", "sign before",
 )
 
@@ -132,7 +195,8 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
         float(len(found)), float(len(digits)), float(len(groups)), float(max(sizes)), float(min(sizes)), float(sizes[0]),
         float(len(digits) > 0 and luhn(digits)), float(all(len(g) <= 3 and int(g) <= 255 for g in groups)), float(found[:1] == "+"),
         float(sum(c in "()[]{}" for c in found)), float(found.count(".")), float(found.count("-")), float(sum(c.isspace() for c in found)),
-        float(found.count("/")), float("@" in found or _BRACKETED.search(found) is not None), sum(c.isalpha() for c in found) / max(len(found), 1),
+        float(found.count("/")), float("@" in found or _BRACKETED.search(found) is not None), float(found.lower().count(" dot ")),
+        float(_ARTICLE.search(found) is not None), float(len(re.split(r"\W+", found.rstrip(")]}"))[-1])), sum(c.isalpha() for c in found) / max(len(found), 1),
         float(found == found.lower()), float(re.fullmatch(r"[12][0-9]{3}[-/.][01]?[0-9][-/.][0-3]?[0-9]", found) is not None),
         float(before[-1:].isalpha()), float(after[:1].isalpha()), float(sum(c.isdigit() for c in before + after)),
         float(any(w in near for w in WORDS_OF[kind])), float(not before or before[-1] == "\n"), float(before[-1:] in "$#=:/\\_.,-" and before != ""),
@@ -150,7 +214,7 @@ def disguises(found: str, kind: str, rng: random.Random) -> list[str]:
         name, _, host = found.partition("@")
         name = rng.choice([name, re.sub("[0-9]", "", name).strip(".") or _word(rng), _word(rng), f"{_word(rng)}.{_word(rng)}"])
         host = rng.choice([host, re.sub("[0-9]", "", host), f"{_word(rng)}.{rng.choice(['com', 'org', 'net', 'de'])}"])
-        return [f"{name} [at] {host}", f"{name}(at){host.replace('.', '(dot)')}", f"{name} [at] {host.replace('.', ' [dot] ')}", f"{name}[@]{host}", f"{name} (at) {host}"]
+        return [f"{name} [at] {host}", f"{name}(at){host.replace('.', '(dot)')}", f"{name} [at] {host.replace('.', ' [dot] ')}", f"{name}[@]{host}", f"{name} (at) {host}", f"{name} at {host.replace('.', ' dot ')}"]
     if kind == "ip":
         parts = [p if rng.random() < 0.5 else str(rng.randint(0, rng.choice([9, 99, 255]))) for p in found.split(".")]
         return [s.join(parts) for s in ("[.]", "(.)", "[.]", " . ")]
@@ -179,13 +243,22 @@ def examples(text: str, seed: int) -> dict[str, list[tuple[list[float], int]]]:
             for a, b in proposals(changed, kind):
                 if a < at + len(other) and b > at:
                     out[kind].append((features(changed, a, b, kind), 0))
+    covered = _cover(len(text), taken)
     for kind in KINDS:
         for a, b in proposals(text, kind):
-            if not any(x < b and a < y for x, y in taken):
+            if not any(covered[a:b]) and not disguised(kind, text[a:b]):
                 out[kind].append((features(text, a, b, kind), 0))
     return out
 
 
+def _cover(size: int, spans: list[tuple[int, int]]) -> bytearray:
+    """A mark for every code point inside a span."""
+    out = bytearray(size)
+    for a, b in spans:
+        out[a:b] = b"\1" * (b - a)
+    return out
+
+
 def _decoys(found: str, kind: str, rng: random.Random) -> list[str]:
     if kind == "card":
         digits = _only_digits(found)
@@ -206,7 +279,8 @@ def _decoys(found: str, kind: str, rng: random.Random) -> list[str]:
         ]
     return [
         f"{_word(rng)} (at) {_word(rng)}.{_word(rng).capitalize()}", f"{_word(rng).capitalize()} [at] {_word(rng)}.{_word(rng).capitalize()}", f"{rng.randint(1, 99)} (at) {rng.randint(1, 99)}.{rng.randint(10, 99)}",
-        f"{rng.randint(1, 9)}[@]{rng.randint(1, 99)}.{rng.randint(0, 99)}",
+        f"{rng.randint(1, 9)}[@]{rng.randint(1, 99)}.{rng.randint(0, 99)}", f"{_word(rng)} at {rng.choice(['the', 'a', 'this'])} dot {_word(rng)}",
+        f"{_word(rng).capitalize()} at {_word(rng)} dot {_word(rng).capitalize()}",
     ]
 
 
@@ -217,29 +291,28 @@ class SpanModel:
 
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """Base spans, and all selected spans, both by start, then kind."""
-        if not _DIGIT.search(text) and "@" not in text and not _BRACKETED.search(text):
+        if not _may_hold(text):
             return [], []
         base = base_spans(text)
-        taken, scored = [(a, b) for a, b, _ in base], []
+        taken, scored = _cover(len(text), [(a, b) for a, b, _ in base]), []
         for kind, model in self.models.items():
-            found = [s for s in dict.fromkeys(proposals(text, kind)) if not any(x < s[1] and s[0] < y for x, y in taken)]
+            found = [(a, b) for a, b in dict.fromkeys(proposals(text, kind)) if not any(taken[a:b])]
             if found:
                 scores = model.predict(np.array([features(text, a, b, kind) for a, b in found]))
                 scored += [(-s, a, -b, kind) for (a, b), s in zip(found, scores, strict=True) if s >= self.thresholds[kind]]
         chosen = list(base)
         for _, a, b, kind in sorted(scored):
-            if not any(x < -b and a < y for x, y in taken):
-                taken.append((a, -b))
+            if not any(taken[a:-b]):
+                taken[a:-b] = b"\1" * (-b - a)
                 chosen.append((a, -b, kind))
         return base, sorted(chosen, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def fit(texts: list[str]) -> SpanModel:
-    """Models and thresholds from sampled texts; every other text is kept for calibration."""
+def fit(rows: list[tuple[int, str, int, list[float]]]) -> SpanModel:
+    """Models and thresholds from rows ``half, kind, label, features``; the second half is kept for calibration."""
     halves = [{k: [] for k in KINDS}, {k: [] for k in KINDS}]
-    for i, text in enumerate(texts):
-        for kind, rows in examples(text, i).items():
-            halves[i % 2][kind] += rows
+    for half, kind, label, x in rows:
+        halves[half][kind].append((x, label))
     models, thresholds = {}, {}
     for kind in KINDS:
         train, held = halves[0][kind], halves[1][kind]
@@ -260,18 +333,26 @@ def fit(texts: list[str]) -> SpanModel:
     return SpanModel(models, thresholds)
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> SpanModel:
-    """Fit on at most ``sample`` documents, those with the smallest hash of their id.
+def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, spans: int = SPANS) -> SpanModel:
+    """Fit on the training spans of at most ``sample`` different texts; the driver takes at most ``spans`` rows of numbers."""
+    small_batches(docs.sparkSession)
+    rows = pick(docs, text).toDF("text").where(F.col("text").rlike(r"[0-9@]"))
+    chosen = sample_distinct(rows, F.col("text"), sample)
+    # At most ``sample`` hashes of 64 bits; equal texts are one example.
+    texts = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h"])
 
-    Of a sampled text only the surroundings of its digits and at signs matter for learning, up to ``AROUND`` characters.
-    """
-    rows = pick(docs, doc_id, text).toDF("doc_id", "text")
-    chosen = sample_keys(rows.select("doc_id").where("doc_id IS NOT NULL"), "doc_id", sample)
-    # At most ``sample`` ids.
-    texts = rows.where(F.col("text").isNotNull()).join(F.broadcast(chosen.distinct()), "doc_id").where(F.col("text").rlike("[0-9@]"))
-    around = F.array_join(F.regexp_extract_all("text", F.lit(r"[^\n0-9@]{0,200}[0-9@][^\n]{0,200}"), F.lit(0)), "\n")
-    got = texts.select("doc_id", F.substring(around, 1, AROUND).alias("around")).collect()
-    return fit([r["around"] for r in sorted(got, key=lambda r: (str(r["doc_id"]), r["around"]))])
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            out = []
+            for h, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = [(kind, y, x) for kind, some in examples(body, h).items() for x, y in some]
+                out += [(h, n, kind, y, x) for n, (kind, y, x) in enumerate(found)]
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["h", "n", "kind", "label", "x"])
+
+    found = texts.select("h", "text").mapInArrow(run, "h bigint, n bigint, kind string, label int, x array<double>")
+    got = found.orderBy(F.xxhash64("h", "n"), "h", "n").limit(spans).collect()
+    return fit([(r["h"] >> 7 & 1, r["kind"], r["label"], r["x"]) for r in sorted(got, key=lambda r: (r["h"], r["n"]))])
 
 
 def listed(spans: list[Span]) -> str:

@@ -4,10 +4,10 @@ Trees are boosted on statistics of a bounded sample of labelled texts; every pat
 Popescu 2008). A lasso logistic regression weighs the rules and drops most. What is left is compiled into one Spark column
 expression, so scoring is part of the plan: statistics of the whole text come from one pass over its bytes, the rules are comparisons.
 
-The sample holds at most ``SAMPLE`` labelled documents outside the held-out fold, those with the smallest hash of their id. Labels,
-language, source and id are no inputs.
+The sample holds at most ``SAMPLE`` labelled rows outside the held-out fold: those of the ids with the smallest hash, and of these, where ids
+are repeated, the rows with the smallest hash. Labels, language, source and id are no inputs.
 
-Defined results: a NULL text scores like the empty text; documents with several labels count once per label; rows with equal ids are scored
+Defined results: a NULL text scores like the empty text; equal label rows count once, documents with both labels once with each; rows with equal ids are scored
 one by one; without labels of both kinds every document scores the share of label 1, or 0.5 without any; other columns are ignored.
 """
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from confluo.llm.common import Batches, byte_texts, fresh, in_fold, pick, sample_keys, small_batches, with_columns
+from confluo.llm.common import Batches, byte_texts, fresh, in_fold, pick, sample_distinct, small_batches, with_columns
 from confluo.llm.trees import Condition, fit_boosted, fit_lasso, sigmoid
 
 FOLDS, HELD_OUT = 5, 0
@@ -132,11 +132,14 @@ def fit_rules(x: np.ndarray, y: np.ndarray, rounds: int = 30, depth: int = 3, pe
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> RuleModel:
     """Fit on at most ``sample`` labelled documents outside the held-out fold."""
     marks = pick(labels, doc_id, label).toDF("id_", "label").where("id_ IS NOT NULL AND label IS NOT NULL AND label IN (0, 1)")
-    chosen = sample_keys(marks.where(~in_fold(F.col("id_"), FOLDS, HELD_OUT)), "id_", sample)
-    # At most ``sample`` rows of two numbers.
-    rows = pick(docs, doc_id, text).toDF("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id_"))
-    stats, name = with_statistics(rows.select("doc_id", "text", "label"))
-    got = stats.select("doc_id", "label", name).toPandas().sort_values(["doc_id", "label"])
+    given = pick(docs, doc_id, text).toDF("doc_id", "text")
+    known = marks.where(~in_fold(F.col("id_"), FOLDS, HELD_OUT)).join(given.select(F.col("doc_id").alias("id_")), "id_", "left_semi").distinct()
+    chosen = known.withColumn("h", F.xxhash64("id_")).join(F.broadcast(sample_distinct(known, F.col("id_"), sample)), "h", "left_semi")
+    # At most ``sample`` ids with two labels each.
+    rows = given.join(F.broadcast(chosen.select("id_", "label")), F.col("doc_id") == F.col("id_"))
+    stats, name = with_statistics(rows.select("doc_id", "text", "label", F.xxhash64("doc_id", "label", "text").alias("h")))
+    # Rows of numbers; ids may be repeated, so they are counted here.
+    got = stats.select("doc_id", "label", "h", name).orderBy("h").limit(sample).toPandas().sort_values(["doc_id", "label", "h"])
     if got.empty:
         return RuleModel(0.0, ())
     return fit_rules(np.stack(got[name].to_numpy()), got["label"].to_numpy(float))

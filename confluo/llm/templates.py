@@ -352,7 +352,8 @@ def fold_expr(expr: Expr, known: Mapping[str, Any]) -> Expr:
 def _printed(expr: Expr) -> list[Node]:
     """A printed expression as texts and values: what the template itself says stays trusted."""
     if expr.kind == "const":
-        return [Node("text", _text(expr.args[0]))]
+        text = _text(expr.args[0])
+        return [Node("text", text)] if text else []
     text_side = any(a.kind == "const" and isinstance(a.args[0], str) for a in expr.args if isinstance(a, Expr))
     if expr.kind == "~" or (expr.kind == "+" and text_side):
         return [n for a in expr.args for n in _printed(a)]

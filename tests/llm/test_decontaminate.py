@@ -17,6 +17,7 @@ def words(text):
 
 
 def brute(docs, items):
+    """A missing id counts as one item that the digest does not show."""
     out = []
     for doc_id, text in docs:
         w, hit, ids = words(text), set(), set()
@@ -29,7 +30,7 @@ def brute(docs, items):
                     if w[j : j + n] == window:
                         hit.update(range(j, j + n))
                         ids.add(item)
-        out.append((doc_id, len(w), len(hit), len(ids), D.item_digest(list(ids)), bool(hit) and 20 * len(hit) >= len(w)))
+        out.append((doc_id, len(w), len(hit), len(ids), D.item_digest([i for i in ids if i is not None]), bool(hit) and 20 * len(hit) >= len(w)))
     return sorted(out, key=repr)
 
 
@@ -48,7 +49,7 @@ def test_equals_brute_force(spark, block_bytes):
     docs, items = random_case(block_bytes)
     d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     b = spark.createDataFrame(items, "item_id long, text string")
-    expected = brute(docs, [x for x in items if x[0] is not None])
+    expected = brute(docs, items)
     assert rows_of(D.contamination(d, b, block_bytes=block_bytes), "*") == expected
     kept = D.decontaminate(d, b, block_bytes=block_bytes)
     assert rows_of(kept, "doc_id") == [(r[0],) for r in expected if not r[5]]
@@ -93,17 +94,25 @@ def test_items_without_id_hit(spark, block_bytes, tmp_path):
     schema = "doc_id long, text string"
     d = spark.createDataFrame(docs, schema)
     b = spark.createDataFrame(items, "item_id long, text string")
-    # The brute force writes a missing id out; the digest leaves it out.
-    named = {r[0]: r[4] for r in brute(docs, [x for x in items if x[0] is not None])}
-    expected = [(*r[:4], named[r[0]], r[5]) for r in brute(docs, items)]
+    expected = brute(docs, items)
     assert expected != brute(docs, [x for x in items if x[0] is not None])
-    assert rows_of(D.contamination(d, b, block_bytes=block_bytes, unnamed=True), "*") == sorted(expected, key=repr)
+    assert rows_of(D.contamination(d, b, block_bytes=block_bytes), "*") == sorted(expected, key=repr)
     d.write.parquet(f"{tmp_path}/documents.parquet")
     b.write.parquet(f"{tmp_path}/benchmark.parquet")
     assert rows_of(QUERIES["op3_decontamination"](spark, str(tmp_path)), "*") == sorted(expected, key=repr)
     kept = corpus_pipeline.drop_contaminated(spark, d, str(tmp_path))
     assert rows_of(kept, "doc_id") == sorted([(r[0],) for r in expected if not r[5]], key=repr)
-    assert {r.item_id for r in D.longest_matches(d, b, unnamed=True).collect()} >= {None}
+    assert {r.item_id for r in D.longest_matches(d, b).collect()} >= {None}
+
+
+def test_text_ids(spark):
+    docs, items = random_case(7)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    named = [(None if i is None else f"item {i}", t) for i, t in items]
+    b = spark.createDataFrame(named, "item_id string, text string")
+    for block_bytes in (1 << 20, 60):
+        assert rows_of(D.contamination(d, b, block_bytes=block_bytes), "*") == brute(docs, named)
+    assert {r.item_id for r in D.longest_matches(d, b).collect()} <= {n for n, _ in named}
 
 
 def test_groups_count_all_columns_and_keep_every_batch(monkeypatch):

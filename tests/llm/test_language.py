@@ -75,3 +75,34 @@ def test_blocks_of_languages_equal_one_pass(spark, monkeypatch):
     learned = language.train(docs)
     assert learned == whole and set(learned) == set(PARTS)
     assert sorted(map(tuple, language.identify(docs, learned).collect())) == expected
+
+
+def test_texts_without_a_letter(spark):
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string, lang string, source string, n_chars long")
+    texts = ["½ ²", "①", "Ⅷ", "١٢", "\u0301", "12 _ 3", "\U0001f600", "a", "ß 12", "e\u0301"]
+    got = language.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), language.train(docs)).collect()
+    assert [r.lang_pred == "und" for r in sorted(got)] == [True] * 7 + [False] * 3
+
+
+def test_equals_plain_compression(spark):
+    """The whole rule again with the compression library alone."""
+    import math
+
+    import regex
+    import zstandard
+
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string, lang string, source string, n_chars long")
+    learned = language.train(docs)
+    coders = {x: zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=1), level=6, write_checksum=False, write_content_size=False) for x, d in learned.items()}
+    found = {r.doc_id: r for r in language.identify(docs, learned).collect()}
+    for i, text, *_ in corpus():
+        data = (" " + " ".join(regex.findall(r"[\p{L}\p{M}]+", text.lower())) + " ").encode()
+        sizes = sorted((sum(len(c.compress(data[k : k + 2048])) for k in range(0, len(data), 2048)), x) for x, c in coders.items())
+        margin = 1 - sizes[0][0] / sizes[1][0]
+        assert (found[i].lang_pred, found[i].rejected) == (sizes[0][1], margin < 0.02) and abs(found[i].score - (1 - math.exp(-10 * margin))) < 1e-12
+
+
+def test_languages_of_copies_are_not_lost(spark):
+    rows = [(1, "the one text of this language", "xx")] * 3000 + [(i, f"other text number {i} of another", "yy") for i in range(3000)]
+    learned = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=2)
+    assert set(learned) == {"xx", "yy"}

@@ -97,3 +97,71 @@ def test_odd_rows(spark, model):
     assert pii.find(empty_docs(spark), model).count() == 0
     untrained = pii.train(empty_docs(spark))
     assert untrained.models == {} and untrained.spans("a@b.c")[1] == [(0, 5, "email")]
+
+
+def matches(kind, text):
+    return [m.span() for m in re.finditer(dict(PATTERNS)[kind], text)]
+
+
+def test_base_matches_equal_the_patterns():
+    rng = random.Random(6)
+    pieces = ["a", "b1", "@", ".", "..", "-", "_", "%", " ", "1", "22", "333", "é", "@@", "a@b.c", "1.2.3", "+", "\n"]
+    for _ in range(6000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 14)))
+        for kind in ("email", "ip"):
+            assert list(pii.base_matches(text, kind)) == matches(kind, text), (kind, text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["7" * (1 << 20), "x" * (1 << 20) + "@", "x@" * (1 << 19), "1.2.3.4 " * (1 << 17), "1." * (1 << 19), "+1(" * 300_000, "@" + "a." * (1 << 19), "a.b" * 300_000 + "@c", "4111.1111 " * 100_000],
+)
+def test_long_texts_take_linear_time(model, text):
+    import time
+
+    start = time.perf_counter()
+    model.spans(text)
+    assert time.perf_counter() - start < 30
+    for kind in pii.KINDS:
+        start = time.perf_counter()
+        sum(1 for _ in pii.base_matches(text, kind))
+        assert time.perf_counter() - start < 2
+
+
+def test_spelt_out_addresses_are_proposed(model):
+    assert [t[a:b] for t in ["write jane at example dot com now"] for a, b in pii.proposals(t, "email")] == ["jane at example dot com"]
+    assert model.spans("write to jane at example dot com now")[1]
+    assert model.spans("look at the dot on the map")[1] == [] and model.spans("we met at noon. Then 5 more")[1] == []
+
+
+def test_hidden_data_does_not_teach_to_overlook_hidden_data(spark):
+    """A tenth of all personal data is disguised in the corpus itself."""
+    rng, rows, hidden = random.Random(4), [], []
+    for i in range(2000):
+        a, b = rng.choice(["joe", "ann", "li"]), rng.choice(["mail", "post"])
+        ip = ".".join(str(rng.randint(0, 255)) for _ in range(4))
+        plain = [f"{a}{i}@{b}.example.com", ip, card(rng), f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"]
+        number = card(rng)
+        masked = [f"{a}{i} [at] {b} [dot] example [dot] com", ip.replace(".", "[.]"), ".".join(number[k : k + 4] for k in (0, 4, 8, 12))]
+        decoys = ["300.1.2.3", "2020-10-11", "4111 1111 1111 1112", "version 2.5.1"]
+        value = rng.choice(masked if i % 10 == 0 else plain + decoys)
+        text = f"{prose(i, 8)} {value} {prose(i + 5000, 8)}"
+        rows.append((i, text))
+        if i % 10 == 0:
+            hidden.append((text, value))
+    model = pii.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = sum(any(t[a:b] == v for a, b, _ in model.spans(t)[1]) for t, v in hidden)
+    assert found >= 0.9 * len(hidden)
+
+
+def test_samples_go_by_texts(spark, monkeypatch):
+    """One id on 3,000 rows, and one text on 3,000 rows: bounded, and never nothing."""
+    seen = []
+    original = pii.fit
+    monkeypatch.setattr(pii, "fit", lambda rows: seen.append(rows) or original(rows))
+    one_id = spark.createDataFrame([(7, f"{t} a{i}@b.example.com") for i, (_, t) in enumerate(corpus(400))], "doc_id long, text string")
+    one_text = spark.createDataFrame([(i, "write a@b.example.com or 10.0.0.1") for i in range(3000)], "doc_id long, text string")
+    assert pii.train(one_id, sample=50).models
+    pii.train(one_text, sample=5)
+    pii.train(one_id, sample=50, spans=30)
+    assert len(seen[0]) > 50 and 0 < len(seen[1]) < 60 and len(seen[2]) == 30
