@@ -345,6 +345,26 @@ def item_digest(items: list[int | str]) -> str:
     return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
 
 
+_SQL_WORDS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+def sql_longest() -> str:
+    """:func:`longest_matches` in DuckDB SQL: occurrences of windows that follow each other on one diagonal are one match."""
+    return f"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_SQL_WORDS} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS item, item_id, {_SQL_WORDS} AS w FROM benchmark),
+win AS (SELECT item, item_id, j, least(len(w), {WINDOW}) AS n, array_to_string(w[j:j + least(len(w), {WINDOW}) - 1], ' ') AS gram
+  FROM (SELECT item, item_id, w, unnest(range(1, greatest(len(w) - {WINDOW} + 2, 2))) AS j FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+gram AS (SELECT row, doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM (SELECT row, doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), sizes WHERE i + n - 1 <= len(w)),
+occ AS (SELECT row, doc_id, item, item_id, i, j, n FROM gram JOIN win USING (n, gram)),
+run AS (SELECT *, i - row_number() OVER (PARTITION BY row, item, i - j ORDER BY i) AS run FROM occ)
+SELECT doc_id, CAST(min(i) - 1 AS INTEGER) AS start, item_id, CAST(min(j) - 1 AS INTEGER) AS item_start, CAST(max(i) + any_value(n) - min(i) AS INTEGER) AS length
+FROM run GROUP BY row, doc_id, item, item_id, i - j, run"""
+
+
 def sql_contamination() -> str:
     """The same in DuckDB SQL: windows as joined texts, one equality join per window length."""
     words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -37,6 +37,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def longest_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where op3 finds benchmark text: every verbatim match at its full length."""
+    return decontaminate.longest_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
@@ -92,6 +98,7 @@ def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = {
     "op1_sharding": sharding.sql_shards(),
     "op3_decontamination": decontaminate.sql_contamination(),
+    "longest_matches": decontaminate.sql_longest(),
     "op6_top_k": topk.sql_top_k(),
     "op7_licenses": licenses.sql_licenses(),
     "op11_chat": chat.sql_chat(),
