@@ -60,7 +60,7 @@ _BRACKETED = re.compile(r"[\[({]\s?(?:at|AT)\s?[\])}]")
 _DIGIT = re.compile(r"[0-9]")
 
 SAMPLE = 20_000
-SPANS = 200_000
+SPANS = 50_000
 PRECISION = 0.98
 WINDOW = 40
 
@@ -308,7 +308,7 @@ class SpanModel:
         return base, sorted(chosen, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def fit(rows: list[tuple[int, str, int, list[float]]]) -> SpanModel:
+def fit(rows: list[tuple[int, str, int, np.ndarray]]) -> SpanModel:
     """Models and thresholds from rows ``half, kind, label, features``; the second half is kept for calibration."""
     halves = [{k: [] for k in KINDS}, {k: [] for k in KINDS}]
     for half, kind, label, x in rows:
@@ -351,8 +351,11 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["h", "n", "kind", "label", "x"])
 
     found = texts.select("h", "text").mapInArrow(run, "h bigint, n bigint, kind string, label int, x array<double>")
-    got = found.orderBy(F.xxhash64("h", "n"), "h", "n").limit(spans).collect()
-    return fit([(r["h"] >> 7 & 1, r["kind"], r["label"], r["x"]) for r in sorted(got, key=lambda r: (r["h"], r["n"]))])
+    got = found.orderBy(F.xxhash64("h", "n"), "h", "n").limit(spans).toArrow().sort_by([("h", "ascending"), ("n", "ascending")])
+    hashes, kinds, labels = (got.column(c).to_pylist() for c in ("h", "kind", "label"))
+    xs = got.column("x").combine_chunks()
+    numbers = xs.flatten().to_numpy().reshape(len(hashes), len(FEATURES)) if len(hashes) else np.zeros((0, len(FEATURES)))
+    return fit([(h >> 7 & 1, kind, y, x) for h, kind, y, x in zip(hashes, kinds, labels, numbers, strict=True)])
 
 
 def listed(spans: list[Span]) -> str:
