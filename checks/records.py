@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.registry import query, sql_analysed
 from checks.views import READERS, first_sentence, sql_catalogue, sql_sentence, table
 from confluo.functions import values as V
+from confluo.functions.dates import MONTHS, date_parts
 from confluo.functions.text import clean_query, keep_numbers, snippet, standard, strip_tags
 from confluo.operators import normalise as N
 from confluo.operators.tables import keyword_rows
@@ -272,6 +273,30 @@ def parse_dates(spark, sf):
     )
 
 
+# The same day written in many ways, by the language of the document; the SQL knows the day itself.
+_DAY = "DATE '2010-01-01' + CAST((doc_id * 37) % 3650 AS INTEGER)"
+_WRITTEN = {0: "dd.MM.yyyy", 1: "yyyy/MM/dd", 2: "'Q'q yyyy", 3: None, 4: "MMM d, yyyy", 5: "yyyyMMdd", 6: "MM/yyyy", 7: "yyyy", 8: "dd/MM/yyyy", 9: "d.M.yyyy"}
+
+
+@query(
+    "parse_dates_by_parts",
+    f"""SELECT doc_id, CASE WHEN k = 10 THEN NULL ELSE strftime(CASE k WHEN 2 THEN date_trunc('quarter', day) WHEN 6 THEN date_trunc('month', day)
+  WHEN 7 THEN date_trunc('year', day) ELSE day END, '%Y-%m-%d') END AS date,
+  CASE k WHEN 10 THEN NULL WHEN 2 THEN 'quarter' WHEN 6 THEN 'month' WHEN 7 THEN 'year' ELSE 'day' END AS precision,
+  CASE WHEN k = 10 THEN NULL ELSE k = 8 AND day(day) <= 12 AND day(day) <> month(day) END AS ambiguous
+FROM (SELECT doc_id, doc_id % 11 AS k, {_DAY} AS day FROM documents)""",
+)
+def parse_dates_by_parts(spark, sf):
+    docs = table(spark, sf, "documents").selectExpr("doc_id", "lang", "doc_id % 11 AS k", "date_add(DATE '2010-01-01', cast(doc_id * 37 % 3650 AS int)) AS day")
+    names = F.create_map(*[x for lang, months in MONTHS.items() for x in (F.lit(lang), F.array(*[F.lit(m) for m in months]))])
+    named = F.concat_ws(" ", F.dayofmonth("day"), F.element_at(F.element_at(names, F.col("lang")), F.month("day")), F.year("day"))
+    text = F.lit("on its way")
+    for k, form in _WRITTEN.items():
+        text = F.when(F.col("k") == k, named if form is None else F.date_format("day", form)).otherwise(text)
+    parts = docs.withColumn("text", text).select("doc_id", date_parts("text").alias("p"))
+    return parts.select("doc_id", F.date_format("p.date", "yyyy-MM-dd").alias("date"), "p.precision", "p.ambiguous")
+
+
 @query(
     "epoch_to_ts",
     """SELECT event_id, strftime(make_timestamp(CAST((s - 1500) * 1000000 * 40000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS ts

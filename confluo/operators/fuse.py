@@ -86,15 +86,17 @@ def fused_top_k(hits: DataFrame, directory: DataFrame, sources: Sequence[str], k
 
 def top_k_one_query(hits: DataFrame, directory: DataFrame, sources: Sequence[str], k: int) -> DataFrame:
     """The same for a single query: a distributed take-ordered instead of a window."""
-    scored = average(fuse_sources(hits, sources), directory, sources)
+    kept = prune(fuse_sources(hits, sources), sources, k)
+    scored = average(kept, only_entities(directory, kept), sources)
     return scored.orderBy(rounded(F.col("total_score")).desc(), F.col("entity_id").asc()).limit(k)
 
 
-def _places(top: DataFrame, hits: DataFrame, sources: Sequence[str]) -> DataFrame:
+def _places(top: DataFrame, hits: DataFrame, sources: Sequence[str], small: bool = False) -> DataFrame:
     """Rank of fused documents in the complete ranking of their own source, where several sources matched the entity.
 
     Per (query, source) the fused documents are at most k thresholds. Each hit finds by itself how many thresholds come
-    before it, so ranking takes one count per interval and never a sort of all hits.
+    before it, so ranking takes one count per interval and never a sort of all hits. ``small`` says that the queries are so few that
+    their thresholds may be sent to every task; hits then are counted where they are, and only counts are shuffled.
     """
     n_matched = F.size(F.array_compact(F.array(*[F.col(_score_column(i)) for i, _ in enumerate(sources)])))
     entries = top.where(n_matched > 1).select(
@@ -113,7 +115,7 @@ def _places(top: DataFrame, hits: DataFrame, sources: Sequence[str]) -> DataFram
     )
     keyed = hits.select("query_id", "source", F.struct((-rounded(F.col("score"))).alias("neg"), F.col("id")).alias("h"))
     slots = (
-        keyed.join(marks, ["query_id", "source"])
+        keyed.join(F.broadcast(marks) if small else marks, ["query_id", "source"])
         .withColumn("slot", F.size(F.filter("marks", lambda m: m < F.col("h"))))
         .groupBy("query_id", "source", "slot")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -126,8 +128,11 @@ def _places(top: DataFrame, hits: DataFrame, sources: Sequence[str]) -> DataFram
     )
 
 
-def with_hits(top: DataFrame, hits: DataFrame, sources: Sequence[str]) -> DataFrame:
-    """Add the documents of every fused entity: the source that shows it first leads, the others keep registry order."""
+def with_hits(top: DataFrame, hits: DataFrame, sources: Sequence[str], small: bool = False) -> DataFrame:
+    """Add the documents of every fused entity: the source that shows it first leads, the others keep registry order.
+
+    ``small`` promises that ``top`` is small enough to be sent to every task.
+    """
     orders = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(i).alias("order")) for i, s in enumerate(sources)])
     scores = F.array(*[F.coalesce(F.col(_score_column(i)), F.lit(0.0)) for i, _ in enumerate(sources)])
     docs = (
@@ -148,7 +153,7 @@ def with_hits(top: DataFrame, hits: DataFrame, sources: Sequence[str]) -> DataFr
             F.get("met", F.col("order")).alias("met"),
         )
     )
-    placed = docs.join(_places(top, hits, sources), ["query_id", "source", "id"], "left")
+    placed = docs.join(_places(top, hits, sources, small), ["query_id", "source", "id"], "left")
     by_entity = placed.groupBy("query_id", "rank", "entity_id", "total_score", "n_sources").agg(
         # An entity only one source matched has no place to compare: that source leads.
         F.coalesce(

@@ -20,6 +20,7 @@ bonuses it earns. The best five over the union of the lists are therefore exactl
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from datetime import timedelta
 
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 from confluo.functions.scoring import idf, rounded, tf_part
 from confluo.functions.text import STOP_WORDS, keep_numbers
 from confluo.session import step_path, store_step
-from confluo.sources.files import exists
+from confluo.sources.files import delete, exists
+
+log = logging.getLogger(__name__)
 
 # Candidates per record, date window and bonuses.
 CANDIDATES = 5
@@ -37,6 +40,9 @@ DATE_WINDOW = timedelta(days=14)
 DATE_BONUS = 0.5
 DEV_BONUS = 2.0
 
+# Rounds of matching before chains are looked for: records that really displace each other settle in a few.
+PLAIN_ROUNDS = 6
+
 _WINDOW_SECONDS = int(DATE_WINDOW.total_seconds())
 
 
@@ -300,13 +306,16 @@ def candidate_edges(
     return m.join(e, same).select("m.left_id", "e.entity_id", "e.score")
 
 
-def assign_one_to_one(edges: DataFrame) -> DataFrame:
+def assign_one_to_one(edges: DataFrame, plain_rounds: int = PLAIN_ROUNDS) -> DataFrame:
     """Matches ``(left_id, entity_id, score)``: every entity keeps its best record, displaced records fall back.
 
     With edges ordered by score, record id and entity id there is one stable outcome. It is reached by rounds: edges that
     are best for both their ends are final, and their ends leave. Best edges are plain minima, merged on the map side, so an
     entity wanted by very many records is no hot spot. A round is one job: it stores its matches and the edges left over in
-    the shared folder, and the next round reads those. Every round settles at least one edge.
+    the shared folder, the next round reads those, and the edges read before are deleted. Every round settles at least one edge.
+
+    Records that displace each other one after the other would take a round each. From the ``plain_rounds``-th round on, such chains are
+    settled at once, see :func:`_settled_chains`.
     """
     spark = edges.sparkSession
     base = step_path(spark, "assign")
@@ -316,23 +325,90 @@ def assign_one_to_one(edges: DataFrame) -> DataFrame:
     rounds = 0
     while exists(spark, f"{base}/{rounds}/kind=edge"):
         open_edges = spark.read.schema(schema).parquet(f"{base}/{rounds}/kind=edge")
-        best_of_record = open_edges.groupBy("left_id").agg(F.min(F.struct("neg", "entity_id", "score")).alias("b"))
-        best_of_entity = open_edges.groupBy("entity_id").agg(F.min(F.struct("neg", "left_id")).alias("b"))
-        chosen = best_of_record.select("left_id", "b.entity_id", "b.score", "b.neg").join(
-            best_of_entity.select("entity_id", F.col("b.left_id").alias("left_id")), ["left_id", "entity_id"]
-        )
+        if rounds < plain_rounds:
+            chosen = _best_for_both(open_edges)
+        else:
+            log.info("round %d: chains among %d open edges", rounds + 1, open_edges.count())
+            chosen = _settled_chains(open_edges)
         rest = open_edges.join(chosen.select("left_id"), "left_id", "left_anti").join(
             chosen.select("entity_id"), "entity_id", "left_anti"
         )
         both = chosen.withColumn("kind", F.lit("match")).unionByName(rest.withColumn("kind", F.lit("edge")))
         rounds += 1
         both.write.partitionBy("kind").parquet(f"{base}/{rounds}")
+        delete(spark, f"{base}/{rounds - 1}/kind=edge")
+    log.info("%d rounds", rounds)
     paths = [f"{base}/{n}/kind=match" for n in range(1, rounds + 1)]
     if not paths:
         return edges.select("left_id", "entity_id", "score").limit(0)
     return spark.read.schema(schema).parquet(*paths).select("left_id", "entity_id", "score")
 
 
+_EDGE = ["left_id", "entity_id", "score", "neg"]
+
+
+def _best_for_both(open_edges: DataFrame) -> DataFrame:
+    """Edges that are the best of both their ends."""
+    best_of_record = open_edges.groupBy("left_id").agg(F.min(F.struct("neg", "entity_id", "score")).alias("b"))
+    best_of_entity = open_edges.groupBy("entity_id").agg(F.min(F.struct("neg", "left_id")).alias("b"))
+    return best_of_record.select("left_id", "b.entity_id", "b.score", "b.neg").join(
+        best_of_entity.select("entity_id", F.col("b.left_id").alias("left_id")), ["left_id", "entity_id"]
+    )
+
+
+def _two_best(open_edges: DataFrame, end: str, other: str) -> DataFrame:
+    """Per end its best edge and the one after it, as plain minima: ``<end>, first, second`` (other end; NULL where there is none)."""
+    order = F.struct("neg", other)
+    best = open_edges.groupBy(end).agg(F.min(order).alias("b"))
+    rest = open_edges.join(best, end).where(order != F.col("b")).groupBy(end).agg(F.min(order).alias("c"))
+    return best.join(rest, end, "left").select(end, F.col(f"b.{other}").alias("first"), F.col(f"c.{other}").alias("second"))
+
+
+def _settled_chains(open_edges: DataFrame) -> DataFrame:
+    """Edges that are the best of both ends, and all that follow from them along chains.
+
+    An edge with exactly one better edge at its ends is chosen if and only if that one is not. Such edges point to the better one; pointers
+    are doubled, with the parity of the steps, until none gets any further, so a chain takes as many jobs as its length has
+    binary digits. Those that end at an edge best for both ends are settled by their parity; those that end at an edge with several better
+    ones wait for the next round.
+    """
+    records, entities = _two_best(open_edges, "left_id", "entity_id"), _two_best(open_edges, "entity_id", "left_id")
+    placed = (
+        open_edges.join(records.select("left_id", F.col("first").alias("r1"), F.col("second").alias("r2")), "left_id")
+        .join(entities.select("entity_id", F.col("first").alias("e1"), F.col("second").alias("e2")), "entity_id")
+        .withColumn("r", F.when(F.col("entity_id") == F.col("r1"), 0).when(F.col("entity_id") == F.col("r2"), 1).otherwise(2))
+        .withColumn("e", F.when(F.col("left_id") == F.col("e1"), 0).when(F.col("left_id") == F.col("e2"), 1).otherwise(2))
+    )
+    placed = store_step(placed.select(*_EDGE, "r1", "e1", "r", "e"), "placed")
+    best = placed.where((F.col("r") == 0) & (F.col("e") == 0)).select(*_EDGE)
+    after_own = F.col("r") == 1
+    ways = placed.where(F.col("r") + F.col("e") == 1).select(
+        *_EDGE,
+        F.when(after_own, F.col("left_id")).otherwise(F.col("e1")).alias("to_left"),
+        F.when(after_own, F.col("r1")).otherwise(F.col("entity_id")).alias("to_entity"),
+        F.lit(True).alias("odd"),
+    )
+    ways = store_step(ways, "ways")
+    on = [("to_left", "left_id", "next_left"), ("to_entity", "entity_id", "next_entity")]
+    while True:
+        steps = ways.select(*[F.col(c).alias(to) for to, c, _ in on], *[F.col(to).alias(further) for to, _, further in on], F.col("odd").alias("more"))
+        further = F.col("next_left").isNotNull()
+        joined = ways.join(steps, [to for to, _, _ in on], "left").select(
+            *_EDGE,
+            F.coalesce("next_left", "to_left").alias("to_left"),
+            F.coalesce("next_entity", "to_entity").alias("to_entity"),
+            F.when(further, F.col("odd") != F.col("more")).otherwise(F.col("odd")).alias("odd"),
+            further.alias("moved"),
+        )
+        stored = store_step(joined, "ways")
+        ways = stored.drop("moved")
+        if stored.where("moved").isEmpty():
+            break
+    ends = best.select(F.col("left_id").alias("to_left"), F.col("entity_id").alias("to_entity"))
+    follow = ways.where(~F.col("odd")).join(ends, ["to_left", "to_entity"], "left_semi")
+    return best.unionByName(follow.select(*_EDGE))
+
+
 def new_entity_id(source: Column, record_id: Column) -> Column:
     return F.sha2(F.concat_ws(":", source, record_id), 256)
 

@@ -115,12 +115,24 @@ def _keyword_hits(rows: DataFrame, tables, small: bool) -> DataFrame:
 
 
 def _date_hits(rows: DataFrame, tables, small: bool) -> DataFrame:
-    """Inclusive ranges through an equi-join on the year; ranges are cut to the years that occur, open ends among them."""
-    dated = tables.dates().withColumn("year", F.year("date"))
-    first, last = dated.agg(F.min("year"), F.max("year")).first()
-    start = F.greatest(F.coalesce(F.year("lo"), F.lit(first).cast("int")), F.lit(first).cast("int"))
-    end = F.least(F.coalesce(F.year("hi"), F.lit(last).cast("int")), F.lit(last).cast("int"))
-    keyed = rows.withColumn("year", F.explode(F.when(start <= end, F.sequence(start, end))))
+    """Inclusive ranges through an equi-join on the year; ranges are cut to the years that occur, open ends among them.
+
+    Stored tables know their years by name, and only the years that the ranges meet are read: one number per year is asked first. Elsewhere
+    the first and last year are a part of the same query.
+    """
+    known = tables.date_years()
+    if known is None:
+        occurring = tables.dates()
+        first, last = occurring.agg(F.min("year")).scalar(), occurring.agg(F.max("year")).scalar()
+    else:
+        first, last = (F.lit(y).cast("int") for y in ((known[0], known[-1]) if known else (None, None)))
+    start, end = F.greatest(F.coalesce(F.year("lo"), first), first), F.least(F.coalesce(F.year("hi"), last), last)
+    keyed = rows.withColumn("start", start).withColumn("end", end).withColumn("year", F.explode(F.expr("CASE WHEN start <= end THEN sequence(start, end) END")))
+    keyed = keyed.drop("start", "end")
+    dated = tables.dates()
+    if known is not None:
+        asked = {r["year"] for r in keyed.select("year").distinct().collect()}
+        dated = tables.dates([y for y in known if y in asked])
     inside = (F.col("lo").isNull() | (F.col("date") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("date") < F.col("hi")))
     return dated.join(small_side(keyed, small), "year").where(inside).withColumn("score", F.col("weight"))
 

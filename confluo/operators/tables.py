@@ -191,7 +191,8 @@ def keyword_rows(catalogue: DataFrame, fields: Sequence[str] = KEYWORD_FIELDS) -
 
 
 def date_rows(catalogue: DataFrame) -> DataFrame:
-    return catalogue.where(F.col("date").isNotNull()).select("source", "id", "entity_id", "date")
+    """Dated documents; the year is what ranges and dates meet by."""
+    return catalogue.where(F.col("date").isNotNull()).select("source", "id", "entity_id", "date", F.year("date").alias("year"))
 
 
 def own_entity() -> Column:
@@ -260,8 +261,13 @@ class CatalogueTables:
     def keywords(self, fields: Sequence[str] = KEYWORD_FIELDS) -> DataFrame:
         return keyword_rows(self.catalogue, fields)
 
-    def dates(self) -> DataFrame:
-        return date_rows(self.catalogue)
+    def dates(self, years: Sequence[int] | None = None) -> DataFrame:
+        rows = date_rows(self.catalogue)
+        return rows if years is None else rows.where(F.col("year").isin(*years))
+
+    def date_years(self) -> list[int] | None:
+        """The years that occur, if they are known without looking at the rows."""
+        return None
 
     def entities(self) -> DataFrame:
         return entity_directory(self.catalogue, self.sources)

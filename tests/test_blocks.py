@@ -11,7 +11,7 @@ from confluo.functions.scoring import tf_part
 from confluo.operators import fuse
 from confluo.operators import tables as tb
 from confluo.operators.bounded import bounded_top_k
-from confluo.operators.leaves import bag_of_words, query_table, wildcard, words
+from confluo.operators.leaves import bag_of_words, date_in, date_range, query_table, wildcard, words
 from confluo.operators.retrieve import retrieve
 from confluo.sources import store as S
 from confluo.sources.store import StoredTables, materialise
@@ -129,6 +129,28 @@ def test_bounds_need_plain_words(spark, stored):
             bounded_top_k(stored, query_table(spark, {"q": query}), 5)
 
 
+# Dates by year --------------------------------------------------------------------------------------------------------
+
+
+def test_only_years_that_ranges_meet_are_read(spark, tmp_path):
+    rows = catalogue(spark, [doc("s", i, "x", date=f"{2000 + i % 12}-0{1 + i % 9}-15") for i in range(200)] + [doc("s", 500, "x")])
+    materialise(rows, str(tmp_path), "s")
+    tables = StoredTables(spark, str(tmp_path), ["s"])
+    assert tables.date_years() == list(range(2000, 2012))
+    queries = query_table(spark, {"a": [date_range("2003-05", "2004")], "b": [date_in("2009")], "c": [date_in("1990")]})
+    hits = retrieve(tables, queries)
+    ours = sorted((r.query_id, r.id, r.score) for r in hits.collect())
+    assert ours == sorted((r.query_id, r.id, r.score) for r in retrieve(tb.CatalogueTables(rows, ["s"]), queries).collect()) and len(ours) > 30
+    plan = hits._jdf.queryExecution().toString()
+    assert "2003" in plan and "2009" in plan and "2008" not in plan.split("PartitionFilters")[1].split("]")[0]
+    open_ends = query_table(spark, {"a": [date_range(None, "2001")], "b": [date_range("2010", None)], "c": [date_range(None, None)]})
+    counts = {q: sum(r.query_id == q for r in retrieve(tables, open_ends).collect()) for q in "abc"}
+    assert counts == {q: sum(r.query_id == q for r in retrieve(tb.CatalogueTables(rows, ["s"]), open_ends).collect()) for q in "abc"} and counts["c"] == 200
+    undated = catalogue(spark, [doc("s", 1, "x")])
+    materialise(undated, str(tmp_path / "none"), "s")
+    assert retrieve(StoredTables(spark, str(tmp_path / "none"), ["s"]), open_ends).count() == 0
+
+
 # Wildcards by grams ---------------------------------------------------------------------------------------------------
 
 PATTERNS = ["*ee*", "n?", "?", "??*", "*", "w*7", "*1*2*", "*.5", "a_b*", "_*", "*_", "w3?9", "absent*", "100%", "*\\*", "x.y"]

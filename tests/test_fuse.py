@@ -4,6 +4,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from confluo.operators import fuse
 from confluo.operators.tables import entity_directory
 from tests.helpers import catalogue, doc
@@ -77,3 +79,14 @@ def test_hot_entity_and_hot_query(spark):
     )
     top = fuse.fused_top_k(hits, entity_directory(catalogue(spark, docs), ["A"]), ["A"], 2).orderBy("rank").collect()
     assert [(r.entity_id, r.total_score) for r in top] == [("hot", 599.0), ("e597", 597.0)]
+
+
+def test_places_are_counted_without_a_shuffle_of_hits(spark):
+    """Thresholds go to the tasks, so hits meet them where they are and nothing is dealt by query and source alone."""
+    hits = spark.range(2000).selectExpr("'q' AS query_id", "IF(id % 2 = 0, 'A', 'B') AS source", "cast(id AS string) AS id", "concat('e', id div 2) AS entity_id", "cast(id % 7 AS double) AS score")
+    directory = hits.groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("source", "id"))).alias("docs")).withColumn("n_sources", F.size("docs"))
+    top = fuse.fused_top_k(hits, directory, ["A", "B"], 5)
+    plain, sent = (fuse.with_hits(top, hits, ["A", "B"], small=small) for small in (False, True))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, sent.collect()))
+    hints = ["strategy=broadcast" in fuse._places(top, hits, ["A", "B"], small)._jdf.queryExecution().optimizedPlan().toString() for small in (False, True)]
+    assert hints == [False, True]

@@ -60,6 +60,26 @@ def test_assignment_is_stable_and_order_free(spark, seed):
     assert {r.left_id: r.entity_id for r in again} == got
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_chains_found_from_the_first_round_on_change_nothing(spark, seed):
+    rng = random.Random(seed)
+    edges = list({(f"l{rng.randint(0, 80)}", f"e{int(rng.expovariate(0.1))}"): None for _ in range(260)})
+    edges = [(left, e, float(rng.randint(1, 9)) if seed else rng.random()) for left, e in edges]
+    frame = spark.createDataFrame(edges, EDGES)
+    got = {r.left_id: r.entity_id for r in R.assign_one_to_one(frame, plain_rounds=0).collect()}
+    assert got == greedy(edges) == assigned(spark, edges)
+
+
+def test_a_long_chain_settles_in_few_rounds(spark, caplog):
+    """Every record wants the entity that the next one wants more."""
+    n = 2000
+    edges = [(f"l{i:05d}", f"e{i:05d}", 2.0 * i) for i in range(n)] + [(f"l{i:05d}", f"e{i + 1:05d}", 2.0 * i + 1) for i in range(n - 1)]
+    with caplog.at_level("INFO", logger=R.__name__):
+        assert assigned(spark, edges) == greedy(edges)
+    (rounds,) = [int(m.split()[0]) for m in caplog.messages if m.endswith(" rounds")]
+    assert rounds <= 15
+
+
 def tokens(name):
     return [t for t in name.lower().split() if t not in STOP_WORDS]
 

@@ -3,7 +3,8 @@ from __future__ import annotations
 import gzip
 import json
 
-from confluo.streaming.ingest import ingest, read_ingested
+from confluo.sources.dumps import write_dump
+from confluo.streaming.ingest import compact_filters, ingest, key_filter, may_be_stored, read_ingested
 
 SCHEMA = "steam_appid long, name string"
 
@@ -45,3 +46,34 @@ def test_lost_checkpoint_neither_loses_nor_doubles_rows(spark, tmp_path):
     ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp2"), schema, "steam_appid", max_files=1).awaitTermination()
     rows = [(r.steam_appid, r.name) for r in read_ingested(spark, str(tmp_path / "out"), schema).collect()]
     assert sorted(rows) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_keys_are_asked_of_the_filter_first(spark, tmp_path, caplog):
+    """New keys look through hardly any stored row; stored ones are found."""
+    schema = spark.createDataFrame([], "id string, v int").schema
+    base = str(tmp_path)
+    rows = lambda low, high: spark.range(low, high).selectExpr("cast(id AS string) AS id", "cast(id % 7 AS int) AS v")
+    seen = []
+    for n, part in enumerate((rows(0, 3000), rows(3000, 6000), rows(2990, 3010).union(rows(6000, 6100)))):
+        write_dump(part.repartition(2), f"{base}/in", "append")
+        with caplog.at_level("INFO", logger="confluo.streaming.ingest"):
+            ingest(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", schema, "id", buckets=64, bits=1 << 20).awaitTermination()
+        seen.append([r.message for r in caplog.records if "may be stored" in r.message])
+        if n == 1:
+            compact_filters(spark, f"{base}/out")
+    assert read_ingested(spark, f"{base}/out", schema).groupBy("id").count().where("count > 1").count() == 0
+    assert read_ingested(spark, f"{base}/out", schema).count() == 6100
+    (second,), third = seen[1], seen[2][-1]
+    asked = lambda m: [int(w) for w in m.replace(",", "").split() if w.isdigit()]
+    assert asked(second)[0] <= 5 and asked(second)[1] <= 5
+    assert 20 <= asked(third)[0] <= 22 and asked(third)[1] <= 22
+
+
+def test_filters_have_every_key_and_few_others(spark):
+    stored = spark.range(5000).selectExpr("cast(id AS string) AS k")
+    others = spark.range(5000, 15000).selectExpr("cast(id AS string) AS k")
+    for bits in (1 << 17, 64):
+        filters = key_filter(stored, "k", bits)
+        assert may_be_stored(stored, "k", filters, bits).count() == 5000
+        found = may_be_stored(others, "k", filters, bits).count()
+        assert found <= 100 if bits > 64 else 100 < found < 2000
