@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from confluo.functions.scoring import idf, rounded, tf_part
 from confluo.functions.text import STOP_WORDS, keep_numbers
-from confluo.session import step_path, store_step
+from confluo.session import step_path, step_tables, store_step
 from confluo.sources.files import delete, exists
 
 log = logging.getLogger(__name__)
@@ -443,11 +443,12 @@ def resolve_sources(spark: SparkSession, catalogues: Sequence[tuple[str, DataFra
     base = step_path(spark, "resolve")
     done: list[str] = []
     for i, (name, catalogue) in enumerate(catalogues):
-        matches = None
-        if done:
-            earlier = spark.read.parquet(*[f"{base}/{j}" for j in range(i)])
-            matches = assign_one_to_one(candidate_edges(catalogue, earlier, done, k, for_matching=True))
-        with_entity_ids(catalogue, matches).write.parquet(f"{base}/{i}")
+        with step_tables(spark):
+            matches = None
+            if done:
+                earlier = spark.read.parquet(*[f"{base}/{j}" for j in range(i)])
+                matches = assign_one_to_one(candidate_edges(catalogue, earlier, done, k, for_matching=True))
+            with_entity_ids(catalogue, matches).write.parquet(f"{base}/{i}")
         done.append(name)
     return spark.read.parquet(*[f"{base}/{j}" for j in range(len(done))])
 

@@ -5,9 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from confluo.sources.files import delete
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Settings the jobs rely on. Token patterns and dates assume UTC and plain string literals.
@@ -64,9 +69,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def step_tables(spark: SparkSession) -> Iterator[None]:
+    """Owns the step tables written inside and deletes them at the end, so what is read after it must not depend on them."""
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for path in paths:
+            delete(spark, path)
+
+
 def step_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for a table written between two steps of a job."""
-    return f"{shared_dir(spark).rstrip('/')}/confluo-{name}-{uuid.uuid4().hex}"
+    """A fresh folder for a table written between two steps of a job; it belongs to the :func:`step_tables` around, if there is one."""
+    path = f"{shared_dir(spark).rstrip('/')}/confluo-{name}-{uuid.uuid4().hex}"
+    owner = _owned.get()
+    if owner is not None:
+        owner.append(path)
+    return path
 
 
 def store_step(df: DataFrame, name: str) -> DataFrame:

@@ -18,13 +18,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from confluo.operators.normalise import first_wins
-from confluo.session import store_step
+from confluo.session import step_tables, store_step
 from confluo.sources.files import child_names, delete, exists, make_dir
 
 log = logging.getLogger(__name__)
 
 _RUN = "confluo-run-"
-BUCKETS = 256
+BUCKETS = 64
 BITS = 1 << 30
 HASHES = 5
 # Bits of one bitmap of the bitmap functions.
@@ -117,6 +117,10 @@ def ingest(
     run = _run_token(spark, checkpoint)
 
     def append(batch: DataFrame, batch_id: int) -> None:
+        with step_tables(batch.sparkSession):
+            take_in(batch, batch_id)
+
+    def take_in(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         fresh = batch.where(F.col(key).isNotNull()).withColumn("_row", F.monotonically_increasing_id())
         bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")

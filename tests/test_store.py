@@ -61,3 +61,23 @@ def test_build_reads_raw_records_once_to_store_them(spark, tmp_path):
     registry = Registry([SourceSpec("s", read)])
     assert build(spark, registry, "", str(tmp_path / "root")) == {"s": {"reused": 0, "generated": 5}}
     assert reads.value == 5
+
+
+def test_step_tables_go_with_their_owner(spark, tmp_path):
+    from confluo.session import shared_dir, step_tables, store_step
+    from confluo.sources.files import child_names, exists
+
+    left = lambda: {n for n in child_names(spark, shared_dir(spark)) if n.startswith("confluo-")}
+    before = left()
+    registry = Registry([SourceSpec(s, lambda session, _, s=s: catalogue(session, [d for d in DOCS if d[0] == s])) for s in ("s", "t")])
+    build(spark, registry, "", str(tmp_path / "root"))
+    assert left() == before
+    with step_tables(spark):
+        outer = store_step(spark.range(3), "outer")
+        with pytest.raises(RuntimeError), step_tables(spark):
+            store_step(spark.range(3), "inner")
+            raise RuntimeError
+        assert outer.count() == 3 and len(left() - before) == 1
+    assert left() == before and exists(spark, str(tmp_path / "root"))
+    kept = store_step(spark.range(3), "kept")
+    assert kept.count() == 3 and len(left() - before) == 1
