@@ -171,9 +171,10 @@ def pattern_grams(pattern: str) -> Column:
     return F.array_distinct(F.flatten(F.transform(literal, lambda p: F.when(F.length(p) == 1, F.array(p)).otherwise(pairs(p)))))
 
 
-def gram_rows(stats: DataFrame) -> DataFrame:
-    """``field, gram, term`` of the dictionary, each term once."""
-    terms = term_stats(stats).select("field", "term").distinct()
+def gram_rows(stats: DataFrame, once: bool = False) -> DataFrame:
+    """``field, gram, term`` of the dictionary, each term once; ``once`` says that it is, as in the statistics of one source."""
+    terms = term_stats(stats).select("field", "term")
+    terms = terms if once else terms.distinct()
     return terms.select("field", F.explode(term_grams("term")).alias("gram"), "term")
 
 
