@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from confluo.operators.leaves import query_table, words
+from confluo.operators.retrieve import retrieve
 from confluo.plans.search import build
 from confluo.sources import store as S
 from confluo.sources.registry import Registry, SourceSpec
@@ -81,3 +83,67 @@ def test_step_tables_go_with_their_owner(spark, tmp_path):
     assert left() == before and exists(spark, str(tmp_path / "root"))
     kept = store_step(spark.range(3), "kept")
     assert kept.count() == 3 and len(left() - before) == 1
+
+
+def one_source(session, name):
+    return catalogue(session, [d for d in DOCS if d[0] == name])
+
+
+def test_readers_see_the_old_version_whole_while_a_new_one_is_made(spark, tmp_path, monkeypatch):
+    root, rows = str(tmp_path), catalogue(spark, DOCS)
+    materialise(rows, root, "s")
+    table = query_table(spark, {"q": [words("portal", "name")]})
+    hits = lambda tables: sorted((r.id, r.score) for r in retrieve(tables, table).collect())
+    early = StoredTables(spark, root, ["s"])
+    before = hits(early)
+    assert before and before[0]
+    seen, made = [], S.tb.date_rows
+
+    def look(own):
+        # The catalogue of the new version is written by now.
+        seen.append((is_stored(spark, root, "s"), hits(StoredTables(spark, root, ["s"]))))
+        return made(own)
+
+    monkeypatch.setattr(S.tb, "date_rows", look)
+    changed = rows.withColumn("name", F.lit("something else"))
+    assert materialise(changed, root, "s", force=True)
+    assert seen == [(False, before)]
+    assert hits(early) == before and hits(StoredTables(spark, root, ["s"])) == []
+    gone = S.remove_old_versions(spark, root)
+    assert gone[0].endswith("/manifest/0000000001") and len(gone) == 3 + len(S.SCHEMAS)
+    assert hits(StoredTables(spark, root, ["s"])) == [] and is_stored(spark, root, "s") and S.remove_old_versions(spark, root) == []
+
+
+def test_readers_keep_the_old_version_of_a_rebuild_that_failed(spark, tmp_path):
+    root, rows = str(tmp_path), catalogue(spark, DOCS)
+    materialise(rows, root, "s")
+    with pytest.raises(Exception, match="no such record"):
+        materialise(broken(rows), root, "s", force=True)
+    assert StoredTables(spark, root, ["s"]).catalogue.count() == 5 and S.remove_old_versions(spark, root) == []
+    assert materialise(rows.where("id <> '2'"), root, "s") and StoredTables(spark, root, ["s"]).catalogue.count() == 4
+    with pytest.raises(FileNotFoundError, match="other"):
+        StoredTables(spark, root, ["s", "other"])
+
+
+def test_sources_rebuilt_together_are_published_together(spark, tmp_path):
+    root, failing = str(tmp_path), []
+
+    def read(session, name):
+        rows = one_source(session, name)
+        if name == "t" and failing:
+            raise RuntimeError("source t is away")
+        return rows.where("id <> '1'") if failing else rows
+
+    registry = Registry([SourceSpec(s, lambda session, _, s=s: read(session, s)) for s in ("s", "t")])
+    build(spark, registry, "", root)
+    count = lambda: StoredTables(spark, root, ["s", "t"]).catalogue.groupBy("source").count().orderBy("source").collect()
+    first = count()
+    failing.append(True)
+    with pytest.raises(RuntimeError):
+        build(spark, registry, "", root, force=True)
+    # The first source is complete and waits for the second.
+    assert count() == first and is_stored(spark, root, "s") and not is_stored(spark, root, "t")
+    failing.clear()
+    report = build(spark, registry, "", root)
+    assert report["s"] is None and report["t"] is not None
+    assert [r["count"] for r in count()] == [first[0]["count"] - 1, first[1]["count"]]
