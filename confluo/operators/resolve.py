@@ -16,6 +16,10 @@ bonuses are looked up in four lists, each as fine as the bonus needs:
 Entities that agree in all a list distinguishes have the same score in it, so five of them (smallest ids first) are all that
 can ever be among the best five. An entity's score in a list is never above its true score and equals it in the list of the
 bonuses it earns. The best five over the union of the lists are therefore exactly the best five.
+
+Names of several terms are few names' company, so which name signatures they meet is stored. A name of one term can be in any number of
+names; its score follows from the signature and the term alone, so such terms are read off the lists themselves: five entities each for the name alone,
+and for the bonuses only entities found under the term and developer, the term and time slot, or all three. What they meet is never listed.
 """
 
 from __future__ import annotations
@@ -91,13 +95,13 @@ def _name_statistics(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFr
     return names, frequency, totals
 
 
-def name_candidates(left: DataFrame, documents: DataFrame) -> DataFrame:
+def name_candidates(left: DataFrame, documents: DataFrame, statistics: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """Pairs of distinct names ``(lkey, source, rkey, score)`` where the right one contains every left term.
 
     Each left name is looked up under its rarest term only and the rest is verified, per source. The score is BM25 over the
     name terms with the statistics of that source.
     """
-    names, frequency, totals = _name_statistics(documents)
+    names, frequency, totals = statistics or _name_statistics(documents)
     wanted = left.select("lkey", "terms").distinct()
     # One row per source: the registry bounds it.
     per_source = F.broadcast(totals)
@@ -120,12 +124,50 @@ def name_candidates(left: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
     def add(total: Column, w: Column) -> Column:
-        tf = F.size(F.filter("bag", lambda t: t == w["term"]))
-        return total + w["idf"] * tf_part(tf, F.size("bag"), F.col("avg_len"))
+        return total + w["idf"] * _tf_part(F.col("bag"), w["term"], F.col("avg_len"))
 
     return pairs.select("lkey", "source", "rkey", F.aggregate("weights", F.lit(0.0), add).alias("score"))
 
 
+def _tf_part(bag: Column, term: Column, avg_len: Column) -> Column:
+    return tf_part(F.size(F.filter(bag, lambda t: t == term)), F.size(bag), avg_len)
+
+
+def _bag(rkey: Column) -> Column:
+    """The terms of a name; they hold no blanks."""
+    return F.split(rkey, " ")
+
+
+def one_term_weights(left: DataFrame, statistics: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
+    """``(lkey, weights)``: for every left name of one term what the term weighs in each source, one entry per source at most."""
+    _, frequency, totals = statistics
+    wanted = left.where(F.size("terms") == 1).select("lkey").distinct()
+    return (
+        wanted.join(frequency.withColumnRenamed("term", "lkey"), "lkey")
+        .join(F.broadcast(totals), "source")
+        .groupBy("lkey")
+        .agg(F.collect_list(F.struct("source", idf(F.col("n_docs"), F.col("df")).alias("idf"), "avg_len")).alias("weights"))
+    )
+
+
+def _met_by_one_term(listed: DataFrame, weights: DataFrame) -> DataFrame:
+    """Entities of a list under each left name of one term: ``(lkey, entity_id, n_sources, base, matched, docs)``, with the documents whose name has it.
+
+    A row of the list meets as many names as it has terms. A term's weights are one row, so adaptive execution can split what a frequent term meets.
+    """
+    bags = F.transform("docs", lambda d: _bag(d["rkey"]))
+    rows = listed.select("entity_id", "docs", F.explode(F.array_distinct(F.flatten(bags))).alias("lkey")).join(weights, "lkey")
+    met = rows.select("lkey", "entity_id", F.size("docs").alias("n_sources"), F.filter("docs", lambda d: F.array_contains(_bag(d["rkey"]), F.col("lkey"))).alias("docs"), "weights")
+
+    def add(total: Column, d: Column) -> Column:
+        w = F.get(F.filter("weights", lambda x: x["source"] == d["source"]), F.lit(0))
+        return total + w["idf"] * _tf_part(_bag(d["rkey"]), F.col("lkey"), w["avg_len"])
+
+    return met.select(
+        "lkey", "entity_id", "n_sources", F.aggregate("docs", F.lit(0.0), add).alias("base"), F.transform("docs", lambda d: d["source"]).alias("matched"), "docs"
+    )
+
+
 def entity_profiles(documents: DataFrame, sources: Sequence[str]) -> DataFrame:
     """Per entity its documents in registry order, its name signature and its developer and date signatures."""
     shape = F.struct("id", "rkey", "devs", "date")
@@ -205,40 +247,52 @@ def profile_edges(left: DataFrame, documents: DataFrame, sources: Sequence[str],
     by_date = _smallest(both, ["sig", "sig_dates"], k)
     by_name = _smallest(by_devs, ["sig"], k)
 
-    # Which name signatures a left name meets, in which sources, and the summed name score.
+    # Which name signatures a left name of several terms meets, in which sources, and the summed name score.
+    statistics = _name_statistics(documents)
     members = by_name.select("sig", F.size("docs").alias("n_sources"), F.explode("docs").alias("d")).select(
         "sig", "n_sources", "d.source", "d.rkey"
     ).distinct()
     met = (
-        name_candidates(left, documents)
+        name_candidates(left.where(F.size("terms") > 1), documents, statistics)
         .join(members, ["source", "rkey"])
         .groupBy("lkey", "sig", "n_sources")
         .agg(F.sum("score").alias("base"), F.array_sort(F.collect_list("source")).alias("matched"))
     )
     met = store_step(met, "names")
+    weights = store_step(one_term_weights(left, statistics), "weights")
     profiles = record_profiles(left)
     with_devs = profiles.where(F.size("devs") > 0).withColumn("dev", F.element_at("devs", 1)).withColumnRenamed("devs", "l_devs")
     with_date = profiles.where(F.col("date").isNotNull()).withColumnRenamed("date", "l_date")
     score = lambda bonus: (F.col("base") + bonus) / F.col("n_sources")
+    dev_keys = F.explode(F.array_distinct(F.flatten(F.transform("docs", lambda d: d["devs"])))).alias("dev")
+    slots = F.filter(F.array_distinct(F.transform("docs", lambda d: _date_slot(d["date"]))), lambda s: s.isNotNull())
 
-    plain = met.join(by_name.select("sig", "entity_id"), "sig").select("lkey", "entity_id", score(F.lit(0.0)).alias("score"))
-    plain = _best(plain, ["lkey"], k)
+    def candidates(wanted: DataFrame, entities: DataFrame, keys: Sequence[str], by_key) -> DataFrame:
+        """Records and the entities of a list that they meet under ``keys``; ``by_key`` gives every row of the list its keys.
+
+        The record's side of a bonus is attached first, so that lists are met by signature (or term) and developer or time slot at once.
+        """
+        own = [c for c in wanted.columns if c not in keys and c != "lkey"]
+        columns = ["lkey", *own, "base", "n_sources", "matched", "entity_id", "docs"]
+        several = met.join(wanted, "lkey").join(by_key(entities.select("sig", "entity_id", "docs")), ["sig", *keys])
+        one = by_key(_met_by_one_term(entities, weights)).join(wanted, ["lkey", *keys])
+        return several.select(*columns).unionByName(one.select(*columns))
+
+    names_only = met.join(by_name.select("sig", "entity_id"), "sig").select("lkey", "entity_id", "base", "n_sources")
+    names_only = names_only.unionByName(_met_by_one_term(by_name, weights).select("lkey", "entity_id", "base", "n_sources"))
+    plain = _best(names_only.select("lkey", "entity_id", score(F.lit(0.0)).alias("score")), ["lkey"], k)
 
-    dev_keys = F.explode(F.array_distinct(F.flatten(F.transform("docs", lambda d: d["devs"])))).alias("dev")
-    # The record's side of a bonus is attached first, so that entity lists are met by signature and developer (or time slot) at once.
     devs_only = (
-        met.join(with_devs.select("lkey", "dkey", "dev", "l_devs").distinct(), "lkey")
-        .join(by_devs.select("sig", "entity_id", "docs", dev_keys), ["sig", "dev"])
+        candidates(with_devs.select("lkey", "dkey", "dev", "l_devs").distinct(), by_devs, ["dev"], lambda df: df.select("*", dev_keys))
         .withColumn("n_devs", _count(_devs_met))
         .where(F.col("n_devs") > 0)
         .select("lkey", "dkey", "entity_id", score(F.col("n_devs") * DEV_BONUS).alias("score"))
     )
     devs_only = _best(devs_only, ["lkey", "dkey"], k)
 
-    slots = F.filter(F.array_distinct(F.transform("docs", lambda d: _date_slot(d["date"]))), lambda s: s.isNotNull())
+    dated = with_date.select("lkey", "l_date").distinct().withColumn("slot", _near_slots(F.col("l_date")))
     date_only = (
-        met.join(with_date.select("lkey", "l_date").distinct().withColumn("slot", _near_slots(F.col("l_date"))), "lkey")
-        .join(by_date.select("sig", "entity_id", "docs", F.explode(slots).alias("slot")), ["sig", "slot"])
+        candidates(dated, by_date, ["slot"], lambda df: df.select("*", F.explode(slots).alias("slot")))
         .withColumn("n_dates", _count(_date_met))
         .where(F.col("n_dates") > 0)
         .select("lkey", F.col("l_date").alias("date"), "entity_id", score(F.col("n_dates") * DATE_BONUS).alias("score"))
@@ -252,8 +306,7 @@ def profile_edges(left: DataFrame, documents: DataFrame, sources: Sequence[str],
         .withColumn("slot", _near_slots(F.col("l_date")))
     )
     dev_and_date = (
-        met.join(full, "lkey")
-        .join(both.select("sig", "entity_id", "docs", dev_keys).withColumn("slot", F.explode(slots)), ["sig", "dev", "slot"])
+        candidates(full, both, ["dev", "slot"], lambda df: df.select("*", dev_keys).withColumn("slot", F.explode(slots)))
         .withColumn("n_devs", _count(_devs_met))
         .withColumn("n_dates", _count(_date_met))
         .where((F.col("n_devs") > 0) & (F.col("n_dates") > 0))

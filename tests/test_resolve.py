@@ -165,6 +165,26 @@ def test_copies_do_not_multiply(spark):
     assert pruned.count() == 25 and R.assign_one_to_one(pruned).count() == 5
 
 
+def test_a_short_name_in_very_many_names_stays_five_candidates(spark, monkeypatch):
+    """One word that 10,000 different names hold: what the record meets is never listed, and the best five are those of the definition."""
+    rng = random.Random(4)
+    earlier = [
+        doc("o", i, f"star {i:05d}" + " far" * (i % 3), entity=f"e{i:05d}", devs=rng.sample("ABCD", i % 3), date=datetime(2020, 1, 1) + timedelta(days=i % 400) if i % 5 else None)
+        for i in range(10_000)
+    ]
+    records = [doc("n", i, "star", devs=d, date=t) for i, (d, t) in enumerate([(["A"], "2020-03-01"), (["B", "C"], None), ([], "2020-07-09"), ([], None), (["Z"], "1990-01-01")])]
+    records.append(doc("n", 9, "star far far", devs=["D"], date="2020-05-05"))
+    stored, store = {}, R.store_step
+    monkeypatch.setattr(R, "store_step", lambda df, name: stored.setdefault(name, store(df, name)))
+    frames = catalogue(spark, records), catalogue(spark, earlier)
+    got = {(r.left_id, r.entity_id): r.score for r in R.candidate_edges(*frames, ["o"]).collect()}
+    expected = {(left, e): s for left, e, s in brute_edges(records, earlier)}
+    assert got.keys() == expected.keys() and len(got) == 30
+    assert all(got[key] == pytest.approx(expected[key]) for key in expected)
+    assert stored["weights"].count() == 1
+    assert {r.lkey for r in stored["names"].select("lkey").distinct().collect()} == {"far star"}
+
+
 def test_names_without_terms_get_new_entities(spark):
     first = [doc("a", 1, "The Of"), doc("a", 2, "Portal")]
     second = [doc("b", 1, "the of"), doc("b", 2, None), doc("b", 3, "portal"), doc("b", 4, "portal quest")]
