@@ -8,11 +8,14 @@ are not compared.
 Before that, documents and passages without any signal word are passed over. A match shares at least ``s`` of a template's ``b`` bigrams, so it
 contains one of any ``b - s + 1`` of them (prefix filtering); the signal words are the longer words of such bigrams, chosen for length.
 
-Notices that are hard-wrapped inside a longer paragraph or a comment header are no passage of their own. For a licence that no passage
-shows, the words of the whole text are taken as one sequence, line ends and comment marks being no words. At every bigram of a
-template a window of the template's length in words begins (shorter at the end of the text); windows over two or more lines are compared like
-passages. Windows inside one line are not: there lines and sentences are what counts. Templates of which the text holds too few
-words or bigrams for a match have no windows.
+Notices that are hard-wrapped inside a longer paragraph or a comment header, or stand in the middle of a sentence, are no passage of their own. For
+a licence that no passage shows, the words of the whole text are taken as one sequence, line ends and comment marks being no words. At every bigram
+of a template a window of the template's length in words begins (shorter at the end of the text). Windows over two or more lines are compared like
+passages; a window inside one line is a piece of a longer sentence, which a short notice may resemble by chance ("released under the MIT Foundation"), and
+must reach ``INLINE``. Templates of which the text holds too few words or bigrams for a match have no windows.
+
+Licences word their notices alike. A passage or window therefore speaks for the licence nearest to it only (for all that are equally near): the notice of
+the LGPL is none of the GPL. What two-clause and three-clause BSD texts share word for word counts as BSD-3-Clause.
 
 Everything is one expression per row, built from SQL functions: no shuffle, no join, no Python. Templates are literals in the plan.
 
@@ -33,6 +36,8 @@ from pyspark.sql import functions as F
 from confluo.llm.common import pick
 
 THRESHOLD = 0.7
+# What a window inside one line must reach: with a notice of five words, no other word.
+INLINE = 0.8
 
 # Notices as licences word them.
 TEMPLATES = {
@@ -44,10 +49,22 @@ TEMPLATES = {
         '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific '
         "language governing permissions and limitations under the License.",
     ],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License."],
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
         "conditions are met:",
         "Released under the BSD 3-Clause License.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT '
+        "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
     ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
@@ -61,6 +78,10 @@ TEMPLATES = {
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/",
+    ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
@@ -71,6 +92,19 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
+    "ISC": [
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+        "the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
     "MIT": [
         "Released under the MIT License.",
         "Licensed under the MIT License.",
@@ -78,14 +112,35 @@ TEMPLATES = {
         'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
         "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
         "Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE "
+        "FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+        "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
         "with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages "
+        "arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+        "redistribute it freely, subject to the following restrictions:",
+    ],
     "reserved": ["All rights reserved.", "Copyright. All rights reserved."],
 }
 
+# Tags name a licence by its identifier; those of the GNU licences say besides whether later versions count.
+TAGS = {name: [name + end for end in (("", "-only", "-or-later") if "GPL" in name else ("",))] for name in TEMPLATES if name != "reserved"}
+for _name, _tags in TAGS.items():
+    TEMPLATES[_name] += [f"SPDX-License-Identifier: {tag}" for tag in _tags]
+
 
 def template_bigrams(text: str) -> list[str]:
     words = re.findall("[a-z0-9]+", text.lower())
@@ -142,20 +197,23 @@ def _dice(own: list[str], low: int, high: int) -> Callable[[Column], Column]:
     return lambda g: F.when(F.size(g).between(low, high), 2 * F.size(F.array_intersect(g, literal)) / (F.size(g) + len(own)))
 
 
-def _window_dice(template: str, threshold: float) -> Column | None:
-    """Best Dice of the windows of a template across line ends; ``all`` has the text's distinct bigrams, ``pairs`` all in order, ``line`` and
-    ``words`` a line number and a word for every word."""
+def _window_grams(template: str, threshold: float) -> Column | None:
+    """Windows of a template that reach the threshold, with their distinct bigrams ``g``; NULL where the text cannot match.
+
+    ``all`` has the text's distinct bigrams, ``pairs`` all in order, ``line`` a line number for every word.
+    """
     own = template_bigrams(template)
     if not own:
         return None
     length = len(re.findall("[a-z0-9]+", template.lower()))
-    low, high = bounds(len(own), threshold)
     literal = F.array(*[F.lit(g) for g in own])
     begins = F.filter(F.transform("pairs", lambda g, i: F.when(F.array_contains(literal, g), i + 1)), lambda i: i.isNotNull())
-    across = F.filter(begins, lambda i: F.element_at("line", i) < F.element_at("line", F.least(i + length - 1, F.size("line"))))
-    windows = F.transform(across, lambda i: F.array_distinct(F.slice("pairs", i, length - 1)))
+    across = lambda i: F.element_at("line", i) < F.element_at("line", F.least(i + length - 1, F.size("line")))
+    windows = F.transform(begins, lambda i: F.struct(F.array_distinct(F.slice("pairs", i, length - 1)).alias("g"), across(i).alias("across")))
+    dice = _dice(own, *bounds(len(own), threshold))
+    near = F.filter(windows, lambda w: dice(w["g"]) >= F.when(w["across"], threshold).otherwise(max(threshold, INLINE)))
     possible = F.size(F.array_intersect("all", literal)) >= least_shared(len(own), threshold)
-    return F.when(possible, F.array_max(F.transform(windows, _dice(own, low, high))))
+    return F.when(possible, near)
 
 
 def _has_words(texts: list[str], threshold: float) -> Column:
@@ -180,50 +238,59 @@ def scan_licenses(
     with_signal = F.filter(passages(F.col("text")), lambda p: F.lower(p).rlike(signal))
     grams = F.when(F.lower("text").rlike(signal), F.transform(with_signal, lambda p: bigrams(normal_words(p))))
 
-    def dice(texts: list[str]) -> Column:
-        best = []
-        for t in texts:
-            own = template_bigrams(t)
-            low, high = bounds(len(own), threshold)
-            if own:
-                best.append(F.array_max(F.transform("grams", _dice(own, low, high))))
-        return F.greatest(*best) if len(best) > 1 else best[0] if best else F.lit(None).cast("double")
+    none = F.array().cast("array<struct<d:double,licence:string>>")
 
-    def windows(texts: list[str]) -> Column:
-        best = [x for x in (_window_dice(t, threshold) for t in texts) if x is not None]
+    def dice(texts: list[str], g: Column) -> Column:
+        best = [_dice(own, *bounds(len(own), threshold))(g) for own in filter(None, map(template_bigrams, texts))]
         return F.greatest(*best) if len(best) > 1 else best[0] if best else F.lit(None).cast("double")
 
-    def matches(score: Callable[[list[str]], Column], only: Column | None = None) -> Column:
-        scores = [
-            F.struct((-(score(texts) if only is None else F.when(F.array_contains(only, name), score(texts)))).alias("d"), F.lit(name).alias("licence"))
-            for name, texts in sorted(templates.items())
-        ]
-        return F.filter(F.array(*scores), lambda x: -x["d"] >= threshold)
+    def scores(g: Column) -> Column:
+        """The licences that a passage or window reaches the threshold with."""
+        each = [F.struct((-dice(texts, g)).alias("d"), F.lit(name).alias("licence")) for name, texts in sorted(templates.items())]
+        return F.filter(F.array(*each), lambda x: -x["d"] >= threshold) if each else none
 
-    scanned = rows.select("doc_id", "text", grams.alias("grams")).select(
-        "doc_id", F.when(F.size("grams") > 0, matches(dice)).alias("found"), F.when(F.col("grams").isNotNull() & F.col("text").contains("\n"), F.col("text")).alias("text")
+    def nearest(found: Column) -> Column:
+        return F.filter(found, lambda x: x["d"] == F.array_min(found)["d"])
+
+    def best_of_each(found: Column) -> Column:
+        """One entry per licence, the best, in the order of names."""
+        names = F.array_sort(F.array_distinct(F.transform(found, lambda x: x["licence"])))
+        return F.transform(names, lambda name: F.array_min(F.filter(found, lambda x: x["licence"] == name)))
+
+    def windows(name: str, text: str) -> Column | None:
+        """The windows near one template of a licence that is open, with its name."""
+        near = _window_grams(text, threshold)
+        return None if near is None else F.transform(F.when(F.array_contains("open", name), near), lambda w: F.struct(F.lit(name).alias("licence"), w["g"].alias("g")))
+
+    # Every step is a column of its own, so that none is computed twice.
+    scored = rows.select("doc_id", "text", grams.alias("grams")).select(
+        "doc_id", F.when(F.size("grams") > 0, F.transform("grams", scores)).alias("scores"), F.when(F.col("grams").isNotNull(), F.col("text")).alias("text")
     )
+    reached = scored.select("doc_id", F.flatten(F.transform("scores", nearest)).alias("near"), "text")
+    scanned = reached.select("doc_id", best_of_each(F.col("near")).alias("found"), "text")
     known = sorted({w for texts in templates.values() for t in texts for g in template_bigrams(t) for w in g.split()})
-    held = F.array_intersect(normal_words(F.col("text")), F.array(*map(F.lit, known)).cast("array<string>"))
+    scanned = scanned.select("doc_id", "found", "text", normal_words(F.col("text")).alias("words"))
+    held = F.array_intersect("words", F.array(*map(F.lit, known)).cast("array<string>"))
     seen = F.coalesce(F.transform("found", lambda x: x["licence"]), F.array().cast("array<string>"))
     scanned = scanned.select("*", held.alias("held"), seen.alias("seen"))
     may = [F.when(~F.array_contains("seen", name) & _has_words(texts, threshold), F.lit(name)) for name, texts in sorted(templates.items())]
-    scanned = scanned.select("doc_id", "found", "text", F.when(F.size("held") > 0, F.array_compact(F.array(*may))).alias("open"))
-    lines = F.when(F.size("open") > 0, F.split("text", "\n"))
-    worded = scanned.select("doc_id", "found", "open", F.transform(lines, normal_words).alias("by_line"))
-    flat = worded.select(
-        "doc_id", "found", "open", F.flatten("by_line").alias("words"), F.flatten(F.transform("by_line", lambda w, i: F.array_repeat(i, F.size(w)))).alias("line")
+    scanned = scanned.select("doc_id", "found", "text", "words", F.when(F.size("held") > 0, F.array_compact(F.array(*may))).alias("open"))
+    paired = scanned.select(
+        "doc_id", "found", "open", F.when(F.size("open") > 0, word_pairs(F.col("words"))).alias("pairs"), F.when(F.size("open") > 0, F.split("text", "\n")).alias("lines")
     )
-    paired = flat.select("doc_id", "found", "open", "line", word_pairs(F.col("words")).alias("pairs"))
+    # As many numbers for a line as it has words.
+    numbers = F.flatten(F.transform("lines", lambda x, i: F.array_repeat(i, F.size(normal_words(x)))))
+    paired = paired.select("doc_id", "found", "open", "pairs", numbers.alias("line"))
     distinct = paired.select("*", F.array_distinct("pairs").alias("all"))
-    wrapped = F.when(F.size("all") > 0, matches(windows, F.col("open")))
-    none = F.array().cast("array<struct<d:double,licence:string>>")
-    # Licences in the order of their names, as the list of passages is.
-    both = F.array_sort(
-        F.concat(F.coalesce("found", none), F.coalesce("wrapped", none)),
-        lambda a, b: F.when(a["licence"] < b["licence"], -1).when(a["licence"] > b["licence"], 1).otherwise(0),
-    )
-    scanned = distinct.select("doc_id", "found", wrapped.alias("wrapped")).select("doc_id", both.alias("found"))
+    shape = "array<struct<licence:string,g:array<string>>>"
+    near = [w for name, texts in sorted(templates.items()) for w in (windows(name, t) for t in texts) if w is not None]
+    every = F.concat(F.array().cast(shape), *[F.coalesce(w, F.array().cast(shape)) for w in near])
+    wrapped = distinct.select("doc_id", "found", F.when(F.size("all") > 0, every).alias("windows"))
+    wrapped = wrapped.select("doc_id", "found", F.transform("windows", lambda w: F.struct(w["licence"].alias("licence"), scores(w["g"]).alias("scores"))).alias("windows"))
+    own = F.transform("windows", lambda w: F.filter(nearest(w["scores"]), lambda x: x["licence"] == w["licence"]))
+    wrapped = wrapped.select("doc_id", "found", F.flatten(own).alias("shown"))
+    both = F.when(F.size("shown") > 0, best_of_each(F.concat(F.coalesce("found", none), "shown"))).otherwise(F.col("found"))
+    scanned = wrapped.select("doc_id", both.alias("found"))
     best = F.array_min("found")
     return scanned.select(
         "doc_id",
@@ -235,20 +302,34 @@ def scan_licenses(
 
 
 def sql_licenses(threshold: float = THRESHOLD) -> str:
-    """The same in DuckDB SQL, every passage against every template."""
+    """The same in DuckDB SQL, every passage and window against every template."""
     quote = "'"
     rows = ", ".join(
-        f"('{name}', [{', '.join(quote + g + quote for g in template_bigrams(t))}])" for name, texts in sorted(TEMPLATES.items()) for t in texts
+        f"('{name}', [{', '.join(quote + g + quote for g in template_bigrams(t))}], {len(re.findall('[a-z0-9]+', t.lower()))})"
+        for name, texts in sorted(TEMPLATES.items())
+        for t in texts
     )
-    return f"""WITH tpl(licence, grams) AS (VALUES {rows}),
-d AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+    return f"""WITH tpl(licence, grams, words) AS (VALUES {rows}),
+d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
 p AS (SELECT row, unnest(list_distinct(list_concat(list_concat(string_split(text, chr(10)),
     string_split(regexp_replace(text, '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10))),
     string_split(regexp_replace(text, '\n[ \t\r]*\n', chr(12), 'g'), chr(12))))) AS p FROM d),
 w AS (SELECT row, regexp_extract_all(lower(p), '[a-z0-9]+') AS w FROM p),
-g AS (SELECT row, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) BETWEEN 2 AND 2000),
-s AS (SELECT row, licence, 2 * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice FROM g, tpl),
-m AS (SELECT row, licence, max(dice) AS dice FROM s WHERE dice >= {threshold} GROUP BY ALL),
+g AS (SELECT DISTINCT row, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) >= 2),
+n AS (SELECT row, g, licence, max(2 * len(list_intersect(g, grams)) / (len(g) + len(grams))) AS dice FROM g, tpl GROUP BY ALL),
+s AS (SELECT row, licence, max(dice) AS dice FROM (SELECT * FROM n WHERE dice >= {threshold} QUALIFY dice = max(dice) OVER (PARTITION BY row, g)) GROUP BY ALL),
+tw AS (SELECT row, regexp_extract_all(lower(text), '[a-z0-9]+') AS w, flatten(list_transform(string_split(lower(text), chr(10)),
+    lambda x, i: list_transform(regexp_extract_all(x, '[a-z0-9]+'), lambda y: i))) AS line FROM d WHERE text IS NOT NULL),
+tp AS (SELECT row, line, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS pairs FROM tw WHERE len(w) >= 2),
+td AS (SELECT row, line, pairs, list_distinct(pairs) AS own FROM tp),
+o AS (SELECT row, line, pairs, licence, grams, words FROM td, tpl
+  WHERE len(list_intersect(own, grams)) >= {threshold} * len(grams) / (2 - {threshold}) - 1e-9 AND NOT EXISTS (SELECT 1 FROM s WHERE s.row = td.row AND s.licence = tpl.licence)),
+b AS (SELECT row, licence, grams, list_distinct(list_slice(pairs, i, i + words - 2)) AS g, line[i] < line[least(i + words - 1, len(line))] AS across
+  FROM (SELECT *, unnest(list_filter(range(1, len(pairs) + 1), lambda i: list_contains(grams, pairs[i]))) AS i FROM o)),
+c AS (SELECT DISTINCT row, licence, g FROM b WHERE 2 * len(list_intersect(g, grams)) / (len(g) + len(grams)) >= CASE WHEN across THEN {threshold} ELSE {max(threshold, INLINE)} END),
+f AS (SELECT c.row, c.licence, c.g, tpl.licence AS other, max(2 * len(list_intersect(c.g, tpl.grams)) / (len(c.g) + len(tpl.grams))) AS dice FROM c, tpl GROUP BY ALL),
+x AS (SELECT * FROM f QUALIFY dice = max(dice) OVER (PARTITION BY row, licence, g)),
+m AS (SELECT row, licence, max(dice) AS dice FROM (SELECT * FROM s UNION ALL SELECT row, licence, dice FROM x WHERE licence = other) GROUP BY ALL),
 r AS (SELECT row, count(*) AS n, string_agg(licence, ',' ORDER BY licence) AS licenses, arg_min(licence, ROW(-dice, licence)) AS best_license,
   max(dice) AS best_dice FROM m GROUP BY row)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_matches, coalesce(licenses, '') AS licenses, best_license, best_dice FROM d LEFT JOIN r USING (row)"""

@@ -1,28 +1,51 @@
 from __future__ import annotations
 
+import functools
 import re
 
+import duckdb
+import pandas as pd
+
 from confluo.llm import licenses as L
 from tests.llm.cases import crowded, empty_docs, odd_docs, odd_rows, prose, rows_of
 
 
+@functools.cache
 def grams(text):
     w = re.findall("[a-z0-9]+", text.lower())
     return set(zip(w, w[1:], strict=False))
 
 
-def brute(text, threshold=L.THRESHOLD):
-    if not text:
-        return (0, "", None, None)
+def nearest(a, threshold):
+    """The licences nearest to a set of bigrams."""
+    scores = {name: max((2 * len(a & b) / (len(a) + len(b)) for b in map(grams, texts) if a and b), default=0) for name, texts in L.TEMPLATES.items()}
+    return {n: d for n, d in scores.items() if d >= threshold and d == max(scores.values())}
+
+
+def passage_matches(text, threshold=L.THRESHOLD):
     pieces = set(text.split("\n")) | set(re.sub(r"([.!?])[ \t]+", r"\1\n", text).split("\n")) | set(re.sub(r"\n[ \t\r]*\n", "\f", text).split("\f"))
     best = {}
     for p in pieces:
-        a = grams(p)
-        for name, texts in L.TEMPLATES.items():
-            for t in texts:
-                b = grams(t)
-                if a and 2 * len(a & b) / (len(a) + len(b)) >= threshold:
-                    best[name] = max(best.get(name, 0), 2 * len(a & b) / (len(a) + len(b)))
+        for name, d in nearest(grams(p), threshold).items():
+            best[name] = max(best.get(name, 0), d)
+    return best
+
+
+def brute(text, threshold=L.THRESHOLD):
+    """Passages, then for the licences these do not show windows of template length that begin with a bigram of the template."""
+    if not text:
+        return (0, "", None, None)
+    shown = passage_matches(text, threshold)
+    best, placed = dict(shown), [(w, n) for n, line in enumerate(text.split("\n")) for w in re.findall("[a-z0-9]+", line.lower())]
+    words = [w for w, _ in placed]
+    for name in set(L.TEMPLATES) - set(shown):
+        for t in L.TEMPLATES[name]:
+            own, length = grams(t), len(re.findall("[a-z0-9]+", t.lower()))
+            for i in range(len(words) - 1):
+                window = grams(" ".join(words[i : i + length])) if (words[i], words[i + 1]) in own else set()
+                least = threshold if placed[i][1] < placed[min(i + length, len(words)) - 1][1] else max(threshold, L.INLINE)
+                if window and 2 * len(window & own) / (len(window) + len(own)) >= least and name in (near := nearest(window, threshold)):
+                    best[name] = max(best.get(name, 0), near[name])
     if not best:
         return (0, "", None, None)
     d, name = min((-d, n) for n, d in best.items())
@@ -86,10 +109,40 @@ def test_wrapped_notices(spark):
     rows.append(("MIT", f"{prose(1, 9)}. This is released under the MIT\nLicense. {prose(2, 12)}. {prose(3, 9)}."))
     rows.append(("MIT", f"{prose(1, 40)}\nmore is released under the\r\n MIT\n\nLicense"))
     rows += [("", f"{prose(1, 9)} under the\nlicense of {prose(2, 12)}"), ("", "released under the MIT Foundation and much else besides that\nreleased later on under other terms")]
-    assert not any(brute(t)[0] for _, t in rows)
+    assert not any(passage_matches(t) for _, t in rows)
     docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
     got = {r.doc_id: r for r in L.scan_licenses(docs).collect()}
     for i, (licence, text) in enumerate(rows):
-        # The two GPL notices are alike, wrapped or not.
-        alike = "GPL-2.0,GPL-3.0" if licence == "GPL-3.0" else licence
-        assert (got[i].licenses, got[i].best_license, got[i].best_dice) == (alike, licence or None, 1.0 if licence else None), text
+        assert (got[i].licenses, got[i].best_license, got[i].best_dice) == (licence, licence or None, 1.0 if licence else None), text
+
+
+def window_cases():
+    """Notices that are no passage: (licences expected, text)."""
+    lesser, affero = L.TEMPLATES["LGPL-2.1"][0], L.TEMPLATES["AGPL-3.0"][0]
+    return [
+        ("MIT", "In 2019 the tool was released under the MIT License and everyone went on using it as before for years and years to come"),
+        ("LGPL-2.1", lesser), ("LGPL-2.1", wrapped(f"{prose(3, 30)} {lesser} {prose(4, 30)}", 9, "# ")), ("LGPL-2.1", f"{prose(5, 40)} {lesser} {prose(6, 40)}"),
+        ("AGPL-3.0", affero), ("AGPL-3.0,GPL-3.0", wrapped(f"{affero} {prose(7, 60)} {L.TEMPLATES['GPL-3.0'][1]}", 9, " * ")),
+        ("ISC", f"{prose(8, 9)}\n\n{L.TEMPLATES['ISC'][1]}\n"), ("MIT", f"x\n{L.TEMPLATES['MIT'][4]}"), ("Unlicense", f"{prose(9, 30)} {L.TEMPLATES['Unlicense'][0]}"),
+        ("Zlib", wrapped(f"{L.TEMPLATES['Zlib'][0]} {L.TEMPLATES['Zlib'][1]}", 7, "// ")), ("EPL-2.0", f"{prose(2, 50)} {L.TEMPLATES['EPL-2.0'][0]} {prose(1, 9)}"),
+        ("BSD-2-Clause", "// SPDX-License-Identifier: BSD-2-Clause\nint main() { return 0; }"), ("GPL-3.0", f"# SPDX-License-Identifier: GPL-3.0-or-later {prose(1, 5)}"),
+        ("", "it was released under the MIT Foundation and much else"), ("", f"{prose(1, 50)} the license of {prose(2, 50)} software"), ("", "word " * 3000), ("MIT", "spam " * 3000 + "released under the MIT License " + "spam " * 3000),
+    ]
+
+
+def test_windows_and_near_twins(spark):
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(window_cases())], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.scan_licenses(docs).collect()}
+    for i, (licences, text) in enumerate(window_cases()):
+        assert tuple(got[i])[1:] == brute(text), text
+        assert got[i].licenses == licences, text
+
+
+def test_sql_twin_has_windows():
+    """The twin on texts that make windows fire, against brute force."""
+    texts = [None, "", *cases(), *(t for _, t in window_cases())]
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    base = duckdb.connect()
+    base.register("documents", documents)
+    for i, *row in base.execute(L.sql_licenses()).fetchall():
+        assert tuple(row) == brute(texts[i]), texts[i]
