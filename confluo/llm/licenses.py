@@ -5,8 +5,8 @@ compared by lines, by sentences within lines, by paragraphs of several lines, an
 bigrams, so a passage can reach the threshold ``t`` only where ``t / (2 - t) <= |A| / |B| <= (2 - t) / t``: templates outside these bounds
 are not compared.
 
-Before that, documents and passages without any signal word are passed over. A match shares at least ``s`` of a template's ``b`` bigrams, so it
-contains one of any ``b - s + 1`` of them (prefix filtering); the signal words are the longer words of such bigrams, chosen for length.
+Before that, documents and passages without any signal bigram are passed over. A match shares at least ``s`` of a template's ``b`` bigrams, so it
+contains one of any ``b - s + 1`` of them (prefix filtering); those with the longest words are chosen.
 
 Notices that are hard-wrapped inside a longer paragraph or a comment header, or stand in the middle of a sentence, are no passage of their own. For
 a licence that no passage shows, the words of the whole text are taken as one sequence, line ends and comment marks being no words. At every bigram
@@ -157,18 +157,30 @@ def least_shared(size: int, threshold: float) -> int:
     return math.ceil(threshold * (size + bounds(size, threshold)[0]) / 2 - 1e-9)
 
 
-def signal_words(templates: dict[str, list[str]], threshold: float) -> list[str]:
-    """Words of which every matching passage contains one."""
+def signal_bigrams(templates: dict[str, list[str]], threshold: float) -> list[str]:
+    """Bigrams of which every matching passage contains one."""
     out: set[str] = set()
     for text in (t for texts in templates.values() for t in texts):
         grams = template_bigrams(text)
         if grams:
             shared = least_shared(len(grams), threshold)
-            longer = sorted((max(g.split(), key=lambda w: (len(w), w)) for g in grams), key=lambda w: (-len(w), w))
-            out.update(longer[: len(grams) - shared + 1])
+            out.update(sorted(grams, key=lambda g: (-max(map(len, g.split())), g))[: len(grams) - shared + 1])
     return sorted(out)
 
 
+def any_of_words(words: list[str]) -> str:
+    """A pattern for one of the words (or bigrams, whatever is between their words) that shares their beginnings, so that a text is not tried
+    against each of them at every place."""
+    by_letter: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        by_letter.setdefault(w[:1], []).append(w[1:])
+    ends = by_letter.pop("", None) is not None
+    branches = [("[^a-z0-9]+" if c == " " else re.escape(c)) + any_of_words(rest) for c, rest in by_letter.items()]
+    if not branches:
+        return ""
+    return f"(?:{'|'.join(branches)}){'?' if ends else ''}" if ends or len(branches) > 1 else branches[0]
+
+
 def normal_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
 
@@ -233,7 +245,7 @@ def scan_licenses(
     ``licenses`` lists the licences with a passage at or above the threshold, sorted and comma-joined; ``n_matches`` counts them.
     """
     templates = TEMPLATES if templates is None else templates
-    signal = r"(?<![a-z0-9])(?:" + "|".join(signal_words(templates, threshold)) + r")(?![a-z0-9])"
+    signal = r"(?<![a-z0-9])(?:" + any_of_words(signal_bigrams(templates, threshold)) + r")(?![a-z0-9])"
     rows = pick(docs, doc_id, text).toDF("doc_id", "text")
     with_signal = F.filter(passages(F.col("text")), lambda p: F.lower(p).rlike(signal))
     grams = F.when(F.lower("text").rlike(signal), F.transform(with_signal, lambda p: bigrams(normal_words(p))))

@@ -75,14 +75,21 @@ def test_equals_brute_force(spark):
 
 def test_prefix_filter_is_sound():
     for threshold in (0.3, 0.5, 0.7, 0.9):
-        signal = set(L.signal_words(L.TEMPLATES, threshold))
+        signal = set(L.signal_bigrams(L.TEMPLATES, threshold))
         for texts in L.TEMPLATES.values():
             for t in texts:
                 g = L.template_bigrams(t)
                 low, _ = L.bounds(len(g), threshold)
                 shared = -(-threshold * (len(g) + low) // 2)
-                # Even with all bigrams gone that hold a signal word, a match would be impossible.
-                assert sum(not set(x.split()) & signal for x in g) < shared
+                # Without any signal bigram a match would be impossible.
+                assert sum(x not in signal for x in g) < shared
+
+
+def test_words_that_share_beginnings():
+    words = ["license", "licenses", "lib", "library", "a", "apache", "2"]
+    for w in ("licens", "license", "licenses", "licensess", "lib", "libra", "library", "a", "ap", "apache", "2", "", "x"):
+        assert bool(re.fullmatch(L.any_of_words(words), w)) == (w in words), w
+    assert re.fullmatch(L.any_of_words(["mit license", "mit"]), "mit -- license") and not re.fullmatch(L.any_of_words(["mit license"]), "mitlicense")
 
 
 def test_no_python_and_no_shuffle(spark):
