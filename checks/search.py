@@ -10,6 +10,7 @@ from checks.views import sql_catalogue, table
 from confluo.functions.scoring import rounded
 from confluo.operators import retrieve as R
 from confluo.operators import tables as tb
+from confluo.operators.batch import best_documents
 from confluo.operators.leaves import any_of, bag_of_words, date_in, date_range, keyword, phrase, query_table, wildcard, words
 
 TEXTS = ["docs", "pages", "conv"]
@@ -352,5 +353,5 @@ def passages(spark, sf):
 
 @query("batch_search", f"WITH {sql_search(TEXTS)}, {SQL_BATCH}, {TERM_HITS}, {DOC_SUM} {sql_top(10)}")
 def batch_search(spark, sf):
-    hits = R.retrieve(tables_of(spark, sf, *TEXTS), bag_of_words(passages(spark, sf)))
-    return R.top_k(hits, 10).select("query_id", F.col("rank").cast("long").alias("rank"), "source", "id", rounded(F.col("score")).alias("score"))
+    top = best_documents(tables_of(spark, sf, *TEXTS), bag_of_words(passages(spark, sf)), 10)
+    return top.select("query_id", F.col("rank").cast("long").alias("rank"), "source", "id", rounded(F.col("score")).alias("score"))
