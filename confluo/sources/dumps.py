@@ -20,6 +20,15 @@ def read_dump(spark: SparkSession, path: str | list[str], schema: T.StructType,
     return rows.repartition(partitions) if partitions else rows
 
 
+# Records of a file: a gzip file is read by one task, so large dumps are many files.
+FILE_RECORDS = 10_000
+
+
+def in_files(df: DataFrame, *keys: str, records: int = FILE_RECORDS, least: int = 1) -> DataFrame:
+    """As many partitions as files of about ``records`` records need, ``least`` of them at least."""
+    return df.repartition(max(least, -(-df.count() // records)), *keys)
+
+
 def write_dump(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "gzip").json(path)
 
