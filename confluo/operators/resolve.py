@@ -20,6 +20,10 @@ bonuses it earns. The best five over the union of the lists are therefore exactl
 Names of several terms are few names' company, so which name signatures they meet is stored. A name of one term can be in any number of
 names; its score follows from the signature and the term alone, so such terms are read off the lists themselves: five entities each for the name alone,
 and for the bonuses only entities found under the term and developer, the term and time slot, or all three. What they meet is never listed.
+
+The list ``name`` is read first. Its fifth best score under a record's name is a floor: a signature that stays below it even with every bonus of a
+list is not looked up there, for any of the record's dates and developers. The fifth best of ``devs`` is a higher floor for ``both``.
+Names and signatures are long, so past the comparison of names their digests stand for them.
 """
 
 from __future__ import annotations
@@ -49,6 +53,14 @@ PLAIN_ROUNDS = 6
 
 _WINDOW_SECONDS = int(DATE_WINDOW.total_seconds())
 
+# The weights of left names of one term are sent to every task up to this size.
+_BROADCAST_BYTES = 16 << 20
+
+
+def _digest(key: Column) -> Column:
+    """128 bits of SHA-256, which stand for a long key where rows are shuffled by it."""
+    return F.substring(F.unhex(F.sha2(key, 256)), 1, 16)
+
 
 def _list_key(items: Column) -> Column:
     """Text key of a sorted string list; lengths keep different lists apart."""
@@ -82,7 +94,7 @@ def right_documents(earlier: DataFrame, stop_words: Sequence[str] = STOP_WORDS)
 
 def _name_statistics(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Distinct names, document frequency per term, and per source the name count and mean length."""
-    names = documents.where(F.size("bag") > 0).groupBy("source", "rkey", "bag").agg(F.count(F.lit(1)).alias("copies"))
+    names = documents.where(F.col("rkey") != "").groupBy("source", "rkey").agg(F.count(F.lit(1)).alias("copies")).withColumn("bag", _bag(F.col("rkey")))
     frequency = (
         names.select("source", "copies", F.explode(F.array_distinct("bag")).alias("term"))
         .groupBy("source", "term")
@@ -102,31 +114,27 @@ def name_candidates(left: DataFrame, documents: DataFrame, statistics: tuple[Dat
     name terms with the statistics of that source.
     """
     names, frequency, totals = statistics or _name_statistics(documents)
-    wanted = left.select("lkey", "terms").distinct()
-    # One row per source: the registry bounds it.
-    per_source = F.broadcast(totals)
+    terms = _bag(F.col("lkey"))
+    wanted = left.select("lkey").distinct().select(_digest(F.col("lkey")).alias("l"), F.size(terms).alias("n_terms"), F.explode(terms).alias("term"))
+    # Sorted by term, the weights of a name spell its key. The totals are one row per source: the registry bounds them.
     weighted = (
-        wanted.select("lkey", F.size("terms").alias("n_terms"), F.explode("terms").alias("term"))
-        .join(frequency, "term")
-        .join(per_source, "source")
-        .withColumn("idf", idf(F.col("n_docs"), F.col("df")))
-        .groupBy("lkey", "source", "n_terms", "avg_len")
-        .agg(
-            F.collect_list(F.struct("term", "idf")).alias("weights"),
-            F.min(F.struct("df", "term"))["term"].alias("term"),
-        )
+        wanted.join(frequency, "term")
+        .groupBy("l", "source", "n_terms")
+        .agg(F.collect_list(F.struct("term", "df")).alias("weights"), F.min(F.struct("df", "term"))["term"].alias("term"))
         .where(F.size("weights") == F.col("n_terms"))
-        .withColumn("weights", F.array_sort("weights"))
-    )
-    listed = names.select("source", "rkey", "bag", F.explode(F.array_distinct("bag")).alias("term"))
-    pairs = weighted.join(listed, ["source", "term"]).where(
-        F.size(F.array_except(F.transform("weights", lambda w: w["term"]), F.col("bag"))) == 0
+        .join(F.broadcast(totals), "source")
+        .withColumn("weights", F.transform(F.array_sort("weights"), lambda w: F.struct(w["term"], idf(F.col("n_docs"), w["df"]).alias("idf"))))
+        .select("source", "term", "avg_len", "weights")
     )
+    listed = names.select("source", "rkey", F.explode(F.array_distinct("bag")).alias("term"))
+    pairs = weighted.join(listed, ["source", "term"])
+    pairs = pairs.where(F.size(F.array_except(F.transform("weights", lambda w: w["term"]), _bag(F.col("rkey")))) == 0).withColumn("bag", _bag(F.col("rkey")))
 
     def add(total: Column, w: Column) -> Column:
         return total + w["idf"] * _tf_part(F.col("bag"), w["term"], F.col("avg_len"))
 
-    return pairs.select("lkey", "source", "rkey", F.aggregate("weights", F.lit(0.0), add).alias("score"))
+    lkey = F.array_join(F.transform("weights", lambda w: w["term"]), " ")
+    return pairs.select(lkey.alias("lkey"), "source", "rkey", F.aggregate("weights", F.lit(0.0), add).alias("score"))
 
 
 def _tf_part(bag: Column, term: Column, avg_len: Column) -> Column:
@@ -141,7 +149,7 @@ def _bag(rkey: Column) -> Column:
 def one_term_weights(left: DataFrame, statistics: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
     """``(lkey, weights)``: for every left name of one term what the term weighs in each source, one entry per source at most."""
     _, frequency, totals = statistics
-    wanted = left.where(F.size("terms") == 1).select("lkey").distinct()
+    wanted = left.where(~F.contains("lkey", F.lit(" "))).select("lkey").distinct()
     return (
         wanted.join(frequency.withColumnRenamed("term", "lkey"), "lkey")
         .join(F.broadcast(totals), "source")
@@ -154,17 +162,19 @@ def _met_by_one_term(listed: DataFrame, weights: DataFrame) -> DataFrame:
     """Entities of a list under each left name of one term: ``(lkey, entity_id, n_sources, base, matched, docs)``, with the documents whose name has it.
 
     A row of the list meets as many names as it has terms. A term's weights are one row, so adaptive execution can split what a frequent term meets.
+    Other columns of the weights stay.
     """
+    extra = [c for c in weights.columns if c not in ("lkey", "weights")]
     bags = F.transform("docs", lambda d: _bag(d["rkey"]))
     rows = listed.select("entity_id", "docs", F.explode(F.array_distinct(F.flatten(bags))).alias("lkey")).join(weights, "lkey")
-    met = rows.select("lkey", "entity_id", F.size("docs").alias("n_sources"), F.filter("docs", lambda d: F.array_contains(_bag(d["rkey"]), F.col("lkey"))).alias("docs"), "weights")
+    met = rows.select("lkey", "entity_id", F.size("docs").alias("n_sources"), F.filter("docs", lambda d: F.array_contains(_bag(d["rkey"]), F.col("lkey"))).alias("docs"), "weights", *extra)
 
     def add(total: Column, d: Column) -> Column:
         w = F.get(F.filter("weights", lambda x: x["source"] == d["source"]), F.lit(0))
         return total + w["idf"] * _tf_part(_bag(d["rkey"]), F.col("lkey"), w["avg_len"])
 
     return met.select(
-        "lkey", "entity_id", "n_sources", F.aggregate("docs", F.lit(0.0), add).alias("base"), F.transform("docs", lambda d: d["source"]).alias("matched"), "docs"
+        "lkey", "entity_id", "n_sources", F.aggregate("docs", F.lit(0.0), add).alias("base"), F.transform("docs", lambda d: d["source"]).alias("matched"), "docs", *extra
     )
 
 
@@ -192,15 +202,16 @@ def entity_profiles(documents: DataFrame, sources: Sequence[str]) -> DataFrame:
     devs = F.transform("docs", lambda d: _list_key(d["devs"]))
     dates = F.transform("docs", lambda d: F.coalesce(F.unix_micros(d["date"]).cast("string"), F.lit("")))
     return (
-        profiles.withColumn("sig", _list_key(names))
+        profiles.withColumn("sig", _digest(_list_key(names)))
         .withColumn("sig_devs", _list_key(devs))
         .withColumn("sig_dates", F.array_join(dates, "|"))
     )
 
 
-def _smallest(profiles: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy("entity_id"))
-    return profiles.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+def _smallest(profiles: DataFrame, keys: Sequence[str], k: int, place: str = "_place") -> DataFrame:
+    """The ``k`` smallest entity ids per key; their places stay if the column is named."""
+    order = Window.partitionBy(*keys).orderBy("entity_id")
+    return profiles.withColumn(place, F.row_number().over(order)).where(F.col(place) <= k).drop("_place")
 
 
 def _best(rows: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
@@ -235,83 +246,110 @@ def _near_slots(date: Column) -> Column:
 
 
 def record_profiles(left: DataFrame) -> DataFrame:
-    """Distinct combinations of all that a record's scores depend on."""
-    return left.select("lkey", "dkey", "devs", "date").distinct()
+    """Distinct combinations of all that a record's scores depend on; ``lk`` stands for the name."""
+    return left.select(_digest(F.col("lkey")).alias("lk"), "dkey", "devs", "date").distinct()
+
+
+def _floors(best: DataFrame, keys: Sequence[str], k: int, name: str) -> DataFrame:
+    """The ``k``-th best score per key; NULL where fewer entities are known, so that nothing is below it."""
+    return best.groupBy(*keys).agg(F.when(F.count(F.lit(1)) >= k, F.min(rounded(F.col("score")))).alias(name))
+
+
+def _reaches(floor: str, bonus: float) -> Column:
+    """Whether a signature can come to a floor, if it earns the bonus in every document whose name matched."""
+    best = (F.col("base") + F.size("matched") * F.lit(bonus)) / F.col("n_sources")
+    return F.col(floor).isNull() | (rounded(best) >= F.col(floor))
 
 
 def profile_edges(left: DataFrame, documents: DataFrame, sources: Sequence[str], k: int = CANDIDATES) -> DataFrame:
-    """Best ``k`` entities of every record profile: ``(lkey, dkey, date, entity_id, score)``."""
+    """Best ``k`` entities of every record profile: ``(lk, dkey, date, entity_id, score)``."""
     entities = entity_profiles(documents, sources)
+    # The lists are read several times below; stored, they are sorted out once.
     both = store_step(_smallest(entities, ["sig", "sig_devs", "sig_dates"], k), "entities")
-    by_devs = _smallest(both, ["sig", "sig_devs"], k)
-    by_date = _smallest(both, ["sig", "sig_dates"], k)
-    by_name = _smallest(by_devs, ["sig"], k)
+    by_devs = store_step(_smallest(both, ["sig", "sig_devs"], k).select("sig", "entity_id", "docs"), "by_devs")
+    by_date = store_step(_smallest(both, ["sig", "sig_dates"], k).select("sig", "entity_id", "docs"), "by_date")
+    by_name = store_step(_smallest(by_devs, ["sig"], k, place="place"), "by_name")
 
     # Which name signatures a left name of several terms meets, in which sources, and the summed name score.
     statistics = _name_statistics(documents)
-    members = by_name.select("sig", F.size("docs").alias("n_sources"), F.explode("docs").alias("d")).select(
-        "sig", "n_sources", "d.source", "d.rkey"
-    ).distinct()
+    firsts = by_name.where(F.col("place") == 1)
+    members = firsts.select("sig", F.col("entity_id").alias("first"), F.size("docs").alias("n_sources"), F.explode("docs").alias("d"))
     met = (
-        name_candidates(left.where(F.size("terms") > 1), documents, statistics)
-        .join(members, ["source", "rkey"])
-        .groupBy("lkey", "sig", "n_sources")
+        name_candidates(left.where(F.contains("lkey", F.lit(" "))), documents, statistics)
+        .join(members.select("sig", "first", "n_sources", "d.source", "d.rkey"), ["source", "rkey"])
+        .groupBy("lkey", "sig", "first", "n_sources")
         .agg(F.sum("score").alias("base"), F.array_sort(F.collect_list("source")).alias("matched"))
     )
-    met = store_step(met, "names")
-    weights = store_step(one_term_weights(left, statistics), "weights")
-    profiles = record_profiles(left)
+    met = store_step(met, "names").withColumn("lk", _digest(F.col("lkey")))
+    weights = store_step(one_term_weights(left, statistics), "weights").withColumn("lk", _digest(F.col("lkey")))
+    size = weights.agg(F.sum(F.length("lkey") + 64 * F.size("weights") + 64)).first()[0] or 0
+    to_all = F.broadcast if size <= _BROADCAST_BYTES else lambda df: df
+    score = lambda bonus: (F.col("base") + bonus) / F.col("n_sources")
+
+    # Each signature has an entity, so the best five lie in the five signatures that are best by score and smallest id.
+    place = F.row_number().over(Window.partitionBy("lk").orderBy(rounded(score(F.lit(0.0))).desc(), F.col("first").asc()))
+    nearest = met.withColumn("_place", place).where(F.col("_place") <= k)
+    names_only = nearest.join(by_name.select("sig", "entity_id"), "sig").select("lk", "entity_id", score(F.lit(0.0)).alias("score"))
+    one_term = _met_by_one_term(by_name, to_all(weights)).select("lk", "entity_id", score(F.lit(0.0)).alias("score"))
+    plain = store_step(_best(names_only.unionByName(one_term), ["lk"], k), "plain")
+
+    floors = store_step(_floors(plain, ["lk"], k, "floor"), "floors")
+    near = store_step(met.select("lk", "sig", "n_sources", "base", "matched").join(floors, "lk").where(_reaches("floor", DEV_BONUS + DATE_BONUS)), "near")
+    open_weights = to_all(store_step(weights.join(floors, "lk"), "open_weights"))
+    # Every name with a candidate has one in ``plain``; other records have no edge.
+    profiles = store_step(record_profiles(left).join(floors, "lk"), "profiles")
     with_devs = profiles.where(F.size("devs") > 0).withColumn("dev", F.element_at("devs", 1)).withColumnRenamed("devs", "l_devs")
     with_date = profiles.where(F.col("date").isNotNull()).withColumnRenamed("date", "l_date")
-    score = lambda bonus: (F.col("base") + bonus) / F.col("n_sources")
+    lean = F.transform("docs", lambda d: F.struct(d["source"], d["devs"], d["date"])).alias("docs")
     dev_keys = F.explode(F.array_distinct(F.flatten(F.transform("docs", lambda d: d["devs"])))).alias("dev")
     slots = F.filter(F.array_distinct(F.transform("docs", lambda d: _date_slot(d["date"]))), lambda s: s.isNotNull())
 
-    def candidates(wanted: DataFrame, entities: DataFrame, keys: Sequence[str], by_key) -> DataFrame:
+    def candidates(wanted: DataFrame, entities: DataFrame, keys: Sequence[str], by_key, bonus: float) -> DataFrame:
         """Records and the entities of a list that they meet under ``keys``; ``by_key`` gives every row of the list its keys.
 
-        The record's side of a bonus is attached first, so that lists are met by signature (or term) and developer or time slot at once.
+        The record's side of a bonus is attached first, so that lists are met by signature (or term) and developer or time slot at once. What
+        cannot come to the record's floor with ``bonus`` is left out before.
         """
-        own = [c for c in wanted.columns if c not in keys and c != "lkey"]
-        columns = ["lkey", *own, "base", "n_sources", "matched", "entity_id", "docs"]
-        several = met.join(wanted, "lkey").join(by_key(entities.select("sig", "entity_id", "docs")), ["sig", *keys])
-        one = by_key(_met_by_one_term(entities, weights)).join(wanted, ["lkey", *keys])
-        return several.select(*columns).unionByName(one.select(*columns))
-
-    names_only = met.join(by_name.select("sig", "entity_id"), "sig").select("lkey", "entity_id", "base", "n_sources")
-    names_only = names_only.unionByName(_met_by_one_term(by_name, weights).select("lkey", "entity_id", "base", "n_sources"))
-    plain = _best(names_only.select("lkey", "entity_id", score(F.lit(0.0)).alias("score")), ["lkey"], k)
+        slotted = lambda df: df.withColumn("slot", _near_slots(F.col("l_date"))) if "slot" in keys else df
+        own = [c for c in wanted.columns if c not in keys and c not in ("lk", "floor")]
+        columns = ["lk", *own, "base", "n_sources", "matched", "entity_id", "docs"]
+        asked = near.where(_reaches("floor", bonus)).drop("floor").join(wanted, "lk").where(_reaches("floor", bonus)).drop("floor")
+        several = slotted(asked).join(by_key(entities.select("sig", "entity_id", lean)), ["sig", *keys])
+        found = _met_by_one_term(entities, open_weights).where(_reaches("floor", bonus)).select("lk", "entity_id", "n_sources", "base", "matched", lean)
+        one = by_key(found).join(slotted(wanted), ["lk", *keys])
+        return several.select(*columns).unionByName(one.where(_reaches("floor", bonus)).select(*columns))
 
     devs_only = (
-        candidates(with_devs.select("lkey", "dkey", "dev", "l_devs").distinct(), by_devs, ["dev"], lambda df: df.select("*", dev_keys))
+        candidates(with_devs.select("lk", "floor", "dkey", "dev", "l_devs").distinct(), by_devs, ["dev"], lambda df: df.select("*", dev_keys), DEV_BONUS)
         .withColumn("n_devs", _count(_devs_met))
         .where(F.col("n_devs") > 0)
-        .select("lkey", "dkey", "entity_id", score(F.col("n_devs") * DEV_BONUS).alias("score"))
+        .select("lk", "dkey", "entity_id", score(F.col("n_devs") * DEV_BONUS).alias("score"))
     )
-    devs_only = _best(devs_only, ["lkey", "dkey"], k)
+    devs_only = store_step(_best(devs_only, ["lk", "dkey"], k), "devs_only")
 
-    dated = with_date.select("lkey", "l_date").distinct().withColumn("slot", _near_slots(F.col("l_date")))
     date_only = (
-        candidates(dated, by_date, ["slot"], lambda df: df.select("*", F.explode(slots).alias("slot")))
+        candidates(with_date.select("lk", "floor", "l_date").distinct(), by_date, ["slot"], lambda df: df.select("*", F.explode(slots).alias("slot")), DATE_BONUS)
         .withColumn("n_dates", _count(_date_met))
         .where(F.col("n_dates") > 0)
-        .select("lkey", F.col("l_date").alias("date"), "entity_id", score(F.col("n_dates") * DATE_BONUS).alias("score"))
+        .select("lk", F.col("l_date").alias("date"), "entity_id", score(F.col("n_dates") * DATE_BONUS).alias("score"))
         .distinct()
     )
-    date_only = _best(date_only, ["lkey", "date"], k)
+    date_only = _best(date_only, ["lk", "date"], k)
 
+    higher = F.greatest("floor", "dev_floor").alias("floor")
     full = (
         with_devs.where(F.col("date").isNotNull())
         .withColumnRenamed("date", "l_date")
-        .withColumn("slot", _near_slots(F.col("l_date")))
+        .join(_floors(devs_only, ["lk", "dkey"], k, "dev_floor"), ["lk", "dkey"], "left")
+        .select("lk", "dkey", "dev", "l_devs", "l_date", higher)
     )
     dev_and_date = (
-        candidates(full, both, ["dev", "slot"], lambda df: df.select("*", dev_keys).withColumn("slot", F.explode(slots)))
+        candidates(full, both, ["dev", "slot"], lambda df: df.select("*", dev_keys).withColumn("slot", F.explode(slots)), DEV_BONUS + DATE_BONUS)
         .withColumn("n_devs", _count(_devs_met))
         .withColumn("n_dates", _count(_date_met))
         .where((F.col("n_devs") > 0) & (F.col("n_dates") > 0))
         .select(
-            "lkey",
+            "lk",
             "dkey",
             F.col("l_date").alias("date"),
             "entity_id",
@@ -319,14 +357,14 @@ def profile_edges(left: DataFrame, documents: DataFrame, sources: Sequence[str],
         )
         .distinct()
     )
-    dev_and_date = _best(dev_and_date, ["lkey", "dkey", "date"], k)
+    dev_and_date = _best(dev_and_date, ["lk", "dkey", "date"], k)
 
-    key = ["lkey", "dkey", "date"]
+    key = ["lk", "dkey", "date"]
     profile = profiles.select(*key)
     union = (
-        profile.join(plain, "lkey")
-        .unionByName(profile.join(devs_only, ["lkey", "dkey"]))
-        .unionByName(profile.join(date_only, ["lkey", "date"]))
+        profile.join(plain, "lk")
+        .unionByName(profile.join(devs_only, ["lk", "dkey"]))
+        .unionByName(profile.join(date_only, ["lk", "date"]))
         .unionByName(dev_and_date.select(*key, "entity_id", "score"))
     )
     return _best(union.groupBy(*key, "entity_id").agg(F.max("score").alias("score")), key, k)
@@ -346,16 +384,16 @@ def candidate_edges(
     in reach only the ``k`` smallest ids among them can ever be matched.
     """
     # Both sides are read many times below; these narrow tables spare the scans and the analysis of full records.
-    left = store_step(left_records(records, stop_words), "records")
-    documents = store_step(right_documents(earlier, stop_words), "documents")
+    left = store_step(left_records(records, stop_words).drop("terms"), "records")
+    documents = store_step(right_documents(earlier, stop_words).drop("bag"), "documents")
     edges = profile_edges(left, documents, sources, k)
-    key = ["lkey", "dkey", "date"]
-    members = left.select("left_id", *key)
+    key = ["lk", "dkey", "date"]
+    members = left.withColumn("lk", _digest(F.col("lkey"))).select("left_id", *key)
     if for_matching:
         place = F.row_number().over(Window.partitionBy(*key).orderBy("left_id"))
         members = members.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
     m, e = members.alias("m"), edges.alias("e")
-    same = (F.col("m.lkey") == F.col("e.lkey")) & (F.col("m.dkey") == F.col("e.dkey")) & F.col("m.date").eqNullSafe(F.col("e.date"))
+    same = (F.col("m.lk") == F.col("e.lk")) & (F.col("m.dkey") == F.col("e.dkey")) & F.col("m.date").eqNullSafe(F.col("e.date"))
     return m.join(e, same).select("m.left_id", "e.entity_id", "e.score")
 
 
@@ -509,13 +547,13 @@ def resolve_sources(spark: SparkSession, catalogues: Sequence[tuple[str, DataFra
 def explain_edges(edges: DataFrame, records: DataFrame, earlier: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """What an edge earns in each document of its entity: ``(left_id, entity_id, source, name_met, date_bonus, dev_bonus)``."""
     left = left_records(records, stop_words).select(
-        "left_id", "terms", F.col("devs").alias("l_devs"), F.col("date").alias("l_date")
+        "left_id", "lkey", F.col("devs").alias("l_devs"), F.col("date").alias("l_date")
     )
     documents = right_documents(earlier, stop_words).select(
-        "entity_id", "source", "bag", F.struct("devs", "date").alias("d")
+        "entity_id", "source", "rkey", F.struct("devs", "date").alias("d")
     )
     rows = edges.select("left_id", "entity_id").join(left, "left_id").join(documents, "entity_id")
-    name_met = F.size(F.array_except("terms", "bag")) == 0
+    name_met = F.size(F.array_except(_bag(F.col("lkey")), _bag(F.col("rkey")))) == 0
     dev_met = name_met & (F.size("l_devs") > 0) & _devs_met(F.col("d"))
     return rows.select(
         "left_id",

@@ -205,3 +205,20 @@ def test_explain_edges_adds_up(spark):
     assert (rows["p"].name_met, rows["p"].date_bonus, rows["p"].dev_bonus) == (False, 0.0, 0.0)
     base = R.name_candidates(R.left_records(left), R.right_documents(right)).first().score
     assert edges.first().score == pytest.approx((base + 2.5) / 2)
+
+
+def test_a_common_name_looks_for_bonuses_only_where_they_can_count(spark, monkeypatch):
+    """Two words that 400 of 4,000 names hold: signatures too far below the best five meet none of the record's dates and developers."""
+    rng = random.Random(6)
+    earlier = [
+        doc("o", i, ("star game" if i < 400 else "moon") + f" {i:05d}" * (1 + i % 40), entity=f"e{i:05d}", devs=rng.sample("ABCD", i % 3), date=datetime(2020, 1, 1) + timedelta(days=i % 90) if i % 5 else None)
+        for i in range(4000)
+    ]
+    records = [doc("n", i, "game star", devs=rng.sample("ABC", i % 3), date=datetime(2020, 1, 1) + timedelta(days=3 * i) if i % 7 else None) for i in range(40)]
+    stored, store = {}, R.store_step
+    monkeypatch.setattr(R, "store_step", lambda df, name: stored.setdefault(name, store(df, name)))
+    got = {(r.left_id, r.entity_id): r.score for r in R.candidate_edges(catalogue(spark, records), catalogue(spark, earlier), ["o"]).collect()}
+    expected = {(left, e): s for left, e, s in brute_edges(records, earlier)}
+    assert got.keys() == expected.keys() and len(got) == 200
+    assert all(got[key] == pytest.approx(expected[key]) for key in expected)
+    assert stored["names"].count() == 400 and stored["near"].count() < 200
