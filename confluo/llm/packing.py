@@ -7,7 +7,7 @@ border leaves a boundary record on each side. Nothing is shuffled, only the last
 from stored tables when an executor is lost.
 
 Ids are those of the library for the vocabulary file, without added special tokens; strings of special tokens inside a text become these tokens,
-as the library does by default. Pieces of a text that repeat are encoded once per task.
+as the library does by default. Pieces that repeat in a batch of texts are encoded once.
 
 Defined results: a NULL text is empty and gives the separator alone; rows with equal ids are packed one by one; an empty table gives an
 empty table; other columns are ignored.
@@ -15,12 +15,16 @@ empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -34,6 +38,10 @@ from confluo.session import store_step
 
 SEQUENCE = 2048
 SEPARATOR = 1
+# Rows of an Arrow batch, and characters of texts that are encoded together; a longer text is one group.
+ROWS = 2048
+GROUP_CHARS = 4 << 20
+_WHITE = re.compile(r"[^\S\n]")
 PIECES = "start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint, ids binary"
 
 
@@ -62,12 +70,13 @@ class Encoder:
         if not settled(line):
             # Both libraries hold the same vocabulary; where their character tables could differ, the slower one decides.
             return [self._codes(self.library.encode(p, add_special_tokens=False).ids) if not settled(p) else self._codes(self.fast.encode_ordinary(p)) for p in pieces]
-        ids = self.fast.encode_ordinary(line)
-        if len(pieces) == 1:
-            return [self._codes(ids)]
+        ids = np.array(self.fast.encode_ordinary(line), "<u4")
+        codes = ids.tobytes()
+        if len(pieces) < 2:
+            return [codes] * len(pieces)
         ends = np.cumsum(self.lengths[ids])
-        cuts = [0, *(np.searchsorted(ends, np.cumsum([len(p.encode()) for p in pieces])) + 1).tolist()]
-        return [self._codes(ids[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        cuts = [0, *(4 * np.searchsorted(ends, np.cumsum(list(map(len, map(str.encode, pieces))))) + 4).tolist()]
+        return [codes[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _codes(self, ids: list[int]) -> bytes:
         return b"".join(map(self.codes.__getitem__, ids))
@@ -75,9 +84,69 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         out = []
         for i, part in enumerate(self.vocabulary.cut(text)):
-            out += [np.array([self.vocabulary.special[part]], "<u4").tobytes()] if i % 2 else self.pieces.parts(part)
+            out += [self._special(part)] if i % 2 else self.pieces.parts(part)
         return b"".join(out)
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The same for many texts at once."""
+        cuts = list(map(self.vocabulary.cut, texts))
+        parts = chain.from_iterable(map(self._together, _groups([p for c in cuts for p in c[::2]])))
+        return [b"".join(self._special(p) if i % 2 else next(parts) for i, p in enumerate(c)) for c in cuts]
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """Texts cut as :class:`PieceEncoder` does; each different piece is encoded once, and its ids are put where it occurs."""
+        plain = [i for i, t in enumerate(texts) if t and not (t[0].isspace() or t[-1].isspace())]
+        cut = [texts[i].replace("\n", " \n").partition(" ") for i in plain]
+        # With line breaks between them, first pieces encode on their own as well.
+        first = self._pieces([x for c in cut for x in ("\n", c[0])][1:])[::2] if cut else []
+        pieces = pc.split_pattern(pa.array([c[2] or None for c in cut], pa.string()), " ")
+        told = pieces.flatten().dictionary_encode()
+        known, odd = self._different(told.dictionary.to_numpy(zero_copy_only=False).tolist())
+        index = told.indices.to_numpy()
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts, n = np.cumsum(sizes) - sizes, sizes[index]
+        ends = np.cumsum(n)
+        numbers = np.frombuffer(b"".join(known), "<u4")
+        line = numbers[np.repeat(starts[index] - ends + n, n) + np.arange(n.sum())].tobytes()
+        last = np.cumsum(pc.fill_null(pieces.value_lengths(), 0).to_numpy())
+        at = [0, *(4 * np.concatenate([[0], ends])[last]).tolist()]
+        odd_at = [0, *np.concatenate([[0], np.cumsum(odd[index])])[last].tolist()]
+        out = [None if t else b"" for t in texts]
+        for k, i in enumerate(plain):
+            if odd_at[k] == odd_at[k + 1]:
+                out[i] = first[k] + line[at[k] : at[k + 1]]
+        return [self._pieces([t])[0] if x is None else x for x, t in zip(out, texts, strict=True)]
+
+    def _different(self, pieces: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """Ids of pieces, and which have white space at a border: texts with such are encoded whole."""
+        if _WHITE.search("".join(pieces)):
+            odd = [not p or p[-1].isspace() or p.lstrip("\n")[:1].isspace() for p in pieces]
+        else:
+            odd = [p in ("", "\n") for p in pieces]
+        good = [p if p[0] == "\n" else " " + p for p, o in zip(pieces, odd, strict=True) if not o]
+        if not settled("".join(good)):
+            few = {p: self._pieces([p])[0] for p in good if not settled(p)}
+            rest = iter(self._pieces([p for p in good if p not in few]))
+            ids = iter([few[p] if p in few else next(rest) for p in good])
+        else:
+            ids = iter(self._pieces(good))
+        return [b"" if o else next(ids) for o in odd], np.array(odd, np.int64)
+
+    def _special(self, token: str) -> bytes:
+        return np.array([self.vocabulary.special[token]], "<u4").tobytes()
+
+
+def _groups(texts: list[str]) -> Iterator[list[str]]:
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
@@ -91,8 +160,7 @@ def _encode(path: str, separator: int):
         own, part, place = encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = str_texts(batch.column(1))
-            own.pieces.warm([p for t in texts for p in own.vocabulary.cut(t)[::2]])
-            ids = [own.encode(t) + end for t in texts]
+            ids = [x + end for x in own.encode_all(texts)]
             sizes = np.array([len(x) // 4 for x in ids], np.int64)
             places = place + np.cumsum(sizes) - sizes
             place += int(sizes.sum())
@@ -117,7 +185,7 @@ def _wide(stored: bytes, n: int) -> bytes:
 
 def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, separator: int = SEPARATOR) -> DataFrame:
     """Pass one, stored: ids of every document with its partition and its place there."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, ROWS)
     rows = pick(docs, doc_id, text).toDF("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, part bigint, place bigint, doc_tokens bigint, ids binary"

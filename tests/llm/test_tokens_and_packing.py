@@ -43,6 +43,18 @@ def test_ids_equal_the_library(library):
             assert np.frombuffer(own.encode(t), "<u4").tolist() == ids_of(library, t), t
 
 
+def test_texts_encoded_together_equal_the_library(library, monkeypatch):
+    """Groups of texts, and odd texts among plain ones, change nothing."""
+    plain, odd = [prose(i, 50) for i in range(60)], odd_texts(600, 5)
+    texts = [x for pair in zip(odd, plain * 10, strict=True) for x in pair] + ["", "a", "\n", "a\nb", " a", "a  b"]
+    own = packing.Encoder(PATH)
+    for chars in (1 << 20, 300):
+        monkeypatch.setattr(packing, "GROUP_CHARS", chars)
+        for some in (texts, texts[::-1], plain, odd, [], [""]):
+            got = [np.frombuffer(x, "<u4").tolist() for x in own.encode_all(some)]
+            assert got == [ids_of(library, t) for t in some]
+
+
 def test_a_small_store_changes_nothing(library):
     own = packing.Encoder(PATH)
     own.pieces = PieceEncoder(own._pieces, room=5)
