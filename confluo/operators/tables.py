@@ -7,17 +7,24 @@ holds the document count and the total length of the field.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from confluo.functions.text import STOP_WORDS, analyser_of
 from confluo.schemas import KEYWORD_FIELDS, TEXT_FIELDS
-from confluo.session import store_step
+from confluo.session import import_in_tasks, store_step
 
 ANY_TERM = ""
 
+# Tokens whose postings are made together; a longer document is one group.
+POSTING_TOKENS = 1 << 17
+
 
 def token_rows(catalogue: DataFrame, fields: Sequence[str] = TEXT_FIELDS, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """One row per document and text field that has at least one token."""
@@ -32,38 +39,53 @@ def token_rows(catalogue: DataFrame, fields: Sequence[str] = TEXT_FIELDS, stop_w
 def build_postings(tokens: DataFrame) -> DataFrame:
     """Term frequency and positions per document, without a shuffle.
 
-    A document's tokens lie in one row, so they are grouped there: sorted by (term, position) and cut where the term
-    changes. Only the finished postings are exploded.
+    A document's tokens lie in one row, so they are grouped there: the tokens of a batch of rows are told apart at once, sorted by row and
+    term, places in order, and cut where either changes.
     """
-    ordered = tokens.select(
-        "source",
-        "id",
-        "entity_id",
-        "field",
-        "len",
-        F.expr("sort_array(transform(tokens, (t, i) -> struct(t AS term, i AS pos)))").alias("o"),
-    )
-    cut = ordered.withColumn("starts", F.expr("filter(sequence(0, len - 1), k -> k = 0 OR o[k].term <> o[k - 1].term)"))
-    runs = cut.select(
-        "source",
-        "id",
-        "entity_id",
-        "field",
-        "len",
-        F.expr("o.pos").alias("places"),
-        F.expr(
-            "transform(starts, (s, j) -> struct(o[s].term AS term, s AS at, coalesce(get(starts, j + 1), len) - s AS tf))"
-        ).alias("runs"),
-    )
-    postings = runs.select(
-        "source",
-        "field",
-        "id",
-        "entity_id",
-        "len",
-        F.explode(F.expr("transform(runs, r -> struct(r.term, r.tf, slice(places, r.at + 1, r.tf) AS positions))")).alias("p"),
+    import_in_tasks(tokens.sparkSession)
+    rows = tokens.select("source", "field", "id", "entity_id", "len", "tokens")
+    kinds = {f.name: f.dataType for f in rows.schema}
+    kept = [StructField(c, kinds[c]) for c in ("source", "field")]
+    schema = StructType(
+        [
+            *kept,
+            StructField("term", StringType()),
+            *[StructField(c, kinds[c]) for c in ("id", "entity_id", "len")],
+            StructField("tf", IntegerType()),
+            StructField("positions", ArrayType(IntegerType())),
+        ]
     )
-    return postings.select("source", "field", "p.term", "id", "entity_id", "len", "p.tf", "p.positions")
+    return rows.mapInArrow(_postings, schema)
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lengths = pc.fill_null(pc.list_value_length(batch.column("tokens")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        group = (np.cumsum(lengths) - lengths) // POSTING_TOKENS
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lengths)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if lengths[a:b].any():
+                yield _postings_of(batch.slice(a, b - a), lengths[a:b])
+
+
+def _postings_of(rows: pa.RecordBatch, lengths: np.ndarray) -> pa.RecordBatch:
+    told = rows.column("tokens").flatten().dictionary_encode()
+    codes = told.indices.to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    key = row * len(told.dictionary) + codes
+    order = np.argsort(key, kind="stable")
+    ordered = key[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    ends = np.append(starts, len(order))
+    places = order - (np.cumsum(lengths) - lengths)[row[order]]
+    first = order[starts]
+    at = pa.array(row[first])
+    columns = {c: rows.column(c).take(at) for c in ("source", "field", "id", "entity_id", "len")}
+    columns["term"] = told.dictionary.take(pa.array(codes[first]))
+    columns["tf"] = pa.array(np.diff(ends), pa.int32())
+    columns["positions"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places, pa.int32()))
+    names = ["source", "field", "term", "id", "entity_id", "len", "tf", "positions"]
+    return pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
 
 def build_presence(tokens: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +74,21 @@ def test_files_of_a_dump_hold_a_bounded_number_of_records(spark):
     assert in_files(rows, "id", records=10, least=4).rdd.getNumPartitions() == 10
     assert in_files(rows, "id", least=4).rdd.getNumPartitions() == 4
     assert in_files(rows.limit(0), "id").rdd.getNumPartitions() == 1
+
+
+def test_postings_of_a_batch_are_made_together(monkeypatch):
+    """Rows of one batch in groups of any size: every document and term once, places in order; empty and missing rows have none."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    rows = [("s", "name", f"d{i}", None if i % 4 else f"e{i}", [rng.choice(words) for _ in range(rng.choice([0, 1, 5, 300]))]) for i in range(60)]
+    rows += [("s", "summary", "d1", "e1", None), ("t", "name", None, "x", ["a", "b", "a"]), ("t", "name", None, "x", ["a", "b", "a"])]
+    expected = sorted(
+        (str(r[:4]), len(r[4]), t, r[4].count(t), [p for p, x in enumerate(r[4]) if x == t]) for r in rows if r[4] for t in set(r[4])
+    )
+    columns = [pa.array(c, pa.string()) for c in list(zip(*rows, strict=True))[:4]]
+    columns += [pa.array([len(r[4] or []) for r in rows], pa.int32()), pa.array([r[4] for r in rows], pa.list_(pa.string()))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["source", "field", "id", "entity_id", "len", "tokens"])
+    for tokens in (1, 100, 1 << 20):
+        monkeypatch.setattr(tb, "POSTING_TOKENS", tokens)
+        got = [r for out in tb._postings(iter([batch.slice(0, 7), batch.slice(7)])) for r in out.to_pylist()]
+        assert sorted((str((r["source"], r["field"], r["id"], r["entity_id"])), r["len"], r["term"], r["tf"], r["positions"]) for r in got) == expected
